@@ -66,33 +66,43 @@ def widen(df: DataFrame, names: Sequence[str] = tuple(lx.ASPECT_KEYWORDS)) -> Da
     return mapped.withColumns(out).drop("_by_aspect", "aspects")
 
 
-def mention_counts(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """mentions, positive, negative, neutral per (keys, aspect); only aspects that occur."""
-    return (
-        mentions(df, keys)
-        .groupBy(*keys, "aspect")
-        .agg(
-            F.count(F.lit(1)).alias("mentions"),
-            *[F.count_if(F.col("sentiment") == s).alias(s) for s in ("positive", "negative", "neutral")],
-        )
-    )
-
-
 def aspect_grid(
     df: DataFrame, keys: Sequence[str] = (), names: Sequence[str] = tuple(lx.ASPECT_KEYWORDS)
 ) -> DataFrame:
     """Every (keys, aspect) pair with its counts, zeros included, and the group ``total``.
 
-    Both inputs are grouped results, one row per group or per group and aspect.
-    Groups with a NULL key are left out.
+    One scan: each review contributes its mentions plus one unnamed entry that
+    counts the review itself, and all of it is combined map-side.  The second
+    grouping sees at most one row per group and aspect.  Groups with a NULL key
+    are left out.
     """
-    rows = df
+    kinds = ("positive", "negative", "neutral")
+    marker = F.struct(*[F.lit("").alias(c) for c in ("aspect", "keyword", "context")])
+    rows = df.select(*keys, F.concat(F.array(marker), "aspects").alias("aspects"))
     for key in keys:
         rows = rows.where(F.col(key).isNotNull())
-    totals = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"))
-    grid = totals.select("*", F.posexplode(F.array(*[F.lit(a) for a in names])).alias("position", "aspect"))
-    counted = grid.join(mention_counts(rows, keys), [*keys, "aspect"], "left")
-    return counted.fillna(0, subset=["mentions", "positive", "negative", "neutral"])
+    counts = (
+        mentions(rows, keys)
+        .groupBy(*keys, "aspect")
+        .agg(
+            F.count(F.lit(1)).alias("mentions"),
+            *[F.count_if(F.col("sentiment") == s).alias(s) for s in kinds],
+        )
+    )
+    per_group = counts.groupBy(*keys).agg(
+        F.coalesce(F.max(F.when(F.col("aspect") == "", F.col("mentions"))), F.lit(0)).alias("total"),
+        F.map_from_entries(F.collect_list(F.struct("aspect", F.struct("mentions", *kinds)))).alias("_by"),
+    )
+    listed = F.posexplode(F.array(*[F.lit(a) for a in names])).alias("position", "aspect")
+    grid = per_group.select(*keys, "total", "_by", listed)
+    found = F.try_element_at(F.col("_by"), F.col("aspect"))
+    return grid.select(
+        *keys,
+        "total",
+        "position",
+        "aspect",
+        *[F.coalesce(found[c], F.lit(0)).alias(c) for c in ("mentions", *kinds)],
+    )
 
 
 def aspect_summary(df: DataFrame, group_by: str | None = None) -> DataFrame:

@@ -135,7 +135,7 @@ def _row_digest(df: DataFrame, row_id: str) -> Column:
     return F.sha2(F.to_json(F.struct(*[c for c in df.columns if c != row_id])), 256)
 
 
-def _same_review(df: DataFrame) -> list[Column]:
+def same_review_keys(df: DataFrame) -> list[Column]:
     """Grouping keys for "same reviewer, product and text"; long text enters as a digest."""
     keys = {
         "pageurl": F.col("pageurl"),
@@ -146,14 +146,14 @@ def _same_review(df: DataFrame) -> list[Column]:
     return [keys[n].alias(f"_{n}") for n in names] if len(names) >= 2 else []
 
 
-def _first_ids(df: DataFrame, row_id: str) -> DataFrame:
+def surviving_ids(df: DataFrame, row_id: str) -> DataFrame:
     """Row ids that survive all passes, worked out on digests only.
 
     Equal rows also agree on reviewer, product and text, so the first row of a
     "same review" group is the survivor of the exact pass and of this one.
     NULLs compare equal in every pass.
     """
-    keys = _same_review(df) or [_row_digest(df, row_id).alias("_row")]
+    keys = same_review_keys(df) or [_row_digest(df, row_id).alias("_row")]
     unique = F.col("uniq_id") if "uniq_id" in df.columns else F.lit(None).cast("string")
     slim = df.select(*keys, F.struct(F.col(row_id).alias("id"), unique.alias("unique")).alias("_first"))
     names = [c for c in slim.columns if c != "_first"]
@@ -175,12 +175,12 @@ def drop_duplicates(df: DataFrame, row_id: str = "row_id") -> DataFrame:
     of the table being copies of one row costs nothing extra; whole rows are
     shuffled once, on the unique row id.
     """
-    return df.join(_first_ids(df, row_id), row_id, "left_semi")
+    return df.join(surviving_ids(df, row_id), row_id, "left_semi")
 
 
 def duplicate_counts(df: DataFrame, row_id: str = "row_id") -> DataFrame:
     """Rows removed by each of the three passes, in long form."""
-    same = _same_review(df)
+    same = same_review_keys(df)
     unique = ["uniq_id"] if "uniq_id" in df.columns else []
     digests = df.select(
         _row_digest(df, row_id).alias("_row"),
