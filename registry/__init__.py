@@ -1,4 +1,4 @@
 """Queries over the given tables and the SQL they are checked against."""
 
-from registry import cleaning  # noqa: F401
+from registry import aggregates, cleaning, joins, profiling, scalars, textual  # noqa: F401
 from registry.base import ORACLES, QUERIES  # noqa: F401

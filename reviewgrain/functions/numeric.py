@@ -74,13 +74,19 @@ def rating_sentiment(c: Column) -> Column:
 
 
 def format_number(c: Column, places: int = 2) -> Column:
-    """1234567 -> 1.23M, 1234 -> 1.23K, otherwise the number with ``places`` decimals."""
-    spec = f"%.{places}f"
+    """1234567 -> 1.23M, 1234 -> 1.23K, otherwise the number with ``places`` decimals.
+
+    Digits come from the binary value, half to even.
+    """
+
+    def shown(x: Column) -> Column:
+        return F.replace(F.format_number(x, places), F.lit(","), F.lit(""))
+
     number = c.cast("double")
     return (
-        F.when(number >= 1e6, F.format_string(spec + "M", number / 1e6))
-        .when(number >= 1e3, F.format_string(spec + "K", number / 1e3))
-        .when(number.isNotNull(), F.format_string(spec, number))
+        F.when(number >= 1e6, F.concat(shown(number / 1e6), F.lit("M")))
+        .when(number >= 1e3, F.concat(shown(number / 1e3), F.lit("K")))
+        .otherwise(shown(number))
     )
 
 

@@ -104,10 +104,22 @@ def sentiment_score(
 
     Tokens keep their punctuation, so ``great!`` is not a hit.
     """
-    words = tokens(F.lower(c))
-    p = F.size(F.filter(words, lambda t: t.isin(*positive)))
-    n = F.size(F.filter(words, lambda t: t.isin(*negative)))
-    return F.when(c.isNotNull() & (p + n > 0), round_to((p - n) / (p + n), 3)).otherwise(0.0)
+    hits = F.filter(
+        F.split(F.lower(c), SPACE + "+"), lambda t: t.isin(*positive, *negative)
+    )
+
+    def count(acc: Column, t: Column) -> Column:
+        return F.struct(
+            (acc["p"] + t.isin(*positive).cast("int")).alias("p"),
+            (acc["n"] + t.isin(*negative).cast("int")).alias("n"),
+        )
+
+    def finish(acc: Column) -> Column:
+        p, n = acc["p"], acc["n"]
+        return F.when(p + n > 0, round_to((p - n) / (p + n), 3)).otherwise(0.0)
+
+    zero = F.struct(F.lit(0).alias("p"), F.lit(0).alias("n"))
+    return F.coalesce(F.aggregate(hits, zero, count, finish), F.lit(0.0))
 
 
 def sentiment_label(score: Column) -> Column:

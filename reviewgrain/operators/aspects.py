@@ -46,8 +46,12 @@ def find_aspects(df: DataFrame, keywords: Keywords = lx.ASPECT_KEYWORDS, review:
 
 
 def mentions(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Long form of ``find_aspects``: ``keep`` columns, aspect, keyword, sentiment."""
-    rows = df.select(*keep, F.inline("aspects"))
+    """Long form of ``find_aspects``: ``keep`` columns, aspect, keyword, sentiment.
+
+    The outer form keeps Spark from searching every text a second time just to
+    see whether the array is empty.
+    """
+    rows = df.select(*keep, F.inline_outer("aspects")).where(F.col("aspect").isNotNull())
     return rows.select(
         *keep, "aspect", "keyword", text.window_sentiment(F.col("context")).alias("sentiment")
     )

@@ -14,7 +14,8 @@ from reviewgrain.functions.numeric import round_to
 
 def with_similarity(df: DataFrame, query: Column, vector: str = "embedding") -> DataFrame:
     """Adds the cosine similarity to one query vector (a literal or a scalar sub-query)."""
-    return df.withColumn("similarity", vectors.cosine(F.col(vector), query))
+    beside = df.withColumn("_query", query)
+    return beside.withColumn("similarity", vectors.cosine(F.col(vector), F.col("_query"))).drop("_query")
 
 
 def in_category(df: DataFrame, category: str, name: str = "category") -> DataFrame:

@@ -50,8 +50,13 @@ def by_month(df: DataFrame, date_column: str = "review_date") -> DataFrame:
 
 
 def word_rows(df: DataFrame, keys: Sequence[str], review: str = "review") -> DataFrame:
-    """One row per lower-cased token, with the key columns."""
-    return df.select(*keys, F.explode(text.tokens(F.lower(F.col(review)))).alias("word"))
+    """One row per lower-cased token, with the key columns.
+
+    The outer form keeps Spark from splitting every text a second time just to
+    see whether it has any token.
+    """
+    words = F.explode_outer(F.split(F.lower(F.col(review)), text.SPACE + "+")).alias("word")
+    return df.select(*keys, words).where(F.col("word") != "")
 
 
 def drivers(
