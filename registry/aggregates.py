@@ -385,13 +385,13 @@ def best_rated_titles(spark, sf):
     return figures.orderBy(F.desc("helpfulness"), "title").limit(5)
 
 
-_SIMILAR = f"""similar AS (SELECT vec_id, {SQL_COSINE} AS similarity FROM (SELECT vec_id, embedding::DOUBLE[] AS a,
+_SIMILAR = f"""near_rows AS (SELECT vec_id, {SQL_COSINE} AS similarity FROM (SELECT vec_id, embedding::DOUBLE[] AS a,
  {SQL_FIRST_VECTOR} AS b FROM embeddings))"""
 
 
 def _selected(threshold: float) -> str:
     return f"""WITH {_SIMILAR}, ranked AS (SELECT *, row_number() OVER (ORDER BY similarity DESC, vec_id) AS rn,
- count(*) FILTER (similarity >= {threshold}) OVER () AS passing FROM similar)
+ count(*) FILTER (similarity >= {threshold}) OVER () AS passing FROM near_rows)
 SELECT vec_id, {rounded('similarity', 6)} AS similarity, similarity >= {threshold} AS by_threshold FROM ranked
 WHERE similarity >= {threshold} OR (passing = 0 AND rn <= 20)"""
 

@@ -64,9 +64,8 @@ def consolidate(
     other: str = lx.OTHER,
 ) -> DataFrame:
     """Categories with fewer than ``min_count`` rows become ``other``; NULL stays NULL."""
-    counts = category_counts(df, name)
-    joined = spread_join(df, counts.withColumnRenamed("_rows", "_size"), [name], row_id, counts=counts)
-    small = F.col("_size") < min_count
+    joined = spread_join(df, category_counts(df, name), [name], row_id)
+    small = F.col("_rows") < min_count
     return joined.withColumn(name, F.when(small, F.lit(other)).otherwise(F.col(name))).select(*df.columns)
 
 
@@ -76,7 +75,7 @@ def rows_of_small_categories(
     """Rows whose category has fewer than ``min_count`` rows."""
     counts = category_counts(df, name)
     small = counts.where((F.col("_rows") < min_count) & F.col(name).isNotNull()).select(name)
-    return spread_join(df, small, [name], row_id, "left_semi", counts=counts)
+    return spread_join(df, small, [name], row_id, "left_semi")
 
 
 def category_summary(df: DataFrame, name: str = "product_category") -> DataFrame:

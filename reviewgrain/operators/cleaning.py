@@ -53,7 +53,7 @@ def merge_by_url(
     """Fill gaps from the first row (by ``row_id``) of the same URL that has a value.
 
     Rows without a URL are left alone.  One grouped pass with map-side
-    combining serves all columns, hot URLs are salted in the join back.
+    combining serves all columns; the join back spreads hot URLs.
     """
     columns = present(df, columns)
     if url not in df.columns or not columns:
@@ -61,12 +61,8 @@ def merge_by_url(
     first = [
         F.min_by(c, F.when(F.col(c).isNotNull(), F.col(row_id))).alias(f"_{c}") for c in columns
     ]
-    per_url = (
-        df.where(F.col(url).isNotNull())
-        .groupBy(url)
-        .agg(*first, F.count(F.lit(1)).alias("_rows"))
-    )
-    joined = spread_join(df, per_url.drop("_rows"), [url], row_id, counts=per_url.select(url, "_rows"))
+    per_url = df.where(F.col(url).isNotNull()).groupBy(url).agg(*first)
+    joined = spread_join(df, per_url, [url], row_id)
     filled = joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_{c}")) for c in columns})
     return filled.select(*df.columns)
 

@@ -72,24 +72,41 @@ def _all_known(keys: Sequence[str]) -> Column:
     return out
 
 
+def splits_skew(spark: SparkSession) -> bool:
+    """True when the session splits oversized join partitions at run time."""
+    wanted = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    return all(spark.conf.get(name, "true").lower() == "true" for name in wanted)
+
+
 def spread_join(
+    big: DataFrame, lookup: DataFrame, keys: Sequence[str], row_id: str, how: str = "left"
+) -> DataFrame:
+    """Join ``big`` to a table with one row per key, whatever share a key holds.
+
+    A session with adaptive skew joins needs no help: it broadcasts the lookup
+    if that turns out small, and otherwise cuts the partition of a hot key into
+    even pieces of ``big``, without another pass over the table.  In other
+    sessions the hot keys are looked up first and salted.
+    """
+    if splits_skew(big.sparkSession):
+        return big.join(lookup, list(keys), how)
+    return salted_join(big, lookup, keys, row_id, how)
+
+
+def salted_join(
     big: DataFrame,
     lookup: DataFrame,
     keys: Sequence[str],
     row_id: str,
     how: str = "left",
-    counts: DataFrame | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Join ``big`` to a table with one row per key, whatever share a key holds.
+    """The same join with explicit salts for the hottest keys and for missing keys.
 
-    Rows of the hottest keys, and rows without a key, are spread over ``salts``
-    tasks; only the hot rows of ``lookup`` are repeated, at most 256 x salts.
-    ``counts`` is a (keys, _rows) table when the caller already has one.
+    Only the hot rows of ``lookup`` are repeated, at most 256 x ``salts`` of them.
     """
     keys = list(keys)
-    if counts is None:
-        counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     hot = F.broadcast(hot_keys(counts, keys, "_rows"))
     spread = F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int")
     left = big.join(hot, keys, "left").withColumn(

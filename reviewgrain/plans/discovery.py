@@ -94,7 +94,8 @@ def discover_aspects(
     Two counts are looked up while the plan is built: the number of reviews and
     the vector length, which bound the number of components.
     """
-    rows = cut_lineage(select_reviews(df, product, category, max_reviews, row_id=row_id))
+    chosen = select_reviews(df, product, category, max_reviews, row_id=row_id)
+    rows = cut_lineage(chosen.select(row_id, "review", vector))
     shape = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vector)).alias("d")).first()
     if shape["n"] < n_aspects:
         return _failure(rows, f"only {shape['n']} reviews, at least {n_aspects} needed")
@@ -183,7 +184,8 @@ def cluster_categories(
 ) -> DataFrame:
     """Reviews of all eligible categories with their ``cluster``, in one grouped job.
 
-    Caps are off unless asked for.
+    Caps are off unless asked for.  The result is stored, since every measure
+    and description reads it again.
     """
     eligible = categories.eligible_categories(df, min_reviews, first=max_categories)
     rows = df.where(text.non_empty(F.col("review")))
@@ -191,7 +193,7 @@ def cluster_categories(
     if max_reviews is not None:
         chosen = sample_per_category(chosen, max_reviews, row_id=row_id)
     slim = chosen.select(row_id, "product_category", "review", vector)
-    return grouped_kmeans(slim, ["product_category"], n_aspects, row_id, vector, iterations, tries)
+    return cut_lineage(grouped_kmeans(slim, ["product_category"], n_aspects, row_id, vector, iterations, tries))
 
 
 def aspect_documents(

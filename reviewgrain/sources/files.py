@@ -35,7 +35,8 @@ def save(df: DataFrame, path: str, kind: str = "parquet") -> None:
     """Replace what is at ``path``; Parquet keeps the types, CSV is for exchange."""
     writer = df.write.mode("overwrite")
     if kind == "csv":
-        writer.csv(path, header=True, quote='"', escape='"', timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS")
+        stamps = writer.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        stamps.csv(path, header=True, quote='"', escape='"')
     else:
         writer.parquet(path)
 
