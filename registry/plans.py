@@ -34,7 +34,7 @@ from registry.cleaning import _FILLABLE, _FIRSTS, _sql_valid, sql_clean, sql_map
 from registry.profiling import scraped, url_status
 from reviewgrain import lexicons as lx
 from reviewgrain.operators import aspects, categories, clusters, sentiment
-from reviewgrain.operators.scaling import cut_lineage
+from reviewgrain.operators.scaling import store
 from reviewgrain.plans import discovery, evaluation, preparation, reporting
 
 # --- cleaning, end to end ---------------------------------------------------------
@@ -76,7 +76,7 @@ def processed(spark, sf):
 
 def stored(rows):
     """Stage boundary: later stages read what the earlier one has written."""
-    return cut_lineage(rows)
+    return store(rows, "stage")
 
 
 _SHOWN = [
@@ -148,6 +148,11 @@ def analyse_categories(spark, sf):
     return sentiment.by_category(full(spark, sf))
 
 
+def facts(spark, sf):
+    """What the report needs of the analysed reviews, stored without their text."""
+    return stored(analysed(spark, sf).select(*reporting.FACTS))
+
+
 SQL_ADVICE = f"""{SQL_CATEGORY_SENTIMENT}, {SQL_PAIN_POINTS}, {SQL_ASPECT_STATS}, {SQL_HIGHLIGHTS}, {SQL_TIME},
 biggest AS (SELECT product_category, review_count FROM category_sentiment ORDER BY review_count DESC, product_category LIMIT 3),
 advice AS (SELECT 0 AS position, 'high' AS priority, highest_negative AS area,
@@ -163,7 +168,7 @@ UNION ALL SELECT 99, 'high', 'Overall Trend', 'Ratings are falling month by mont
 
 @query("pl5_recommendations", f"{CTE_ANALYSED}, {SQL_ADVICE} SELECT * FROM advice")
 def recommendations(spark, sf):
-    return reporting.recommendations(analysed(spark, sf))
+    return reporting.recommendations(facts(spark, sf))
 
 
 def _cells(*parts: str) -> str:
@@ -200,7 +205,7 @@ UNION ALL SELECT 3, place, {_cells('aspect', "format('{:,}', mention_count)", _p
 UNION ALL SELECT 4, ord, line FROM trend""",
 )
 def report(spark, sf):
-    return reporting.report_lines(analysed(spark, sf))
+    return reporting.report_lines(facts(spark, sf))
 
 
 # --- discovery and evaluation ------------------------------------------------------

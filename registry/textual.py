@@ -122,7 +122,7 @@ def sentiment_label(spark, sf):
 @query("tx7_aspect_mentions", f"{CTE_ANALYSED} SELECT row_id, aspect, keyword FROM mentions")
 def aspect_mentions(spark, sf):
     rows = aspects.find_aspects(reviews(spark, sf).select("row_id", "review"))
-    return rows.select("row_id", F.inline("aspects")).drop("context")
+    return aspects.long_form(rows, ["row_id"]).drop("context")
 
 
 _WIDE = ", ".join(

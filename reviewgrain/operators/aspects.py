@@ -46,15 +46,19 @@ def find_aspects(df: DataFrame, keywords: Keywords = lx.ASPECT_KEYWORDS, review:
 
 
 def mentions(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Long form of ``find_aspects``: ``keep`` columns, aspect, keyword, sentiment.
+    """Long form of ``find_aspects``: ``keep`` columns, aspect, keyword, sentiment."""
+    return long_form(df, keep).select(
+        *keep, "aspect", "keyword", text.window_sentiment(F.col("context")).alias("sentiment")
+    )
+
+
+def long_form(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per entry of ``aspects``: ``keep`` columns, aspect, keyword, context.
 
     The outer form keeps Spark from searching every text a second time just to
     see whether the array is empty.
     """
-    rows = df.select(*keep, F.inline_outer("aspects")).where(F.col("aspect").isNotNull())
-    return rows.select(
-        *keep, "aspect", "keyword", text.window_sentiment(F.col("context")).alias("sentiment")
-    )
+    return df.select(*keep, F.inline_outer("aspects")).where(F.col("aspect").isNotNull())
 
 
 def widen(df: DataFrame, names: Sequence[str] = tuple(lx.ASPECT_KEYWORDS)) -> DataFrame:

@@ -42,6 +42,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write a wide intermediate table once and read it back as Parquet.
+
+    Unlike a checkpoint the stored table still prunes columns and pushes filters.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def with_row_id(df: DataFrame, key: str | None = None) -> DataFrame:
     """Row ordinal needed by every "first" rule.
 

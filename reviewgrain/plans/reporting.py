@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from reviewgrain.operators import insights
 
 
+# the columns of the analysed reviews that the report reads
+FACTS = ["uniq_id", "product_id", "product_category", "review_date", "rating", "sentiment", "sentiment_score", "aspects"]
+
+
 def recommendations(df: DataFrame, top_categories: int = 3) -> DataFrame:
     """(position, priority, area, recommendation, action).
 
@@ -36,7 +40,7 @@ def recommendations(df: DataFrame, top_categories: int = 3) -> DataFrame:
     category = F.col("product_category")
     # at most ``top_categories`` rows on one side
     by_category = pain.join(F.broadcast(biggest.select("product_category", "review_count")), "product_category").select(
-        (F.lit(1) + F.row_number().over(_by_size()) - 1).alias("position"),
+        F.row_number().over(_by_size()).alias("position"),
         F.lit("medium").alias("priority"),
         F.concat(category, F.lit(" - "), F.col("aspect")).alias("area"),
         F.format_string("Address %s in category %s.", F.col("aspect"), category).alias("recommendation"),
@@ -147,10 +151,10 @@ def report_lines(df: DataFrame, top_n: int = 10) -> DataFrame:
     )
     return (
         head.unionByName(advice)
-        .unionByName(_titled(summary, 1, ["## Key Recommendations"]))
+        .unionByName(_titled(df, 1, ["## Key Recommendations"]))
         .unionByName(
             _titled(
-                summary,
+                df,
                 2,
                 [
                     "## Category Performance",
@@ -162,7 +166,7 @@ def report_lines(df: DataFrame, top_n: int = 10) -> DataFrame:
         .unionByName(categories)
         .unionByName(
             _titled(
-                summary,
+                df,
                 3,
                 [
                     "## Aspect Analysis",
@@ -177,10 +181,10 @@ def report_lines(df: DataFrame, top_n: int = 10) -> DataFrame:
     )
 
 
-def _titled(summary: DataFrame, section: int, lines: Sequence[str]) -> DataFrame:
+def _titled(df: DataFrame, section: int, lines: Sequence[str]) -> DataFrame:
     """Fixed lines in front of a section, numbered below zero."""
-    entries = [F.struct(F.lit(i - len(lines)).cast("long").alias("ord"), F.lit(x).alias("line")) for i, x in enumerate(lines)]
-    return summary.select(F.lit(section).alias("section"), F.inline(F.array(*entries)))
+    rows = [(section, i - len(lines), line) for i, line in enumerate(lines)]
+    return df.sparkSession.createDataFrame(rows, "section int, ord long, line string")
 
 
 def _ranked_aspects(df: DataFrame, top_n: int) -> DataFrame:
