@@ -31,20 +31,20 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 # --- tables -----------------------------------------------------------------
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; one that arrives in very few splits is spread over the cores.
+    """A given table; one that arrives in a handful of splits is spread over the cores.
 
     A big table has far more splits than that and is read as it is.
     """
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores // 2 else rows
+    few = min(cores // 2, 8)
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < few else rows
 
 
 # The given tables hold no reviews, so this view makes one review per document:
-# a phrase from a short list in front of the whole document text.  Labelled
-# documents are re-posted: quality 0 as an exact copy, toxic 1 under a new id.
-# The text runs unchanged in Spark and DuckDB.
-REVIEWS = """
+# a phrase from a short list in front of the whole document text.  The text runs
+# unchanged in Spark and DuckDB.
+BASE = """
 WITH phrase(k, phrase, title) AS (VALUES
  (0,'great quality and fast shipping, works perfect .','Wireless Headphone Speaker'),
  (1,'terrible quality , broke after a week . waste of money','Kitchen Cookware Set'),
@@ -88,16 +88,15 @@ FROM {documents} d JOIN phrase p ON p.k = d.doc_id % 12
 LEFT JOIN {events} e ON e.event_id = d.doc_id
 LEFT JOIN {labels} l ON l.doc_id = d.doc_id)
 SELECT * FROM base
-UNION ALL
-SELECT row_id + 1000000000000, uniq_id, pageurl, title, rating, review, reviewer_name, review_upvotes, review_downvotes,
- verified_purchaser, review_date, crawl_timestamp, website, recommended_purchase, five_star, four_star, three_star,
- two_star, one_star, rating_text, date_text, lang, source, quality, toxic FROM base WHERE quality = 0
-UNION ALL
-SELECT row_id + 2000000000000, concat(uniq_id, 'b'), pageurl, title, rating, review, reviewer_name, review_upvotes + 1,
- review_downvotes, verified_purchaser, review_date, crawl_timestamp, website, recommended_purchase, five_star, four_star,
- three_star, two_star, one_star, rating_text, date_text, lang, source, quality, toxic FROM base WHERE toxic = 1
 """
 
+# Labelled documents are posted again: quality 0 as an exact copy, toxic 1 under
+# a new id with one more upvote.  Spark makes the copies in the same scan.
+COPY = 1_000_000_000_000
+SQL_REVIEWS = f"""SELECT * FROM base UNION ALL
+SELECT * REPLACE (row_id + {COPY} AS row_id) FROM base WHERE quality = 0 UNION ALL
+SELECT * REPLACE (row_id + {2 * COPY} AS row_id, uniq_id || 'b' AS uniq_id, review_upvotes + 1 AS review_upvotes) FROM base WHERE toxic = 1"""
+
 RAW_COLUMNS = [
     "uniq_id", "pageurl", "title", "rating", "review", "reviewer_name", "review_upvotes", "review_downvotes",
     "verified_purchaser", "review_date", "crawl_timestamp", "website", "recommended_purchase",
@@ -106,12 +105,26 @@ RAW_COLUMNS = [
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(
-        REVIEWS,
+    """The review view; the event join disappears from plans that need no date."""
+    dates = spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("event_id").agg(F.min("ts").alias("ts"))
+    base = spark.sql(
+        BASE,
         documents=table(spark, sf_dir, "documents"),
-        events=spark.read.parquet(f"{sf_dir}/events.parquet"),
+        events=dates,
         labels=spark.read.parquet(f"{sf_dir}/labels.parquet"),
     )
+    copies = F.array_compact(
+        F.array(F.lit(0), F.when(F.col("quality") == 0, 1), F.when(F.col("toxic") == 1, 2))
+    )
+    posted = base.withColumn("_copy", F.explode_outer(copies))
+    renamed = F.col("_copy") == 2
+    return posted.withColumns(
+        {
+            "row_id": F.col("row_id") + F.col("_copy") * F.lit(COPY),
+            "uniq_id": F.when(renamed, F.concat("uniq_id", F.lit("b"))).otherwise(F.col("uniq_id")),
+            "review_upvotes": F.col("review_upvotes") + renamed.cast("int"),
+        }
+    ).drop("_copy")
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,8 +227,8 @@ SQL_DERIVED = f"""
  year(review_date)::INTEGER AS review_year, month(review_date)::INTEGER AS review_month,
  strftime(review_date, '%Y-%m') AS review_year_month"""
 
-SQL_REVIEWS = REVIEWS.format(documents="documents", events="events", labels="labels")
-CTE_REVIEWS = f"WITH reviews AS MATERIALIZED ({SQL_REVIEWS})"
+SQL_BASE = BASE.format(documents="documents", events="events", labels="labels").strip()
+CTE_REVIEWS = f"WITH base AS MATERIALIZED ({SQL_BASE}), reviews AS MATERIALIZED ({SQL_REVIEWS})"
 
 CTE_SCORED = f"""{CTE_REVIEWS},
 scored AS MATERIALIZED (SELECT *, {sql_label('sentiment_score')} AS sentiment FROM (

@@ -225,11 +225,19 @@ def sampled_silhouette(
 
 
 def calinski_harabasz(
-    points: DataFrame, keys: Sequence[str] = (), cluster: str = "cluster", vector: str = "embedding"
+    points: DataFrame,
+    keys: Sequence[str] = (),
+    cluster: str = "cluster",
+    vector: str = "embedding",
+    sums: DataFrame | None = None,
 ) -> DataFrame:
-    """Between over within dispersion per group; 0 with fewer than two clusters."""
+    """Between over within dispersion per group; 0 with fewer than two clusters.
+
+    Needs nothing but the ``cluster_sums``, which a caller may already have.
+    """
     points, groups = _grouped(points, keys)
-    sums = cluster_sums(points, groups, cluster, vector).withColumns(
+    known = cluster_sums(points, groups, cluster, vector) if sums is None else sums
+    sums = known.withColumns(
         {
             "_total": _scaled(F.col("mean"), F.col("n")),
             "_spread": F.col("squares") - F.col("n") * vectors.dot(F.col("mean"), F.col("mean")),
@@ -257,10 +265,12 @@ def davies_bouldin(
     cluster: str = "cluster",
     vector: str = "embedding",
     row_id: str = "row_id",
+    sums: DataFrame | None = None,
 ) -> DataFrame:
     """Mean over clusters of the worst (s_i + s_j) / d_ij; NULL with fewer than two clusters."""
     points, groups = _grouped(points, keys)
-    table = cut_lineage(_per_group(cluster_sums(points, groups, cluster, vector), groups, cluster))
+    known = cluster_sums(points, groups, cluster, vector) if sums is None else sums
+    table = cut_lineage(_per_group(known, groups, cluster))
     joined = attach(points, table, groups, row_id, "inner")
     mine = F.get(F.filter("clusters", lambda c: c["cluster"] == F.col(cluster)), 0)
     gap = vectors.distance(F.col(vector), mine["mean"])
@@ -306,9 +316,14 @@ def overall_coherence(per_cluster: DataFrame, keys: Sequence[str] = ()) -> DataF
     )
 
 
-def cluster_balance(points: DataFrame, keys: Sequence[str] = (), cluster: str = "cluster") -> DataFrame:
+def cluster_balance(
+    points: DataFrame, keys: Sequence[str] = (), cluster: str = "cluster", sums: DataFrame | None = None
+) -> DataFrame:
     """Smallest, biggest, mean and population deviation of the cluster sizes, and their ratio."""
-    sizes = points.groupBy(*keys, cluster).agg(F.count(F.lit(1)).alias("size"))
+    if sums is None:
+        sizes = points.groupBy(*keys, cluster).agg(F.count(F.lit(1)).alias("size"))
+    else:
+        sizes = sums.select(*keys, cluster, F.col("n").alias("size"))
     out = sizes.groupBy(*keys).agg(
         F.min("size").alias("min_size"),
         F.max("size").alias("max_size"),

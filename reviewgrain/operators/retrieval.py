@@ -68,9 +68,9 @@ def relevant_rows(
     """
     passing = scored.where(F.col("similarity") >= threshold)
     any_passing = passing.limit(1).agg(F.count(F.lit(1)).alias("n")).scalar()
-    nearest = scored.orderBy(F.desc("similarity"), key).limit(fallback)
+    nearest = scored.where(any_passing == 0).orderBy(F.desc("similarity"), key).limit(fallback)
     return passing.withColumn("by_threshold", F.lit(True)).unionByName(
-        nearest.where(any_passing == 0).withColumn("by_threshold", F.lit(False))
+        nearest.withColumn("by_threshold", F.lit(False))
     )
 
 

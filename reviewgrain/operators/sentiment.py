@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewgrain import lexicons as lx
@@ -74,11 +74,16 @@ def drivers(
     rows = df.where(F.col("sentiment") == sentiment)
     if category is not None:
         rows = rows.where(F.col("product_category") == category)
-    size = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
-    words = word_rows(rows, []).where(~F.col("word").isin(*stop_words) & (F.length("word") > 2))
-    top = words.groupBy(F.col("word").alias("theme")).agg(F.count(F.lit(1)).alias("count"))
-    top = top.orderBy(F.desc("count"), "theme").limit(top_n)
-    return top.withColumn("percentage", percent(F.col("count"), size, 2))
+    # one unnamed entry per row counts the rows in the same pass as the words
+    words = F.coalesce(text.tokens(F.lower(F.col("review"))), F.array().cast("array<string>"))
+    entries = rows.select(F.explode_outer(F.concat(F.array(F.lit("")), words)).alias("theme"))
+    theme = F.col("theme")
+    useful = (theme == "") | (~theme.isin(*stop_words) & (F.length(theme) > 2))
+    counts = entries.where(useful).groupBy("theme").agg(F.count(F.lit(1)).alias("count"))
+    top = counts.orderBy(theme != "", F.desc("count"), "theme").limit(top_n + 1)
+    size = F.max(F.when(theme == "", F.col("count"))).over(Window.partitionBy())
+    shared = top.withColumn("percentage", percent(F.col("count"), size, 2))
+    return shared.where(theme != "").orderBy(F.desc("count"), "theme")
 
 
 def sample_reviews(
@@ -166,12 +171,12 @@ def overall_polarity(pos: Column, neg: Column) -> Column:
 
 
 def aspect_name_sentiment(
-    df: DataFrame, keys: Sequence[str] = (), review: str = "review"
+    df: DataFrame, keys: Sequence[str] = (), review: str = "review", extra: Sequence[Column] = ()
 ) -> DataFrame:
     """Positive and negative shares counted independently.
 
     A review may be both, so ``neutral_pct`` can fall below zero;
-    ``mixed_count`` says how many are both.
+    ``mixed_count`` says how many are both.  ``extra`` aggregates ride along.
     """
     pos, neg = text.polarity_flags(
         F.col(review), lx.ASPECT_NAME_POSITIVE_WORDS, lx.ASPECT_NAME_NEGATIVE_WORDS
@@ -182,6 +187,7 @@ def aspect_name_sentiment(
         F.count_if("_pos").alias("positive_count"),
         F.count_if("_neg").alias("negative_count"),
         F.count_if(F.col("_pos") & F.col("_neg")).alias("mixed_count"),
+        *extra,
     )
     n, p, q = (F.col(c) for c in ("review_count", "positive_count", "negative_count"))
     return counts.withColumns(

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewgrain.functions import text, vectors
-from reviewgrain.operators.scaling import first_per_group
+from reviewgrain.operators.scaling import first_per_group, spread_join
 from reviewgrain.operators.sentiment import word_rows
 
 OUTLIER = -1
@@ -39,13 +39,15 @@ def assign_topics(
     raw = model.transform(prepared)
     own = F.get(F.array(*centers), F.col("_raw"))
     rows = raw.select(row_id, "_raw", vectors.distance(vector_to_array("_features"), own).alias("distance"))
-    return number_topics(rows, "_raw", min_size)
+    return number_topics(rows, "_raw", min_size, row_id)
 
 
-def number_topics(rows: DataFrame, cluster: str, min_size: int = 50) -> DataFrame:
+def number_topics(
+    rows: DataFrame, cluster: str, min_size: int = 50, row_id: str = "row_id"
+) -> DataFrame:
     """Replace cluster ids by topic ids: biggest is 0, below ``min_size`` rows is -1.
 
-    The size table has one row per cluster of the model.
+    The window runs over the size table, one row per cluster.
     """
     from pyspark.sql import Window
 
@@ -54,7 +56,7 @@ def number_topics(rows: DataFrame, cluster: str, min_size: int = 50) -> DataFram
     numbers = sizes.select(
         cluster, F.when(F.col("_size") < min_size, OUTLIER).otherwise(rank).cast("long").alias("topic_id")
     )
-    return rows.join(F.broadcast(numbers), cluster).drop(cluster)
+    return spread_join(rows, numbers, [cluster], row_id, "inner").drop(cluster)
 
 
 def save_model(model: KMeansModel, path: str) -> None:

@@ -127,13 +127,13 @@ def aspect_by_name(
     """Figures of the reviews close to an aspect, in one row; needs ``similarity``."""
     relevant = retrieval.relevant_rows(scored, threshold, key=row_id)
     analysed = scored.agg(F.count(F.lit(1)).alias("n")).scalar()
-    similarity = relevant.agg(F.avg("similarity").alias("s")).scalar()
-    counted = sentiment.aspect_name_sentiment(relevant)
+    similarity = F.avg("similarity").alias("avg_similarity")
+    counted = sentiment.aspect_name_sentiment(relevant, extra=[similarity])
     return counted.select(
         F.lit(aspect_name).alias("aspect_name"),
         analysed.alias("total_reviews_analyzed"),
         F.col("review_count").alias("relevant_reviews_count"),
-        similarity.alias("avg_similarity"),
+        "avg_similarity",
         "positive_pct",
         "negative_pct",
         "neutral_pct",

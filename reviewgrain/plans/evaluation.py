@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reviewgrain.functions import numeric
 from reviewgrain.functions.numeric import round_to
 from reviewgrain.operators import clusters
+from reviewgrain.operators.scaling import cut_lineage
 
 GROUP = ["product_category"]
 
@@ -20,16 +21,16 @@ def evaluate_categories(
     ``assigned`` are clustered reviews, ``totals(product_category,
     total_reviews)`` the number of reviews that should have been covered.  The
     Euclidean silhouette is taken on a fixed-size sample per category, every
-    other measure on all rows; full clusters are used throughout.
+    other measure on all rows; full clusters are used throughout.  The sums per
+    cluster are stored once and shared.
     """
+    sums = cut_lineage(clusters.cluster_sums(assigned, GROUP, vector=vector))
     silhouette = clusters.sampled_silhouette(assigned, GROUP, sample, vector=vector, row_id=row_id)
-    ch = clusters.calinski_harabasz(assigned, GROUP, vector=vector)
-    db = clusters.davies_bouldin(assigned, GROUP, vector=vector, row_id=row_id)
+    ch = clusters.calinski_harabasz(assigned, GROUP, sums=sums)
+    db = clusters.davies_bouldin(assigned, GROUP, vector=vector, row_id=row_id, sums=sums)
     coherent = clusters.overall_coherence(clusters.coherence(assigned, GROUP, vector=vector), GROUP)
-    balance = clusters.cluster_balance(assigned, GROUP)
-    sizes = assigned.groupBy(*GROUP).agg(
-        F.count(F.lit(1)).alias("n_reviews"), F.count_distinct("cluster").alias("n_clusters")
-    )
+    balance = clusters.cluster_balance(assigned, GROUP, sums=sums)
+    sizes = sums.groupBy(*GROUP).agg(F.sum("n").alias("n_reviews"), F.count(F.lit(1)).alias("n_clusters"))
     joined = sizes
     for part in (silhouette, ch, db, coherent, balance, totals):
         joined = joined.join(part, GROUP, "left")
