@@ -59,7 +59,7 @@ WITH phrase(k, phrase, title) AS (VALUES
  (10,'horrible support , warranty is garbage','Office Desk'),
  (11,'no complaints , looks beautiful and works','Plain Item')),
 base AS (
-SELECT d.doc_id AS row_id,
+SELECT /*+ BROADCAST(p) */ d.doc_id AS row_id,
  CAST(d.doc_id - CASE WHEN d.doc_id % 50 = 49 THEN 1 ELSE 0 END AS STRING) AS uniq_id,
  CASE WHEN d.doc_id % 41 = 0 THEN NULL
       WHEN d.doc_id % 3 = 0 THEN concat('https://shop.example.com/ip/item-', CAST(d.doc_id % 97 AS STRING), '/', CAST(100000 + d.doc_id % 97 AS STRING))

@@ -8,7 +8,6 @@ from registry.base import (
     CTE_REVIEWS,
     CTE_SCORED,
     query,
-    quoted,
     raw_reviews,
     reviews,
     rounded,
@@ -355,6 +354,3 @@ def duplicate_counts(spark, sf):
 def drop_document_copies(spark, sf):
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("row_id"), F.col("text").alias("review"))
     return cleaning.drop_duplicates(docs).select("row_id", F.md5("review").alias("digest"))
-
-
-__all__ = ["quoted"]

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from registry.base import CTE_EMBEDDED, CTE_REVIEWS, CTE_SCORED, embedded, query, reviews, scored, sql_category, table
+from registry.base import CTE_EMBEDDED, CTE_REVIEWS, CTE_SCORED, embedded, query, reviews, scored, table
 from registry.joins import first_vector
 from registry.textual import sql_polarity_table
 from reviewgrain.operators import categories, exchanges, retrieval, sentiment
-from reviewgrain.plans import discovery
 
 NL = "chr(10)"
 
@@ -272,6 +271,3 @@ def no_hits(spark, sf):
 )
 def aspect_prompts(spark, sf):
     return exchanges.aspect_prompts(reviews(spark, sf))
-
-
-__all__ = ["discovery", "sql_category"]

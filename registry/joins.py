@@ -8,7 +8,6 @@ from registry.base import CTE_EMBEDDED, CTE_REVIEWS, CTE_SCORED, embedded, query
 from registry.profiling import CTE_SIDE, scraped, url_status
 from registry.textual import _MAP, title_map
 from reviewgrain import lexicons as lx
-from reviewgrain.functions import vectors
 from reviewgrain.functions.numeric import round_to
 from reviewgrain.operators import categories, clusters, enrichment, retrieval, sentiment
 
@@ -203,6 +202,3 @@ def topic_documents(spark, sf):
     )
     docs = scored(spark, sf).where(non_empty(F.col("review")) & (F.col("product_category") == "Electronics"))
     return docs.join(assignments, "row_id").select("row_id", "topic_id", "product_category")
-
-
-__all__ = ["vectors"]

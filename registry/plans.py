@@ -14,6 +14,7 @@ from registry.aggregates import (
 )
 from registry.base import (
     CTE_ANALYSED,
+    CTE_EMBEDDED,
     CTE_REVIEWS,
     RAW_COLUMNS,
     SQL_DERIVED,
@@ -27,13 +28,16 @@ from registry.base import (
     sql_label,
     sql_score,
     sql_stamp,
+    sql_tokens,
     stamp,
 )
-from registry.clusters import near_reviews
+from registry.clusters import CTE_NEAR, CTE_VECTORS, _sql_silhouette, labelled, near_reviews
 from registry.cleaning import _FILLABLE, _FIRSTS, _sql_valid, sql_clean, sql_mapped, sql_tokenless
 from registry.profiling import scraped, url_status
+from registry.textual import sql_polarity_table, sql_simple_sentiment
 from reviewgrain import lexicons as lx
-from reviewgrain.operators import aspects, categories, clusters, sentiment
+from reviewgrain.functions.numeric import round_to
+from reviewgrain.operators import aspects, categories, sentiment
 from reviewgrain.operators.scaling import store
 from reviewgrain.plans import discovery, evaluation, preparation, reporting
 
@@ -220,13 +224,20 @@ def too_few_reviews(spark, sf):
     return found.select("success", "error")
 
 
-@query(
-    "pl8_summarise_aspect_category",
-    None,
-)
-def summarise_by_category(spark, sf):
+def _sql_by_name(where: str, name: str, threshold: float) -> str:
+    """Figures of the reviews at or above the threshold; the check has no fallback branch."""
+    return f"""{CTE_NEAR}, rows AS (SELECT * FROM near_rows WHERE {where}),
+relevant AS (SELECT *, 1 AS one FROM rows WHERE similarity >= {threshold})
+SELECT '{name}' AS aspect_name, (SELECT count(*) FROM rows) AS total_reviews_analyzed, review_count AS relevant_reviews_count,
+ (SELECT {rounded('avg(similarity)', 6)} FROM relevant) AS avg_similarity, positive_pct, negative_pct, neutral_pct, mixed_count,
+ review_count::VARCHAR || ' reviews about {name}.' AS summary, true AS success FROM {sql_simple_sentiment('relevant', 'one')}"""
+
+
+@query("pl8_aspect_in_category", _sql_by_name("product_category = 'Electronics'", "sound", 0.0))
+def aspect_in_category(spark, sf):
     rows = near_reviews(spark, sf).where(F.col("product_category") == "Electronics")
-    return discovery.aspect_by_name(rows, "sound", 0.0)
+    found = discovery.aspect_by_name(rows, "sound", 0.0)
+    return found.withColumn("avg_similarity", round_to(F.col("avg_similarity"), 6))
 
 
 def clustered(spark, sf):
@@ -239,6 +250,26 @@ def all_documents(spark, sf):
     return made.drop("embedding", "sample_reviews", "sentiment", "created_at")
 
 
+@query(
+    "pl9_documents_of_given_clusters",
+    f"""{CTE_EMBEDDED}, polarity AS (SELECT * FROM {sql_polarity_table('embedded', 'product_category, cluster')}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY product_category, cluster ORDER BY row_id) AS rn FROM embedded),
+words AS (SELECT product_category, cluster, unnest({sql_tokens('lower(review)')}) AS word FROM ranked WHERE rn <= 10),
+counted AS (SELECT product_category, cluster, word, count(*) AS n FROM words GROUP BY ALL),
+top AS (SELECT *, row_number() OVER (PARTITION BY product_category, cluster ORDER BY n DESC, word) AS place FROM counted),
+names AS (SELECT product_category, cluster, coalesce(string_agg(word, ' / ' ORDER BY place) FILTER (length(word) > 3), '') AS name
+ FROM top WHERE place <= 3 GROUP BY 1, 2),
+samples AS (SELECT product_category, cluster, string_agg(md5(review), ' ' ORDER BY rn) AS samples FROM ranked WHERE rn <= 3 GROUP BY 1, 2)
+SELECT product_category || '_' || (cluster + 1) AS doc_id, product_category AS category, coalesce(name, '') AS aspect_name,
+ review_count::VARCHAR || ' reviews about ' || coalesce(name, '') || '.' AS summary, overall, positive_pct, negative_pct, neutral_pct, review_count,
+ coalesce(samples, '') AS samples FROM polarity LEFT JOIN names USING (product_category, cluster) LEFT JOIN samples USING (product_category, cluster)""",
+)
+def documents_of_given_clusters(spark, sf):
+    made = discovery.aspect_documents(embedded(spark, sf), F.lit("2020-01-01 00:00:00"))
+    shown = F.array_join(F.transform("sample_reviews", F.md5), " ").alias("samples")
+    return made.select("doc_id", "category", "aspect_name", "summary", "sentiment.*", "review_count", shown)
+
+
 @query("pl9_run_outcome")
 def run_outcome(spark, sf):
     made = discovery.aspect_documents(clustered(spark, sf), F.lit("2020-01-01 00:00:00"))
@@ -259,10 +290,95 @@ def evaluation_rollup(spark, sf):
     return evaluation.rollup(evaluation.evaluate_categories(clustered(spark, sf), _totals(spark, sf)))
 
 
-@query("pl11_evaluation_report")
-def evaluation_report(spark, sf):
-    from registry.clusters import labelled
+def _sql_measures(source: str) -> str:
+    """All measures per category from their definitions, over all pairs and dimensions."""
+    key = "product_category"
+    return f"""chosen AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY md5(row_id::VARCHAR), row_id) AS rn
+ FROM {source}) WHERE rn <= 200),
+{_sql_silhouette('chosen', 'list_distance(a.v, b.v)', key)},
+long AS (SELECT {key}, row_id, cluster, i, v[i] AS x FROM {source}, range(1, 65) t(i)),
+centers AS MATERIALIZED (SELECT {key}, cluster, i, avg(x) AS m, count(*) AS n FROM long GROUP BY ALL),
+means AS (SELECT {key}, i, avg(x) AS m FROM long GROUP BY ALL),
+sizes AS (SELECT {key}, count(*) AS n, count(DISTINCT cluster) AS k FROM {source} GROUP BY 1),
+b AS (SELECT {key}, sum(c.n * (c.m - o.m) ** 2) AS between_ FROM centers c JOIN means o USING ({key}, i) GROUP BY 1),
+gaps AS MATERIALIZED (SELECT {key}, row_id, cluster, sum((l.x - c.m) ** 2) AS dd FROM long l JOIN centers c USING ({key}, cluster, i) GROUP BY ALL),
+w AS (SELECT {key}, sum(dd) AS within_ FROM gaps GROUP BY 1),
+spread AS (SELECT {key}, cluster, avg(sqrt(dd)) AS s FROM gaps GROUP BY 1, 2),
+apart AS (SELECT a.{key}, a.cluster AS ca, b.cluster AS cb, sqrt(sum((a.m - b.m) ** 2)) AS d FROM centers a
+ JOIN centers b ON a.{key} = b.{key} AND a.i = b.i AND a.cluster <> b.cluster GROUP BY ALL),
+db AS (SELECT {key}, avg(r) AS db FROM (SELECT apart.{key}, ca, max((x.s + y.s) / d) AS r FROM apart
+ JOIN spread x ON x.{key} = apart.{key} AND x.cluster = ca JOIN spread y ON y.{key} = apart.{key} AND y.cluster = cb GROUP BY ALL) GROUP BY 1),
+coh AS (SELECT {key}, avg(s) AS coherence FROM (SELECT a.{key}, a.cluster, avg(list_cosine_similarity(a.v, b.v)) AS s FROM {source} a
+ JOIN {source} b ON a.{key} = b.{key} AND a.cluster = b.cluster AND a.row_id < b.row_id GROUP BY ALL) GROUP BY 1),
+balance AS (SELECT {key}, {rounded('stddev_pop(n) / avg(n)', 3)} AS variation FROM (SELECT {key}, cluster, count(*) AS n FROM {source} GROUP BY ALL) GROUP BY 1),
+measures AS (SELECT {key}, sizes.n AS n_reviews, t.total_reviews, sizes.k AS n_clusters, {rounded('scores.score', 4)} AS silhouette,
+ {rounded('(between_ / (k - 1)) / (within_ / (sizes.n - k))', 2)} AS calinski_harabasz, {rounded('db', 4)} AS davies_bouldin,
+ {rounded('coherence', 4)} AS coherence, {rounded('sizes.n::DOUBLE / t.total_reviews * 100', 2)} AS coverage, variation
+ FROM sizes JOIN scores USING ({key}) JOIN b USING ({key}) JOIN w USING ({key}) JOIN db USING ({key}) JOIN coh USING ({key})
+ JOIN balance USING ({key}) JOIN totals t USING ({key})),
+graded AS (SELECT *, {rounded('raw', 4)} AS overall_score, CASE WHEN raw >= 0.7 THEN 'A' WHEN raw >= 0.55 THEN 'B' WHEN raw >= 0.4 THEN 'C'
+ WHEN raw >= 0.25 THEN 'D' ELSE 'F' END AS grade FROM (SELECT *, ((silhouette + 1) / 2 + coherence + coverage / 100) / 3 AS raw FROM measures))"""
+
+
+CTE_GRADED = f"""{CTE_EMBEDDED}, totals AS (SELECT product_category, count(*) * 2 AS total_reviews FROM embedded GROUP BY 1),
+{_sql_measures('embedded')}"""
+
+
+def graded(spark, sf):
+    """The given clusters, as if they covered half of the reviews."""
+    rows = embedded(spark, sf)
+    totals = rows.groupBy("product_category").agg((F.count(F.lit(1)) * 2).alias("total_reviews"))
+    return evaluation.evaluate_categories(rows, totals)
+
+
+@query("pl10_evaluation_of_given_clusters", f"{CTE_GRADED} SELECT * EXCLUDE (raw) FROM graded")
+def evaluation_of_given_clusters(spark, sf):
+    return graded(spark, sf)
+
+
+@query(
+    "pl10_rollup_of_given_clusters",
+    f"""{CTE_GRADED}, averages AS (SELECT *, ((s + 1) / 2 + c + v / 100) / 3 AS score FROM (SELECT count(*) AS n, avg(silhouette) AS s,
+ avg(coherence) AS c, avg(coverage) AS v FROM graded))
+SELECT n AS categories_evaluated, {rounded('s', 4)} AS avg_silhouette, {rounded('c', 4)} AS avg_coherence, {rounded('v', 1)} AS avg_coverage,
+ {rounded('score', 4)} AS overall_score, CASE WHEN score >= 0.7 THEN 'A' WHEN score >= 0.55 THEN 'B' WHEN score >= 0.4 THEN 'C'
+ WHEN score >= 0.25 THEN 'D' ELSE 'F' END AS grade FROM averages""",
+)
+def rollup_of_given_clusters(spark, sf):
+    return evaluation.rollup(graded(spark, sf))
 
+
+@query("pl12_given_clusters_of_category", f"{CTE_GRADED} SELECT * EXCLUDE (raw) FROM graded WHERE product_category = 'Electronics'")
+def given_clusters_of_category(spark, sf):
+    rows = embedded(spark, sf)
+    totals = rows.groupBy("product_category").agg((F.count(F.lit(1)) * 2).alias("total_reviews"))
+    return evaluation.evaluate_category(rows, totals, "Electronics")
+
+
+def _band(x: str, cuts: tuple[float, ...], names: tuple[str, ...]) -> str:
+    whens = " ".join(f"WHEN {x} >= {c} THEN '{n}'" for c, n in zip(cuts, names))
+    return f"CASE {whens} ELSE '{names[-1]}' END"
+
+
+_SIL_BAND = _band("silhouette", (0.5, 0.25), ("good", "fair", "weak"))
+_COH_BAND = _band("coherence", (0.6, 0.4, 0.25), ("very_good", "good", "fair", "weak"))
+
+
+@query(
+    "pl11_evaluation_report",
+    f"""{CTE_VECTORS}, all_points AS (SELECT *, 'all' AS product_category FROM points),
+totals AS (SELECT 'all' AS product_category, count(*) AS total_reviews FROM points),
+{_sql_measures('all_points')},
+lines AS (SELECT ['# Model Evaluation Report', '## 1. Overall', '**Overall Score:** ' || format('{{:.2f}}', overall_score * 100) || '%', '**Grade:** ' || grade,
+ '## 2. Clustering Quality', '- **Silhouette Score:** ' || format('{{:.4f}}', silhouette) || ' (' || {_SIL_BAND} || ')',
+ '- **Calinski-Harabasz:** ' || format('{{:.2f}}', calinski_harabasz),
+ '- **Davies-Bouldin:** ' || format('{{:.4f}}', davies_bouldin) || ' (' || CASE WHEN davies_bouldin < 1 THEN 'good' WHEN davies_bouldin < 2 THEN 'fair' ELSE 'weak' END || ')',
+ '- **Clusters:** ' || n_clusters, '## 3. Topic Coherence', '- **Overall Coherence:** ' || format('{{:.4f}}', coherence) || ' (' || {_COH_BAND} || ')',
+ '## 4. Coverage', '- **Total Reviews:** ' || format('{{:,}}', total_reviews), '- **Reviews With Aspects:** ' || format('{{:,}}', n_reviews),
+ '- **Coverage Rate:** ' || format('{{:.1f}}', coverage) || '%'] AS l FROM graded)
+SELECT 0 AS section, (generate_subscripts(l, 1) - 1)::BIGINT AS ord, unnest(l) AS line FROM lines""",
+)
+def evaluation_report(spark, sf):
     rows = labelled(spark, sf).withColumn("product_category", F.lit("all"))
     totals = rows.groupBy("product_category").agg(F.count(F.lit(1)).alias("total_reviews"))
     metrics = evaluation.with_bands(evaluation.evaluate_categories(rows, totals))
@@ -277,7 +393,8 @@ def category_evaluation(spark, sf):
 
 @query(
     "pl13_summarise_aspect",
-    None,
+    f"""SELECT aspect_name AS aspect, relevant_reviews_count AS review_count, summary, CASE WHEN positive_pct > 50 THEN 'positive'
+ WHEN negative_pct > 30 THEN 'negative' ELSE 'neutral' END AS sentiment FROM ({_sql_by_name('true', 'sound quality', 0.3)})""",
 )
 def summarise_aspect(spark, sf):
     return discovery.summarise_aspect(near_reviews(spark, sf), "sound quality")
@@ -286,6 +403,3 @@ def summarise_aspect(spark, sf):
 @query("pl13_top_aspects")
 def top_aspects(spark, sf):
     return discovery.top_aspects_for_category(embedded(spark, sf), "Electronics", 3, tries=2).drop("sample_reviews")
-
-
-__all__ = ["clusters"]

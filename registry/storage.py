@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from registry.base import (
     CTE_REVIEWS,
     CTE_SCORED,
-    analysed,
     query,
     raw_reviews,
     reviews,
@@ -18,7 +17,7 @@ from registry.base import (
 )
 from registry.exchanges import CTE_DOCUMENTS, aspect_documents
 from registry.plans import CTE_PREPROCESSED
-from reviewgrain.operators import cleaning, sentiment, topics
+from reviewgrain.operators import cleaning, topics
 from reviewgrain.operators.scaling import scratch_path
 from reviewgrain.plans import preparation
 from reviewgrain.sources import aspect_store, encodings, files, stages
@@ -175,6 +174,3 @@ def clear_store(spark, sf):
     store.clear()
     left = store.load().agg(F.count(F.lit(1)).alias("n")).scalar()
     return reviews(spark, sf).agg(left.alias("left_over"), F.count(F.lit(1)).alias("reviews"))
-
-
-__all__ = ["analysed", "sentiment"]

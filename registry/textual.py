@@ -9,7 +9,6 @@ from registry.base import (
     CTE_EMBEDDED,
     CTE_REVIEWS,
     CTE_SCORED,
-    analysed,
     embedded,
     query,
     quoted,
@@ -253,6 +252,3 @@ def aspect_name_label(spark, sf):
     counted = sentiment.aspect_name_sentiment(scored(spark, sf), ["title"])
     label = sentiment.aspect_name_label(F.col("positive_pct"), F.col("negative_pct"))
     return counted.select("title", label.alias("sentiment"))
-
-
-__all__ = ["analysed"]
