@@ -87,6 +87,25 @@ def assign_step(spark, sf):
     return assigned.select("row_id", "product_category", "cluster", round_to(F.col("cost"), 5).alias("cost"))
 
 
+_NEAREST = """(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY cost, cluster) AS rn
+ FROM (SELECT e.row_id, e.product_category, e.v, c.cluster, list_distance(e.v, c.center) ** 2 AS cost
+ FROM embedded e JOIN {centers} c ON c.product_category = e.product_category)) WHERE rn = 1)"""
+
+
+@query(
+    "ml4_one_round",
+    f"""{CTE_EMBEDDED}, seeds AS MATERIALIZED (SELECT product_category, rn - 1 AS cluster, v AS center FROM
+ (SELECT *, row_number() OVER (PARTITION BY product_category ORDER BY md5('42:' || row_id::VARCHAR), row_id) AS rn FROM embedded) WHERE rn <= 3),
+first_round AS MATERIALIZED {_NEAREST.format(centers='seeds')},
+moved AS MATERIALIZED (SELECT product_category, cluster, list(m ORDER BY i) AS center FROM (SELECT product_category, cluster, i, avg(v[i]) AS m
+ FROM first_round, range(1, 65) t(i) GROUP BY ALL) GROUP BY ALL)
+SELECT row_id, product_category, cluster::INTEGER AS cluster, {rounded('cost', 5)} AS cost FROM {_NEAREST.format(centers='moved')}""",
+)
+def one_round(spark, sf):
+    found = clusters.grouped_kmeans(_seeded(spark, sf), ["product_category"], 3, iterations=1)
+    return found.select("row_id", "product_category", "cluster", round_to(F.col("cost"), 5).alias("cost"))
+
+
 @query("ml4_grouped_kmeans")
 def grouped_kmeans(spark, sf):
     found = clusters.grouped_kmeans(_seeded(spark, sf), ["product_category"], 3, iterations=5)

@@ -218,7 +218,11 @@ def discover_aspects(spark, sf):
     return discovery.discover_aspects(embedded(spark, sf), 4, category="Electronics", tries=3).drop("samples")
 
 
-@query("pl7_too_few_reviews")
+@query(
+    "pl7_too_few_reviews",
+    f"""{CTE_EMBEDDED} SELECT false AS success, 'only ' || count(*) || ' reviews, at least 4 needed' AS error FROM embedded
+WHERE contains(lower(product_category), 'no such category')""",
+)
 def too_few_reviews(spark, sf):
     found = discovery.discover_aspects(embedded(spark, sf), 4, category="no such category", tries=1)
     return found.select("success", "error")
@@ -270,7 +274,11 @@ def documents_of_given_clusters(spark, sf):
     return made.select("doc_id", "category", "aspect_name", "summary", "sentiment.*", "review_count", shown)
 
 
-@query("pl9_run_outcome")
+@query(
+    "pl9_run_outcome",
+    f"""{CTE_EMBEDDED} SELECT product_category AS category, true AS processed, 3::BIGINT AS n_aspects FROM embedded
+WHERE product_category NOT IN ('Unknown', 'Other') GROUP BY 1 HAVING count(*) >= 20""",
+)
 def run_outcome(spark, sf):
     made = discovery.aspect_documents(clustered(spark, sf), F.lit("2020-01-01 00:00:00"))
     return discovery.run_outcome(embedded(spark, sf), made, 20)

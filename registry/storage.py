@@ -155,7 +155,7 @@ def store_categories(spark, sf):
     return aspect_store.categories(aspect_documents(spark, sf))
 
 
-@query("so3_missing_vectors")
+@query("so3_missing_vectors", f"{CTE_DOCUMENTS} SELECT doc_id, 64 AS dimensions FROM aspect_documents")
 def missing_vectors(spark, sf):
     """Documents without a vector get one from their text; the others keep theirs."""
     docs = aspect_documents(spark, sf)

@@ -51,7 +51,13 @@ def batch_results(spark, sf):
     return pages.batch_counts(pages.extract_pages(table(spark, sf, "pages"), pattern, pattern))
 
 
-@query("wb2_default_classes")
+_DEFAULT = r"""regexp_matches(html, 'class\s*=\s*["''][^"'']*(f3-m|w-30)')"""
+
+
+@query(
+    "wb2_default_classes",
+    f"""SELECT count(*) AS pages, count(*) FILTER ({_DEFAULT}) AS succeeded, count(*) FILTER (NOT {_DEFAULT}) AS failed FROM pages""",
+)
 def default_classes(spark, sf):
     return pages.batch_counts(pages.extract_pages(table(spark, sf, "pages")))
 
