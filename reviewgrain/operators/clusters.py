@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from reviewgrain.functions import numeric, vectors
 from reviewgrain.functions.numeric import round_to
-from reviewgrain.operators.scaling import attach, cut_lineage, first_per_group
+from reviewgrain.operators.scaling import attach, cut_lineage, first_per_group, is_small
 
 
 def mean_vector(v: Column) -> Column:
@@ -42,10 +42,15 @@ def initial_centers(
 
 
 def assign(
-    points: DataFrame, centers: DataFrame, keys: Sequence[str], row_id: str, vector: str
+    points: DataFrame,
+    centers: DataFrame,
+    keys: Sequence[str],
+    row_id: str,
+    vector: str,
+    small: bool | None = None,
 ) -> DataFrame:
     """Adds ``cluster`` and ``cost``: the nearest center of the row's group, lowest id on ties."""
-    joined = attach(points, centers, keys, row_id, "inner")
+    joined = attach(points, centers, keys, row_id, "inner", small=small)
     nearest = F.array_min(
         F.transform(
             "centers",
@@ -101,9 +106,11 @@ def grouped_kmeans(
     else:
         centers = initial_centers(points, keys, k, row_id, vector)
     centers = cut_lineage(centers)
+    small = is_small(centers)  # one row per group, the same in every round
     for _ in range(iterations):
-        centers = cut_lineage(_moved(assign(points, centers, keys, row_id, vector), centers, keys, vector))
-    result = assign(points, centers, keys, row_id, vector)
+        assigned = assign(points, centers, keys, row_id, vector, small)
+        centers = cut_lineage(_moved(assigned, centers, keys, vector))
+    result = assign(points, centers, keys, row_id, vector, small)
     if tries > 1:
         groups = keys[:-1]
         cost = result.groupBy(*keys).agg(F.sum("cost").alias("_cost"))

@@ -39,39 +39,41 @@ def missing_required(df: DataFrame, required: Sequence[str] = lx.REQUIRED_COLUMN
 def column_info(df: DataFrame, exact: bool = True) -> DataFrame:
     """column, dtype, non_null_count, null_count, null_percent, unique_count.
 
-    Exact distinct counts go through one (column, digest) grouping with
-    map-side combining; ``exact=False`` uses a sketch per column and one scan.
+    One scan.  Exact distinct counts are combined map-side and shuffle long
+    values as digests; ``exact=False`` uses a sketch per column instead.
     """
-    info = _null_counts(df).select(
-        "column",
-        "dtype",
-        F.col("non_null").alias("non_null_count"),
-        (F.col("rows") - F.col("non_null")).alias("null_count"),
-        percent(F.col("rows") - F.col("non_null"), F.col("rows"), 2).alias("null_percent"),
-    )
-    if exact:
-        cells = [
-            F.struct(F.lit(c).alias("column"), F.sha2(_text(c, kind), 256).alias("digest"))
-            for c, kind in df.dtypes
-        ]
-        seen = df.select(F.inline(F.array(*cells))).where(F.col("digest").isNotNull()).distinct()
-        unique = seen.groupBy("column").agg(F.count(F.lit(1)).alias("unique_count"))
-    else:
-        sketches = df.agg(*[F.approx_count_distinct(c).alias(f"_{i}") for i, c in enumerate(df.columns)])
-        pairs = [
-            F.struct(F.lit(c).alias("column"), F.col(f"_{i}").alias("unique_count"))
-            for i, c in enumerate(df.columns)
-        ]
-        unique = sketches.select(F.inline(F.array(*pairs)))
-    # one row per column of the table on both sides
-    return info.join(F.broadcast(unique), "column", "left").withColumn(
-        "unique_count", F.coalesce("unique_count", F.lit(0))
+
+    def distinct(name: str, kind: str) -> Column:
+        if not exact:
+            return F.approx_count_distinct(name)
+        return F.count_distinct(_compact(name, kind))
+
+    totals = df.agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count(c).alias(f"_known{i}") for i, c in enumerate(df.columns)],
+        *[distinct(c, kind).alias(f"_unique{i}") for i, (c, kind) in enumerate(df.dtypes)],
     )
+    rows = F.col("_rows")
+    entries = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.lit(kind).alias("dtype"),
+            F.col(f"_known{i}").alias("non_null_count"),
+            (rows - F.col(f"_known{i}")).alias("null_count"),
+            percent(rows - F.col(f"_known{i}"), rows, 2).alias("null_percent"),
+            F.col(f"_unique{i}").alias("unique_count"),
+        )
+        for i, (c, kind) in enumerate(df.dtypes)
+    ]
+    return totals.select(F.inline(F.array(*entries)))
 
 
-def _text(name: str, kind: str) -> Column:
-    nested = kind.startswith(("array", "map", "struct"))
-    return F.to_json(F.col(name)) if nested else F.col(name).cast("string")
+def _compact(name: str, kind: str) -> Column:
+    """Something short that is equal exactly when the values are."""
+    c = F.col(name)
+    if kind.startswith(("array", "map", "struct")):
+        return F.sha2(F.to_json(c), 256)
+    return F.sha2(c, 256) if kind == "string" else c
 
 
 def missing_info(df: DataFrame) -> DataFrame:

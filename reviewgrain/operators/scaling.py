@@ -131,6 +131,11 @@ def salted_join(
     return left.drop("_hot").join(right, [*keys, "_salt"], how).drop("_salt")
 
 
+def is_small(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """True when a stored table has at most ``max_rows`` rows; stops counting there."""
+    return lookup.limit(max_rows + 1).count() <= max_rows
+
+
 def attach(
     big: DataFrame,
     lookup: DataFrame,
@@ -138,9 +143,13 @@ def attach(
     row_id: str,
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
-    """Join to a lookup that is already stored; broadcast only after counting its rows."""
-    if lookup.limit(max_rows + 1).count() <= max_rows:
+    """Join to a lookup that is already stored; broadcast only after counting its rows.
+
+    ``small`` passes on an answer of ``is_small`` for a table of the same size.
+    """
+    if is_small(lookup, max_rows) if small is None else small:
         return big.join(F.broadcast(lookup), list(keys), how)
     return spread_join(big, lookup, keys, row_id, how)
 
