@@ -111,7 +111,7 @@ def median_fill(spark, sf):
 def median_orders(spark, sf):
     price = F.when(F.col("o_orderstatus") == "P", None).otherwise(F.col("o_totalprice"))
     rows = table(spark, sf, "orders").select("o_orderkey", price.alias("o_totalprice"))
-    return cleaning.fill_rating_median(rows, "o_totalprice")
+    return cleaning.fill_rating_median(rows, "o_totalprice", many_values=True)
 
 
 _ZERO = ", ".join(f"coalesce({c}, 0) AS {c}" for c in [*lx.VOTE_COLUMNS, *lx.STAR_COLUMNS])

@@ -127,11 +127,11 @@ def grouped_kmeans_tries(spark, sf):
 SELECT row_id, {rounded('list_cosine_similarity(p.v, c.c)', 6)} AS similarity FROM points p JOIN centers c ON c.cluster = p.cluster""",
 )
 def cosine_to_center(spark, sf):
-    from reviewgrain.operators.scaling import spread_join
+    from reviewgrain.operators.scaling import attach_derived
 
     points = labelled(spark, sf)
     centers = clusters.cluster_sums(points, []).select("cluster", "mean")
-    rows = spread_join(points, centers, ["cluster"], "row_id", "inner")
+    rows = attach_derived(points, centers, ["cluster"], "row_id", "inner")
     return rows.select("row_id", round_to(vectors.cosine(F.col("embedding"), F.col("mean")), 6).alias("similarity"))
 
 

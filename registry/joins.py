@@ -180,13 +180,13 @@ def pairwise_similarity(spark, sf):
 SELECT e.row_id, s.summary FROM embedded e JOIN summaries s ON s.cluster = e.cluster""",
 )
 def cluster_summaries(spark, sf):
-    from reviewgrain.operators.scaling import spread_join
+    from reviewgrain.operators.scaling import attach_derived
 
     rows = embedded(spark, sf).select("row_id", "cluster")
     sizes = rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
     name = F.concat(F.lit("cluster "), F.col("cluster").cast("string"))
     summaries = sizes.select("cluster", sentiment.summary_sentence(F.col("n"), name).alias("summary"))
-    return spread_join(rows, summaries, ["cluster"], "row_id", "inner").select("row_id", "summary")
+    return attach_derived(rows, summaries, ["cluster"], "row_id", "inner").select("row_id", "summary")
 
 
 @query(

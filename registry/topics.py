@@ -72,11 +72,11 @@ def centered(spark, sf):
     """Given topics with the distance of each document to its topic's mean vector."""
     from reviewgrain.functions import vectors
     from reviewgrain.operators.clusters import mean_vector
-    from reviewgrain.operators.scaling import spread_join
+    from reviewgrain.operators.scaling import attach_derived
 
     docs = given(spark, sf)
     centers = docs.groupBy("topic_id").agg(mean_vector(F.col("embedding")).alias("center"))
-    beside = spread_join(docs, centers, ["topic_id"], "row_id", "inner")
+    beside = attach_derived(docs, centers, ["topic_id"], "row_id", "inner")
     return beside.withColumn("distance", vectors.distance(F.col("embedding"), F.col("center")))
 
 

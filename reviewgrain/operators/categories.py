@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from reviewgrain import lexicons as lx
 from reviewgrain.functions.numeric import round_to
 from reviewgrain.functions.text import keyword_category, truncate
-from reviewgrain.operators.scaling import spread_join
+from reviewgrain.operators.scaling import attach_derived, spread_join
 
 
 def assign_by_keyword(
@@ -64,7 +64,7 @@ def consolidate(
     other: str = lx.OTHER,
 ) -> DataFrame:
     """Categories with fewer than ``min_count`` rows become ``other``; NULL stays NULL."""
-    joined = spread_join(df, category_counts(df, name), [name], row_id)
+    joined = attach_derived(df, category_counts(df, name), [name], row_id)
     small = F.col("_rows") < min_count
     return joined.withColumn(name, F.when(small, F.lit(other)).otherwise(F.col(name))).select(*df.columns)
 
@@ -75,7 +75,7 @@ def rows_of_small_categories(
     """Rows whose category has fewer than ``min_count`` rows."""
     counts = category_counts(df, name)
     small = counts.where((F.col("_rows") < min_count) & F.col(name).isNotNull()).select(name)
-    return spread_join(df, small, [name], row_id, "left_semi")
+    return attach_derived(df, small, [name], row_id, "left_semi")
 
 
 def category_summary(df: DataFrame, name: str = "product_category") -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewgrain import lexicons as lx
@@ -67,16 +67,41 @@ def merge_by_url(
     return filled.select(*df.columns)
 
 
-def fill_rating_median(df: DataFrame, column: str = "rating", accuracy: int | None = None) -> DataFrame:
+def exact_median(df: DataFrame, column: str, accuracy: int = 100_000) -> Column:
+    """Exact, interpolated median as a scalar sub-query, for columns with many values.
+
+    A quantile sketch brackets the median; only the distinct values inside the
+    bracket, some 4 / accuracy of the rows, are put in order.
+    """
+    value = F.col(column)
+    edge = 2.0 / accuracy
+    sketch = F.percentile_approx(column, [0.5 - edge, 0.5 + edge], accuracy)
+    known = df.select(column).where(value.isNotNull())
+    bounds = known.agg(F.count(F.lit(1)).alias("n"), sketch.alias("q"))
+    low = bounds.select(F.get("q", F.lit(0))).scalar()
+    high = bounds.select(F.get("q", F.lit(1))).scalar()
+    total = bounds.select("n").scalar()
+    below = known.where(value < low).agg(F.count(F.lit(1)).alias("n")).scalar()
+    inside = known.where(value.between(low, high)).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.orderBy(column))
+    ranked = inside.withColumn("_upto", upto + below).withColumn("_total", total)
+    rank = (F.col("_total") - 1) / 2
+    ends = ranked.agg(
+        F.min(F.when(F.col("_upto") > F.floor(rank), value)).alias("lower"),
+        F.min(F.when(F.col("_upto") > F.ceil(rank), value)).alias("upper"),
+    )
+    return ends.select(F.col("lower") + (F.col("upper") - F.col("lower")) * 0.5).scalar()
+
+
+def fill_rating_median(df: DataFrame, column: str = "rating", many_values: bool = False) -> DataFrame:
     """NULL ratings take the exact, interpolated median of the known ones.
 
-    The exact form holds one counter per distinct rating; with ``accuracy`` the
-    approximate percentile is used instead.
+    The plain form holds one counter per distinct rating, which suits ratings;
+    ``many_values`` is for columns such as prices.
     """
     if column not in df.columns:
         return df
-    middle = F.percentile(column, 0.5) if accuracy is None else F.percentile_approx(column, 0.5, accuracy)
-    median = df.agg(middle.alias("median")).scalar()
+    median = exact_median(df, column) if many_values else df.agg(F.percentile(column, 0.5)).scalar()
     return df.withColumn(column, F.coalesce(F.col(column), median))
 
 

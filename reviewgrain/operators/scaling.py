@@ -154,6 +154,17 @@ def attach(
     return spread_join(big, lookup, keys, row_id, how)
 
 
+def attach_derived(
+    big: DataFrame, lookup: DataFrame, keys: Sequence[str], row_id: str, how: str = "left"
+) -> DataFrame:
+    """Join to a lookup computed from big data that is expected to be small.
+
+    The planner cannot know its size and would shuffle all of ``big`` on a few
+    hot keys; so the lookup is stored, its rows counted, and broadcast if few.
+    """
+    return attach(big, cut_lineage(lookup), keys, row_id, how)
+
+
 def dense_ordinal(df: DataFrame, key: str, name: str = "ordinal") -> DataFrame:
     """Number the rows 0..n-1 in the order of md5(key), without sorting in one task.
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewgrain.functions import text, vectors
-from reviewgrain.operators.scaling import first_per_group, spread_join
+from reviewgrain.operators.scaling import attach_derived, first_per_group
 from reviewgrain.operators.sentiment import word_rows
 
 OUTLIER = -1
@@ -56,7 +56,7 @@ def number_topics(
     numbers = sizes.select(
         cluster, F.when(F.col("_size") < min_size, OUTLIER).otherwise(rank).cast("long").alias("topic_id")
     )
-    return spread_join(rows, numbers, [cluster], row_id, "inner").drop(cluster)
+    return attach_derived(rows, numbers, [cluster], row_id, "inner").drop(cluster)
 
 
 def save_model(model: KMeansModel, path: str) -> None:

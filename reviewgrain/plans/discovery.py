@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from reviewgrain.functions import text, vectors
 from reviewgrain.operators import categories, retrieval, sentiment
 from reviewgrain.operators.clusters import grouped_kmeans
-from reviewgrain.operators.scaling import cut_lineage, first_per_group, spread_join
+from reviewgrain.operators.scaling import attach_derived, cut_lineage, first_per_group
 from reviewgrain.sources.encodings import components, reduce_dimensions
 
 
@@ -189,7 +189,7 @@ def cluster_categories(
     """
     eligible = categories.eligible_categories(df, min_reviews, first=max_categories)
     rows = df.where(text.non_empty(F.col("review")))
-    chosen = spread_join(rows, eligible.select("product_category"), ["product_category"], row_id, "left_semi")
+    chosen = attach_derived(rows, eligible.select("product_category"), ["product_category"], row_id, "left_semi")
     if max_reviews is not None:
         chosen = sample_per_category(chosen, max_reviews, row_id=row_id)
     slim = chosen.select(row_id, "product_category", "review", vector)

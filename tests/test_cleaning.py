@@ -1,5 +1,7 @@
 import datetime as dt
+import statistics
 
+import pytest
 from pyspark.sql import functions as F
 
 from reviewgrain import lexicons as lx
@@ -78,6 +80,14 @@ def test_median_interpolates(spark):
     assert cleaning.fill_rating_median(rows).where("i = 3").first()["rating"] == 2.5
 
 
+@pytest.mark.parametrize("values", [[3.0], [1.0, 4.0], [5.0] * 7 + [1.0], [float(x * 7 % 1001) for x in range(1001)], [0.5, 0.5, 2.5, 9.0]])
+def test_sorted_median_is_exact(spark, values):
+    rows = spark.createDataFrame([(v,) for v in values] + [(None,)], "rating double")
+    for accuracy in (10, 1000):
+        got = spark.range(1).select(cleaning.exact_median(rows, "rating", accuracy)).first()[0]
+        assert got == statistics.median(values)
+
+
 def test_product_ids(column_of):
     urls = ["/ip/x/12", "/ip/34", "/p/123456789?x", "/p/12", None]
     assert column_of(lambda c: text.product_id(F.col(c)), urls) == ["12", "34", "123456789", None, None]
