@@ -27,9 +27,10 @@ TABLES = (
 
 
 def plain(value):
-    """A comparable form: floats to 9 digits, everything nested to tuples."""
+    """A comparable form: floats to DIGITS (default 9) digits, everything nested to tuples."""
     if isinstance(value, (float, np.floating)):
-        return None if value != value else float(f"{float(value):.9g}") + 0.0
+        digits = os.environ.get("DIGITS", "9")
+        return None if value != value else float(f"{float(value):.{digits}g}") + 0.0
     if isinstance(value, decimal.Decimal):
         return float(value)
     if isinstance(value, datetime.datetime):
