@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewgrain.llm import byte_bpe
+from reviewgrain.llm import byte_bpe, simhash
+from reviewgrain.llm.shared import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,7 +19,11 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 
 def query(name: str, sql: str | None = None):
     def add(function):
-        QUERIES[name] = function
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            importable(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return function
@@ -38,3 +43,10 @@ def byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "ids")
     decoded = byte_bpe.decode(packed, path, pattern, keep=["doc_id", "n_tokens", "ids_sha256"])
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op10_simhash_near_duplicates")
+def simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and the smallest document it is linked to."""
+    found = simhash.groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal("fingerprint").alias("fingerprint"), "component_id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -14,7 +15,15 @@ from reviewgrain.operators.scaling import store
 #: Rows and bytes of one Arrow batch that a Python task hands back.
 ROWS_OUT, BYTES_OUT = 2_000, 16_000_000
 
-__all__ = ["Batches", "components", "key_of", "numbered", "partitions", "store", "texts"]
+__all__ = ["Batches", "components", "importable", "key_of", "numbered", "partitions", "store", "texts"]
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package; a cluster gets it with --py-files."""
+    root, env = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
 
 
 def partitions(spark: SparkSession) -> int:
