@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewgrain.llm import byte_bpe, simhash
+from reviewgrain.llm import byte_bpe, language_id, simhash
 from reviewgrain.llm.shared import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,11 @@ def simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and the smallest document it is linked to."""
     found = simhash.groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hexadecimal("fingerprint").alias("fingerprint"), "component_id")
+
+
+@query("op6_language_id")
+def language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, from profiles of the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", language_id.held_out("doc_id"))
+    profiles = language_id.learn(docs.where("NOT held_out"))
+    return language_id.predict(docs, profiles, keep=["doc_id", "held_out"])
