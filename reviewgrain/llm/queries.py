@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewgrain.llm import byte_bpe, language_id, simhash
+from reviewgrain.llm import byte_bpe, language_id, quality, simhash
 from reviewgrain.llm.shared import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,10 @@ def language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", language_id.held_out("doc_id"))
     profiles = language_id.learn(docs.where("NOT held_out"))
     return language_id.predict(docs, profiles, keep=["doc_id", "held_out"])
+
+
+@query("op9_quality_rules")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's rule statistics and whether it is kept."""
+    judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *quality.STATISTICS, "base_failed", "kept", "anomaly")
