@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewgrain.llm import byte_bpe, language_id, quality, simhash
+from reviewgrain.llm import byte_bpe, language_id, quality, simhash, url_filter
 from reviewgrain.llm.shared import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +17,16 @@ ORACLES: dict[str, str] = {}
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
+#: The rules that every page is judged by: verdict, host, path.
+URL_RULES = (
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+)
+
+
 def query(name: str, sql: str | None = None):
     def add(function):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,3 +75,32 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's rule statistics and whether it is kept."""
     judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *quality.STATISTICS, "base_failed", "kept", "anomaly")
+
+
+URL_SQL = r"""
+WITH split AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT page_id,
+    translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '(?s)^[^/?#]*(/[^?#]*)?', 1) AS path
+  FROM split
+), rules(verdict, rhost, rpath) AS (
+  VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+         ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), fits AS (
+  SELECT page_id, host, path, rhost || rpath AS rule, verdict FROM parts JOIN rules
+    ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+), best AS (
+  SELECT page_id, host, path, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM fits GROUP BY page_id, host, path
+)
+SELECT p.page_id, p.host, p.path, b.rule, coalesce(b.verdict, 'allow') AS verdict
+FROM parts p LEFT JOIN best b ON p.page_id = b.page_id AND p.host = b.host AND p.path = b.path
+"""
+
+
+@query("op7_url_filter", URL_SQL)
+def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's host, path, deciding rule and verdict."""
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.rule_table(spark, URL_RULES))
