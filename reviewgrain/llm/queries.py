@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewgrain.llm import byte_bpe, language_id, quality, simhash, url_filter
+from reviewgrain.llm import byte_bpe, decontaminate, language_id, quality, simhash, url_filter
 from reviewgrain.llm.shared import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,10 @@ FROM parts p LEFT JOIN best b ON p.page_id = b.page_id AND p.host = b.host AND p
 def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's host, path, deciding rule and verdict."""
     return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.rule_table(spark, URL_RULES))
+
+
+@query("op2_benchmark_decontamination")
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that it contains, also with other values."""
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.col("n_tokens").cast("long").alias("n_tokens"), "coverage", "n_alignments")
