@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewgrain.llm import byte_bpe, decontaminate, language_id, quality, simhash, url_filter
+from reviewgrain.llm import byte_bpe, decontaminate, language_id, line_dedup, quality, simhash, url_filter
 from reviewgrain.llm.shared import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,10 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item that it contains, also with other values."""
     found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", F.col("n_tokens").cast("long").alias("n_tokens"), "coverage", "n_alignments")
+
+
+@query("op3_line_dedup")
+def line_deduplication(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without later copies of repeated runs of lines."""
+    out = line_dedup.without_later_copies(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_deleted_lines", "text")
