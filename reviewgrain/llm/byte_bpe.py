@@ -34,7 +34,7 @@ from reviewgrain.llm.shared import Batches, texts
 #: Pieces of at most this many bytes are merged directly: the leaves of the tree.
 LEAF = 8
 #: Entries per generation of a worker's memory (about 220 bytes each), and the longest text remembered.
-REMEMBERED, LONGEST = 250_000, 48
+REMEMBERED, LONGEST = 120_000, 48
 #: Stands for the rank of a pair that is no token.
 NO_RANK = 1 << 62
 #: Tokens that are joined at once at the lowest level of a decoding tree.
