@@ -168,6 +168,7 @@ def contaminated(
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """The documents that contain no item, all columns as they are."""
-    found = contaminated(docs, benchmark, text, id).select(F.col(f"`{id}`").alias("_leak_id"), F.col("text_key").alias("_leak_key")).distinct()
-    same = F.col(f"`{id}`").eqNullSafe(F.col("_leak_id")) & (F.xxhash64(f"`{text}`") == F.col("_leak_key"))
-    return docs.join(found, same, "left_anti")
+    found = contaminated(docs, benchmark, text, id).select(F.struct(F.col(f"`{id}`").alias("id"), "text_key").alias("key")).distinct()
+    key = F.struct(F.col(f"`{id}`").alias("id"), F.xxhash64(f"`{text}`").alias("text_key"))
+    keyed = docs.withColumn("_key", key)
+    return keyed.join(found, keyed["_key"] == found["key"], "left_anti").drop("_key")

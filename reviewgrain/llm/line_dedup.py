@@ -70,16 +70,15 @@ def suffix_ranks(positions: DataFrame, longest: int) -> DataFrame:
     Rounds end when no rank separates further or the longest stretch is covered.  A round ranks the different pairs of
     ranks: they are counted in the map tasks and numbered in even ranges, so a line that holds a third of all positions is one row.
     """
-    names = numbered(positions.groupBy("line").agg(F.count(F.lit(1)).alias("n")), ["line"], "upto", "n", "lines")
+    names, classes = numbered(positions.groupBy("line").agg(F.count(F.lit(1)).alias("n")), ["line"], "upto", "n", "lines")
     first = names.select("line", (F.col("upto") - F.col("n") + 1).alias("rank"))
     ranked = store(positions.join(first, "line").select("stretch", "at", F.array("rank").alias("ranks")), "ranks0")
-    classes, width = ranked.select("ranks").distinct().count(), 1
+    width = 1
     while width < longest:
         ahead = F.lead(F.element_at("ranks", -1), width, 0).over(Window.partitionBy("stretch").orderBy("at"))
         paired = ranked.select("stretch", "at", "ranks", F.element_at("ranks", -1).alias("a"), ahead.alias("b"))
-        sums = numbered(paired.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")), ["a", "b"], "upto", "n", f"pairs{width}")
+        sums, found = numbered(paired.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")), ["a", "b"], "upto", "n", f"pairs{width}")
         next_rank = sums.select("a", "b", (F.col("upto") - F.col("n") + 1).alias("next"))
-        found = sums.count()
         if found == classes:
             break
         ranked = store(
@@ -126,32 +125,33 @@ def with_heads(pairs: DataFrame) -> DataFrame:
 
 
 def needed_lines(sequences: DataFrame, min_words: int) -> DataFrame:
-    """stretch, at, needed: how many lines from ``at`` on hold ``min_words`` words; only places where the rest has so many."""
+    """stretch, mirrored, at, needed: how many lines from ``at`` on hold ``min_words`` words; only places where the rest has so many."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for stretch, words in zip(batch.column("stretch").to_pylist(), batch.column("words"), strict=True):
+            names = ["stretch", "mirrored", "at", "needed"]
+            for stretch, mirrored, words in zip(*(batch.column(c) for c in ("stretch", "mirrored", "words")), strict=True):
                 sums = np.concatenate(([0], np.cumsum(words.values.to_numpy(zero_copy_only=False))))
                 ends = np.searchsorted(sums, sums[:-1] + min_words)
                 at = np.flatnonzero(ends < len(sums))
-                columns = np.full(len(at), stretch, np.int64), at.astype(np.int32), (ends[at] - at).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["stretch", "at", "needed"])
+                own = np.full(len(at), stretch.as_py(), np.int64), np.full(len(at), mirrored.as_py())
+                columns = *own, at.astype(np.int32), (ends[at] - at).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
-    return sequences.select("stretch", "words").mapInArrow(run, "stretch long, at int, needed long")
+    return sequences.select("stretch", "mirrored", "words").mapInArrow(run, "stretch long, mirrored boolean, at int, needed long")
 
 
-def repeated_runs(sequences: DataFrame, min_words: int = MIN_WORDS, mirrored: bool = False) -> DataFrame:
+def repeated_runs(sequences: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Later copies of repeated runs: stretch, at, length, and other, other_at, where the first copy starts.
 
-    sequences: stretch (numbered in text order), ids, words; no two have the same ids.  mirrored: both arrays are
-    reversed, so that a later place is one that comes first in the text.
+    sequences: stretch (numbered in text order), mirrored, ids, words.  In mirrored sequences a later place comes
+    first in the text; they share no id with the others.  No two have the same ids.
     """
-    place = F.struct("stretch", (-F.col("at") if mirrored else F.col("at")).alias("place"), "at", "ranks")
     longest = sequences.agg(F.max(F.size("ids"))).first()[0] or 0
     each = sequences.select("stretch", F.posexplode("ids").alias("at", "line"))
     ranked = suffix_ranks(each, longest).withColumn("final", F.element_at("ranks", -1))
     # the suffix array: equal suffixes are in text order
-    array = store(numbered(ranked, ["final", "stretch", "at"], "slot", label="suffix-array"), "slots")
+    array, _ = numbered(ranked, ["final", "stretch", "at"], "slot", label="suffix-array")
     before = array.select((F.col("slot") + 1).alias("slot"), F.col("stretch").alias("other"), F.col("at").alias("other_at"), F.col("ranks").alias("_ranks"))
     neighbours = array.join(before, "slot").withColumn("reach", reach_of("ranks", "_ranks", longest)).where("reach > 0")
     pairs = store(with_heads(neighbours.select("slot", "stretch", "at", "other", "other_at", "reach")), "neighbours")
@@ -163,9 +163,10 @@ def repeated_runs(sequences: DataFrame, min_words: int = MIN_WORDS, mirrored: bo
         .join(needed_lines(sequences, min_words), ["stretch", "at"])
         .join(shared, "slot", "left")
         .withColumn("opens", (F.coalesce(F.col("lcp"), F.lit(0)) < F.col("needed")).cast("long"))
-        .select("slot", "stretch", "at", "ranks", "opens")
+        .select("slot", "stretch", "mirrored", "at", "ranks", "opens")
     )
-    grouped = store(numbered(intervals, ["slot"], "interval", "opens", "intervals"), "grouped")
+    grouped, _ = numbered(intervals, ["slot"], "interval", "opens", "intervals")
+    place = F.struct("stretch", F.when(F.col("mirrored"), -F.col("at")).otherwise(F.col("at")).alias("place"), "at", "ranks")
     first = grouped.groupBy("interval").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     later = (
         grouped.join(first.where("n > 1"), "interval")
@@ -188,12 +189,21 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     place = F.struct(*KEYS, "start")
     groups = found.groupBy("ids").agg(F.min(place).alias("p"), F.min("words").alias("words"))
     alone = groups.select("p._id", "p._text_key", "p.start", "ids", "words")
-    sequences = store(numbered(alone, [*KEYS, "start"], "stretch", label="stretch-order"), "sequences")
-    mirror = sequences.withColumns({"ids": F.reverse("ids"), "words": F.reverse("words")})
-    runs = repeated_runs(sequences, min_words).join(sequences.select("stretch", *KEYS, "start"), "stretch")
-    back = repeated_runs(mirror, min_words, mirrored=True).join(sequences.select("stretch", *KEYS, "start", F.size("ids").alias("n")), "stretch")
-    span = lambda at: [(F.col("start") + at).cast("int").alias("from"), F.col("length").cast("int").alias("length")]
-    inside = runs.select(*KEYS, *span(F.col("at"))).unionByName(back.select(*KEYS, *span(F.col("n") - F.col("at") - F.col("length"))))
+    forwards, _ = numbered(alone, [*KEYS, "start"], "stretch", label="stretch-order")
+    tagged = lambda tag: F.transform("ids", lambda x: F.concat(F.lit(tag), x))
+    both = forwards.select(
+        *KEYS, "start",
+        F.explode(
+            F.array(
+                F.struct((2 * F.col("stretch")).alias("stretch"), F.lit(False).alias("mirrored"), tagged(b"f").alias("ids"), "words"),
+                F.struct((2 * F.col("stretch") + 1).alias("stretch"), F.lit(True).alias("mirrored"), F.reverse(tagged(b"m")).alias("ids"), F.reverse("words").alias("words")),
+            )
+        ).alias("s"),
+    )
+    sequences = store(both.select(*KEYS, "start", "s.*"), "sequences")
+    runs = repeated_runs(sequences, min_words).join(sequences.select("stretch", "mirrored", *KEYS, "start", F.size("ids").alias("n")), "stretch")
+    begin = F.col("start") + F.when(F.col("mirrored"), F.col("n") - F.col("at") - F.col("length")).otherwise(F.col("at"))
+    inside = runs.select(*KEYS, begin.cast("int").alias("from"), F.col("length").cast("int").alias("length"))
     copies = found.join(groups.select("ids", "p"), "ids").where(place != F.col("p"))
     whole = copies.select(*KEYS, F.col("start").cast("int").alias("from"), F.size("ids").alias("length"))
     return inside.unionByName(whole).groupBy(*KEYS).agg(F.collect_set(F.struct("from", "length")).alias("spans"))

@@ -66,8 +66,8 @@ def key_of(name: str):
 
 def numbered(
     rows: DataFrame, order: Sequence[str], name: str, weight: str | None = None, label: str = "numbered"
-) -> DataFrame:
-    """Add ``name``: the running sum of ``weight`` (1 if None) in ``order``, the own row included.
+) -> tuple[DataFrame, int]:
+    """Add ``name``: the running sum of ``weight`` (1 if None) in ``order``, the own row included; and the number of rows.
 
     ``order`` must be a total order of the rows, so that ranges are even whatever
     value is frequent.  Range partitions are summed in parallel; the driver adds
@@ -96,15 +96,14 @@ def numbered(
             )
 
     summed = store(dealt.mapInArrow(add_up, f"{schema}, _part int, _sum long"), label)
-    ends = sorted((r[0], r[1]) for r in summed.groupBy("_part").agg(F.max("_sum")).collect())
+    ends = sorted(tuple(r) for r in summed.groupBy("_part").agg(F.max("_sum"), F.count(F.lit(1))).collect())
     offsets, before = [], 0
-    for part, total in ends:
+    for part, total, _ in ends:
         offsets.append((part, before))
         before += total
     starts = spark.createDataFrame(offsets, "_part int, _before long")
-    return summed.join(F.broadcast(starts), "_part").withColumn(name, F.col("_sum") + F.col("_before")).drop(
-        "_part", "_sum", "_before"
-    )
+    added = summed.join(F.broadcast(starts), "_part").withColumn(name, F.col("_sum") + F.col("_before"))
+    return added.drop("_part", "_sum", "_before"), sum(n for *_, n in ends)
 
 
 def components(links: DataFrame, label: str = "links") -> DataFrame:

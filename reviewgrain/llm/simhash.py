@@ -323,6 +323,15 @@ def near_links(heads: DataFrame, radius: int = RADIUS, file_rows: int = FILE_ROW
     return out
 
 
+def _rooted(docs: DataFrame, keep: list[str], radius: int) -> tuple[DataFrame, DataFrame]:
+    """Stored tables: ``keep`` and fingerprint of every row, and the root fingerprint of every fingerprint."""
+    rows = store(fingerprints(docs, keep=keep), "fingerprints")
+    heads = store(rows.select("fingerprint").distinct(), "heads")
+    parts = components(near_links(heads, radius), "simhash").select(F.col("node").alias("fingerprint"), "root")
+    rooted = heads.join(parts, "fingerprint", "left").select("fingerprint", F.coalesce("root", "fingerprint").alias("root"))
+    return rows, store(rooted, "rooted")
+
+
 def groups(docs: DataFrame, text: str = "text", id: str = "doc_id", radius: int = RADIUS) -> DataFrame:
     """One row per row of ``docs``: id, fingerprint (long), component_id, the smallest id reachable over links.
 
@@ -331,17 +340,30 @@ def groups(docs: DataFrame, text: str = "text", id: str = "doc_id", radius: int
     are in one component.  An empty table gives an empty result.  Only ids and fingerprints are shuffled; equal
     fingerprints are combined in the map tasks before they are compared.
     """
-    rows = store(fingerprints(docs.select(F.col(f"`{id}`").alias("_id"), F.col(f"`{text}`").alias("text")), keep=["_id"]), "fingerprints")
-    heads = store(rows.groupBy("fingerprint").agg(F.min("_id").alias("first")), "heads")
-    parts = store(components(near_links(heads, radius), "simhash"), "parts")
-    rooted = heads.join(parts.select(F.col("node").alias("fingerprint"), "root"), "fingerprint", "left").select(
-        "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
-    )
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    narrow = docs.select(F.col(f"`{id}`").alias("_id"), F.col(f"`{text}`").alias("text"))
+    rows, rooted = _rooted(narrow, ["_id"], radius)
+    first = rows.groupBy("fingerprint").agg(F.min("_id").alias("first")).join(rooted, "fingerprint")
+    least = first.groupBy("root").agg(F.min("first").alias("component_id"))
     named = store(rooted.join(least, "root").select("fingerprint", "component_id"), "components")
     return rows.join(named, "fingerprint").select(F.col("_id").alias(id), "fingerprint", "component_id")
 
 
+def without_near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", radius: int = RADIUS) -> DataFrame:
+    """One document of each group of near duplicates, all columns as they are.
+
+    The one with the smallest id stays; a NULL id comes last, ties go by a digest of the text.  Texts without a word are one group.  Of rows
+    with the same id and text one stays.
+    """
+    key = F.struct(F.col(f"`{id}`").alias("id"), F.xxhash64(f"`{text}`").alias("text_key"))
+    narrow = docs.select(key.alias("_key"), F.col(f"`{text}`").alias("text"))
+    rows, rooted = _rooted(narrow, ["_key"], radius)
+    place = F.struct(F.col("_key.id").isNull().alias("last"), F.col("_key").alias("key"))
+    first = rows.groupBy("fingerprint").agg(F.min(place).alias("p")).join(rooted, "fingerprint")
+    kept = first.groupBy("root").agg(F.min("p").alias("p")).select("p.key")
+    keyed = docs.withColumn("_key", key)
+    return keyed.join(kept, keyed["_key"] == kept["key"], "left_semi").dropDuplicates(["_key"]).drop("_key")
+
+
 def hexadecimal(fingerprint_column: str) -> Column:
     """A signed long as 16 lower-case hex digits."""
     return F.lpad(F.lower(F.hex(fingerprint_column)), 16, "0")
