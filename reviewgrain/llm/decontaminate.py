@@ -33,86 +33,133 @@ UNITS = (
 ).split()
 
 
+def marked(text: Column) -> Column:
+    """The text with a mark before each name (\u0002) and unit (\u0003), and . or , inside a number made part of it (\u0004).
+
+    A name is a capitalised word after a word, number, comma, semicolon or bracket and one space, so not at the start of a sentence; a unit is a
+    unit word or % after a number.
+    """
+    clean = F.translate(F.coalesce(text, F.lit("")), "\u0002\u0003\u0004", "   ")
+    joined = F.regexp_replace(clean, r"(?<=\p{N})[.,](?=\p{N})", "\u0004")
+    names = F.regexp_replace(joined, r"(?<=[\p{L}\p{N},;)('’\"] )(\p{Lu}[\p{Ll}\p{M}]+)(?![\p{L}\p{N}])", "\u0002$1")
+    units = "|".join(sorted(UNITS, key=lambda u: (-len(u), u)))
+    number = r"\p{N}|\b(?i:" + "|".join(NUMBER_WORDS) + ")"
+    after_number = rf"(?<=\p{{N}}|\p{{N}} )(?i:{units})(?![\p{{L}}\p{{N}}])"
+    units = F.regexp_replace(names, after_number, "\u0003$0")
+    return F.regexp_replace(F.regexp_replace(units, r"(?<=\p{N})( ?)%", "$1 \u0003percent "), r"\$(?=\p{N})", " ")
+
+
 def tokens(text: Column) -> Column:
-    """Words and numbers of a text in order, sentence ends as tokens of their own: what placeholders are decided on."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"[$€£]?\p{N}[\p{N}.,]*\p{N}|[$€£]?\p{N}|\p{L}[\p{L}\p{M}'’]*|[.!?:\n%]"), F.lit(0))
+    """The marked words and numbers of a text in order, lower-cased."""
+    return F.array_remove(F.split(F.lower(marked(text)), "[^\\p{L}\\p{M}\\p{N}\u0002\u0003\u0004]+"), "")
 
 
-def _is_word(token: Column) -> Column:
-    return ~token.rlike(r"^[.!?:\n%]$")
+def kind(token: Column) -> Column:
+    """The typed placeholder of a token; NULL for a plain word."""
+    return (
+        F.when(token.startswith("\u0002"), NAME)
+        .when(token.startswith("\u0003"), UNIT)
+        .when(token.rlike(r"^\p{N}") | token.isin(NUMBER_WORDS), NUMBER)
+    )
 
 
-def template(found: Column) -> Column:
-    """Structs (t, v) of an array of tokens: the template token and, for placeholders, the value.
+def _mixed(a: Column, b: Column) -> Column:
+    return F.when(a.isNotNull() & b.isNotNull(), F.xxhash64(a, b))
 
-    A number is a token with a digit or a spelled-out number; a unit is a unit word or % after a number; a
-    name is a capitalised word that does not follow a sentence end, start or placeholder; other words are lower-cased.
-    Sentence ends only serve to tell names and are left out.
-    """
-    numbers = F.array(*map(F.lit, NUMBER_WORDS))
-    units = F.array(*map(F.lit, UNITS))
 
-    def one(token: Column, i: Column) -> Column:
-        before = F.when(i > 0, F.get(found, i - 1))
-        low = F.lower(token)
-        number = token.rlike(r"\p{N}") | F.array_contains(numbers, low)
-        after_number = F.coalesce(before.rlike(r"\p{N}") | F.array_contains(numbers, F.lower(before)), F.lit(False))
-        unit = after_number & (F.array_contains(units, low) | (token == "%"))
-        inner = F.coalesce(~before.rlike(r"^[.!?:\n%]$"), F.lit(False))
-        name = inner & token.rlike(r"^\p{Lu}[\p{Ll}\p{M}'’]+$")
-        kind = F.when(number, NUMBER).when(unit, UNIT).when(~_is_word(token), "").when(name, NAME).otherwise(low)
-        return F.struct(kind.alias("t"), F.when(number | unit | name, low).alias("v"))
+#: What is combined over windows, and how: digests of templates and of values, numbers of plain words.
+COMBINED = {"_template": _mixed, "_exact": _mixed, "_plain": lambda a, b: a + b}
 
-    return F.filter(F.transform(found, one), lambda x: x["t"] != "")
 
+def _part(name: str, width: int) -> str:
+    return name if width == 1 else f"{name}{width}"
 
-def _slice(array: str, start: Column, length: int | Column) -> Column:
-    return F.slice(array, start + 1, length)
 
+def _from(array: str, start: int) -> Column:
+    """The rest of an array from its element ``start`` (0 is the first) on."""
+    return F.slice(array, F.lit(start + 1), F.greatest(F.size(array) - start, F.lit(0)))
 
-def _key(start: Column, length: int | Column) -> Column:
-    """A window's key: its template if at least half of it is plain words, else its words and values themselves."""
-    plain = F.size(F.array_remove(_slice("_slots", start, length), 1))
-    by_template = F.xxhash64(F.lit(0), _slice("_kinds", start, length))
-    return F.when(2 * plain >= length, by_template).otherwise(F.xxhash64(F.lit(1), _slice("_exact", start, length)))
 
+def _of_size(name: str, size: int) -> Column:
+    """Per token, the windows of ``size`` tokens that start there, put together from windows of 2, 4, 8 tokens; NULL at the end."""
+    width = 1 << (size.bit_length() - 1)
+    out, have = F.col(_part(name, width)), width
+    while have < size:
+        width //= 2
+        if have + width <= size:
+            out, have = F.zip_with(out, _from(_part(name, width), have), COMBINED[name]), have + width
+    return out
 
-def _prepared(rows: DataFrame) -> DataFrame:
-    """Add the template of column _text: digests of the tokens, which of them are placeholders, their values."""
-    rows = rows.withColumn("_found", tokens(F.col("_text"))).drop("_text")
-    rows = rows.withColumn("_parts", template(F.col("_found"))).drop("_found")
-    return rows.withColumns(
-        {
-            "_kinds": F.transform("_parts", lambda x: F.xxhash64(x["t"])),
-            "_exact": F.transform("_parts", lambda x: F.xxhash64(x["t"], x["v"])),
-            "_slots": F.transform("_parts", lambda x: x["v"].isNotNull().cast("int")),
-            "_n": F.size("_parts"),
-        }
-    )
 
+def _chosen(size: int):
+    return lambda h, plain: F.when(2 * plain >= size, h["a"]).otherwise(h["b"])
 
-def _windows(lengths: list[int]) -> Column:
-    """All windows (at, size, key) of a prepared row: of each length, and the whole text if it is shorter than WINDOW."""
 
-    def of(length: int) -> Column:
-        starts = F.when(F.col("_n") >= length, F.sequence(F.lit(0), F.col("_n") - length))
-        made = F.transform(starts, lambda i: F.struct(i.alias("at"), F.lit(length).alias("size"), _key(i, length).alias("key")))
-        return F.coalesce(made, F.array().cast("array<struct<at:int,size:int,key:bigint>>"))
+def prepared(rows: DataFrame, sizes: list[int]) -> DataFrame:
+    """Replace column _text by _tokens, _n and, for each size, key<size>: the keys of the windows that start at each token.
+
+    A key is that of the template if at least half of the window is plain words, else that of the words and values themselves.
+    A text with fewer than SHORTEST tokens has one window, itself, among those of WINDOW tokens.  Windows double from step to step; each step is a column
+    of its own, so that nothing is computed again for each window.
+    """
+    kept = [c for c in rows.columns if c != "_text"]
+    rows = rows.withColumn("_tokens", tokens(F.col("_text"))).drop("_text").withColumn("_n", F.size("_tokens"))
+    rows = rows.withColumn("_kinds", F.transform("_tokens", kind))
+    rows = rows.withColumns(
+        {
+            "_template": F.zip_with("_tokens", "_kinds", lambda t, k: F.xxhash64(F.coalesce(k, t))),
+            "_exact": F.transform("_tokens", lambda t: F.xxhash64(t)),
+            "_plain": F.transform("_kinds", lambda k: k.isNull().cast("int")),
+        }
+    )
+    width = 1
+    while 2 * width <= max(sizes):
+        doubled = {
+            _part(name, 2 * width): F.zip_with(_part(name, width), _from(_part(name, width), width), join)
+            for name, join in COMBINED.items()
+        }
+        rows, width = rows.withColumns(doubled), 2 * width
+    found = {}
+    for size in sizes:
+        both = F.zip_with(_of_size("_template", size), _of_size("_exact", size), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        found[f"key{size}"] = F.zip_with(both, _of_size("_plain", size), _chosen(size))
+    mix = lambda name: F.aggregate(name, F.lit(0).cast("long"), lambda a, b: F.xxhash64(a, b))
+    plain = F.aggregate("_plain", F.lit(0), lambda a, b: a + b)
+    whole = F.array(F.when(2 * plain >= F.col("_n"), mix("_template")).otherwise(mix("_exact")))
+    found[f"key{WINDOW}"] = F.when(F.col("_n").between(1, SHORTEST - 1), whole).otherwise(found[f"key{WINDOW}"])
+    return rows.select(*kept, "_tokens", "_n", *[column.alias(name) for name, column in found.items()])
+
+
+def windows(rows: DataFrame, keys: list[str], sizes: list[int]) -> DataFrame:
+    """One row per window of prepared rows: keys, _tokens, _n, at, size, key.
+
+    The outer form is meant: for the inner one Spark would filter the scan by the whole expression first.
+    """
+    out = None
+    for size in sizes:
+        each = rows.select(*keys, "_tokens", "_n", F.posexplode_outer(f"key{size}").alias("at", "key")).where("key IS NOT NULL")
+        each = each.withColumn("size", F.when(F.col("_n") < SHORTEST, F.col("_n")).otherwise(size))
+        out = each if out is None else out.unionByName(each)
+    return out
 
-    whole = F.array(F.struct(F.lit(0).alias("at"), F.col("_n").alias("size"), _key(F.lit(0), F.col("_n")).alias("key")))
-    short = (F.col("_n") > 0) & (F.col("_n") < WINDOW) & ~F.col("_n").isin(lengths)
-    return F.concat(*map(of, lengths), F.when(short, whole).otherwise(F.array().cast("array<struct<at:int,size:int,key:bigint>>")))
 
+def item_windows(benchmark: DataFrame, text: str = "text", id: str = "item_id") -> tuple[DataFrame, list[int]]:
+    """(item_id, n_tokens, item_at, size, key, item_tokens) of every different item, stored, and the sizes of windows.
 
-def item_windows(benchmark: DataFrame, text: str = "text", id: str = "item_id") -> DataFrame:
-    """(item_id, n_tokens, item_at, size, key, item_slots) of every different item; items of equal words and values count as the one with the smallest id."""
-    items = _prepared(benchmark.select(F.col(f"`{id}`").alias("item_id"), F.col(f"`{text}`").alias("_text")))
-    one = items.where("_n > 0").groupBy("_exact", "_kinds", "_slots", "_n", "_parts").agg(F.min("item_id").alias("item_id"))
-    windows = one.withColumn("w", F.explode(_windows([WINDOW])))
-    return windows.select(
-        "item_id", F.col("_n").alias("n_tokens"), F.col("w.at").alias("item_at"), "w.size", "w.key",
-        _slice("_parts", F.col("w.at"), F.col("w.size")).alias("item_slots"),
+    Items are cut into windows of WINDOW tokens, shorter ones are one window; items of the same words and values count as the one
+    with the smallest id.
+    """
+    items = benchmark.select(F.col(f"`{id}`").alias("item_id"), F.col(f"`{text}`").alias("_text")).withColumn("found", tokens(F.col("_text")))
+    one = items.where("size(found) > 0").groupBy("found").agg(F.min(F.struct("item_id", "_text")).alias("x")).select("x.*")
+    one = store(one, "items")
+    lengths = one.select(F.size(tokens(F.col("_text"))).alias("n")).where(F.col("n").between(SHORTEST, WINDOW - 1)).distinct()
+    sizes = sorted({r[0] for r in lengths.collect()} | {WINDOW})  # at most WINDOW - SHORTEST + 1 sizes
+    cut = windows(prepared(one, sizes), ["item_id"], sizes).where(F.col("size") == F.least(F.col("_n"), F.lit(WINDOW)))
+    made = cut.select(
+        "item_id", F.col("_n").alias("n_tokens"), F.col("at").alias("item_at"), "size", "key",
+        F.slice("_tokens", F.col("at") + 1, F.col("size")).alias("item_tokens"),
     )
+    return store(made, "item-windows"), sizes
 
 
 def alignments(docs: DataFrame, benchmark: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
@@ -120,25 +167,19 @@ def alignments(docs: DataFrame, benchmark: DataFrame, keys: list[str], text: str
 
     The texts stay where they are: windows are made and looked up in the scanning tasks, and only matching windows are shuffled.
     """
-    known = store(item_windows(benchmark), "item-windows")
-    lengths = sorted({r[0] for r in known.where(F.col("size").between(SHORTEST, WINDOW)).select("size").distinct().collect()} | {WINDOW})
+    known, sizes = item_windows(benchmark)
     if known.count() <= BROADCAST_KEYS:
         known = F.broadcast(known)
-    rows = _prepared(docs.select(*[F.col(k) for k in keys], F.col(f"`{text}`").alias("_text")))
-    windows = rows.withColumn("w", F.explode(_windows(lengths))).select(
-        *keys, "_parts", F.col("w.at").alias("at"), F.col("w.size").alias("size"), F.col("w.key").alias("key")
-    )
-    hits = windows.join(known, ["key", "size"])
-    pairs = F.filter(
-        F.zip_with(
-            "item_slots", _slice("_parts", F.col("at"), F.col("size")),
-            lambda a, b: F.struct(a["t"].alias("t"), a["v"].alias("item"), b["v"].alias("doc")),
-        ),
-        lambda x: x["item"].isNotNull(),
+    rows = prepared(docs.select(*[F.col(k) for k in keys], F.col(f"`{text}`").alias("_text")), sizes)
+    hits = windows(rows, keys, sizes).join(known, ["key", "size"])
+    aligned = F.zip_with(
+        "item_tokens", F.slice("_tokens", F.col("at") + 1, F.col("size")),
+        lambda a, b: F.struct(kind(a).alias("t"), a.alias("item"), b.alias("doc")),
     )
     found = hits.select(
         *keys, "item_id", "n_tokens", (F.col("at") - F.col("item_at")).alias("shift"),
-        F.sequence("item_at", F.col("item_at") + F.col("size") - 1).alias("places"), pairs.alias("pairs"),
+        F.sequence("item_at", F.col("item_at") + F.col("size") - 1).alias("places"),
+        F.filter(aligned, lambda x: x["t"].isNotNull()).alias("pairs"),
     )
     joined = found.groupBy(*keys, "item_id", "n_tokens", "shift").agg(
         F.array_distinct(F.flatten(F.collect_set("places"))).alias("places"),
