@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewgrain.llm import byte_bpe, decontaminate, language_id, line_dedup, quality, simhash, url_filter
+from reviewgrain.llm import byte_bpe, decontaminate, html_text, language_id, line_dedup, quality, simhash, url_filter
 from reviewgrain.llm.shared import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,10 @@ def line_deduplication(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without later copies of repeated runs of lines."""
     out = line_dedup.without_later_copies(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_deleted_lines", "text")
+
+
+@query("op1_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.fit(pages)).select("page_id", "url", "text", "n_chars", "n_blocks", "n_kept")
