@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewgrain.llm import byte_bpe, decontaminate, html_text, language_id, line_dedup, quality, simhash, url_filter
+from reviewgrain.llm import byte_bpe, decontaminate, html_text, language_id, licenses, line_dedup, packing, quality, simhash, url_filter
 from reviewgrain.llm.shared import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,54 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's main text."""
     pages = table(spark, sf_dir, "pages")
     return html_text.extract(pages, html_text.fit(pages)).select("page_id", "url", "text", "n_chars", "n_blocks", "n_kept")
+
+
+def _licence_form(column: str) -> str:
+    """The canonical form in DuckDB's SQL."""
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    out = f"lower({column})"
+    for pattern in (licenses.COPYRIGHT_LINE, licenses.RIGHTS_LINE):
+        out = f"regexp_replace({out}, {quoted(pattern)}, '', 'g')"
+    for pattern, spelling in licenses.EQUIVALENT:
+        out = f"regexp_replace({out}, {quoted(pattern)}, {quoted(spelling.replace('$1', chr(92) + '1'))}, 'g')"
+    return f"trim(regexp_replace({out}, {quoted(licenses.OTHER)}, ' ', 'g'))"
+
+
+def _licence_sql() -> str:
+    known = ", ".join("('" + name + "', '" + text.replace("'", "''") + "')" for name, text in licenses.KNOWN)
+    return f"""
+WITH known AS (
+  SELECT {_licence_form("text")} AS form, min(licence) AS licence FROM (VALUES {known}) AS k(licence, text) GROUP BY 1
+), blocks AS (
+  SELECT doc_id, text, string_split_regex(text, '\\n[ \\t\\r]*\\n') AS b FROM documents WHERE text IS NOT NULL
+), each_block AS (
+  SELECT doc_id, unnest(b) AS block, generate_subscripts(b, 1) - 1 AS place, len(b) AS n FROM blocks
+), block_lines AS (
+  SELECT doc_id, place, string_split(block, chr(10)) AS l FROM each_block
+), offsets AS (
+  SELECT doc_id, l, place, sum(len(l)) OVER (PARTITION BY doc_id ORDER BY place) - len(l) AS before FROM block_lines
+), each_line AS (
+  SELECT doc_id, unnest(l) AS line, before + generate_subscripts(l, 1) - 1 AS place, len(l) AS n FROM offsets
+), units AS (
+  SELECT doc_id, 'document' AS unit, 0 AS place, text AS piece FROM blocks
+  UNION ALL SELECT doc_id, 'block', place, block FROM each_block WHERE n > 1
+  UNION ALL SELECT doc_id, 'line', place, line FROM each_line WHERE n > 1
+), forms AS (
+  SELECT doc_id, unit, place, {_licence_form("piece")} AS form FROM units WHERE regexp_matches(piece, '(?i)[a-z]')
+)
+SELECT doc_id, unit, CAST(place AS BIGINT) AS place, licence FROM forms JOIN known USING (form) WHERE form <> ''
+"""
+
+
+@query("op4_license_scan", _licence_sql())
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, block or line that is a known licence text."""
+    return licenses.find(table(spark, sf_dir, "documents"), licenses.catalogue(spark))
+
+
+@query("op5_packed_token_ids")
+def packed_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every packed row: its segments, and digests of its ids and positions."""
+    rows = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    digests = {"ids_sha256": F.sha2("ids", 256), "positions_sha256": F.sha2("positions", 256)}
+    return rows.withColumns(digests).drop("ids", "positions")
