@@ -64,28 +64,28 @@ def stretches(lines: DataFrame, min_words: int) -> DataFrame:
 
 
 def suffix_ranks(positions: DataFrame, longest: int) -> DataFrame:
-    """Prefix doubling over positions (stretch, at, line): stretch, at, ranks.
+    """Prefix doubling over positions (stretch, at, line): stretch, at, rank, since.
 
-    ranks[k] orders the suffixes by their first 2**k lines, equal ones share a rank; the end of a stretch sorts first.
+    In round k a rank is 1 plus the number of suffixes whose first 2**k lines sort before; the end of a stretch sorts first.  So a
+    rank is the place of the first suffix of its class in the suffix array, and ``since``, the last round that changed it, tells how
+    many lines that suffix shares with the one before: fewer than 2**since.
     Rounds end when no rank separates further or the longest stretch is covered.  A round ranks the different pairs of
     ranks: they are counted in the map tasks and numbered in even ranges, so a line that holds a third of all positions is one row.
     """
     names, classes = numbered(positions.groupBy("line").agg(F.count(F.lit(1)).alias("n")), ["line"], "upto", "n", "lines")
     first = names.select("line", (F.col("upto") - F.col("n") + 1).alias("rank"))
-    ranked = store(positions.join(first, "line").select("stretch", "at", F.array("rank").alias("ranks")), "ranks0")
-    width = 1
+    ranked = store(positions.join(first, "line").select("stretch", "at", "rank", F.lit(0).alias("since")), "ranks0")
+    width, number = 1, 1
     while width < longest:
-        ahead = F.lead(F.element_at("ranks", -1), width, 0).over(Window.partitionBy("stretch").orderBy("at"))
-        paired = ranked.select("stretch", "at", "ranks", F.element_at("ranks", -1).alias("a"), ahead.alias("b"))
-        sums, found = numbered(paired.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")), ["a", "b"], "upto", "n", f"pairs{width}")
-        next_rank = sums.select("a", "b", (F.col("upto") - F.col("n") + 1).alias("next"))
+        ahead = F.lead("rank", width, 0).over(Window.partitionBy("stretch").orderBy("at"))
+        paired = ranked.select("stretch", "at", "since", F.col("rank").alias("a"), ahead.alias("b"))
+        sums, found = numbered(paired.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")), ["a", "b"], "upto", "n", f"pairs{number}")
         if found == classes:
             break
-        ranked = store(
-            paired.join(next_rank, ["a", "b"]).select("stretch", "at", F.concat("ranks", F.array("next")).alias("ranks")),
-            f"ranks{width}",
-        )
-        classes, width = found, 2 * width
+        next_rank = sums.select("a", "b", (F.col("upto") - F.col("n") + 1).alias("rank"))
+        changed = F.when(F.col("rank") == F.col("a"), F.col("since")).otherwise(F.lit(number)).alias("since")
+        ranked = store(paired.join(next_rank, ["a", "b"]).select("stretch", "at", "rank", changed), f"ranks{number}")
+        classes, width, number = found, 2 * width, number + 1
     return ranked
 
 
@@ -103,12 +103,6 @@ def common_lines(pairs: DataFrame, sequences: DataFrame) -> DataFrame:
     return cut.withColumn("lcp", F.when(differ > 0, differ - 1).otherwise(F.size(equal)).cast("long")).drop("_a", "_b")
 
 
-def reach_of(a: str, b: str, longest: int) -> Column:
-    """Lines within which two suffixes differ, from the levels on which their ranks are equal; 0 if the first lines differ."""
-    levels = F.array_position(F.zip_with(a, b, lambda x, y: x == y), False).cast("int")
-    return F.when(levels == 0, longest).when(levels == 1, 0).otherwise(F.call_function("shiftleft", F.lit(1), levels - 1))
-
-
 def with_heads(pairs: DataFrame) -> DataFrame:
     """Add head: false where the row before is (at - 1, other_at - 1) of the same two stretches.
 
@@ -129,14 +123,17 @@ def needed_lines(sequences: DataFrame, min_words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = ["stretch", "mirrored", "at", "needed"]
-            for stretch, mirrored, words in zip(*(batch.column(c) for c in ("stretch", "mirrored", "words")), strict=True):
-                sums = np.concatenate(([0], np.cumsum(words.values.to_numpy(zero_copy_only=False))))
+            out: list[list[np.ndarray]] = [[], [], [], []]
+            for stretch, mirrored, words in zip(*(batch.column(c).to_pylist() for c in ("stretch", "mirrored", "words")), strict=True):
+                sums = np.concatenate(([0], np.cumsum(words)))
                 ends = np.searchsorted(sums, sums[:-1] + min_words)
                 at = np.flatnonzero(ends < len(sums))
-                own = np.full(len(at), stretch.as_py(), np.int64), np.full(len(at), mirrored.as_py())
-                columns = *own, at.astype(np.int32), (ends[at] - at).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+                own = np.full(len(at), stretch, np.int64), np.full(len(at), mirrored), at.astype(np.int32), (ends[at] - at).astype(np.int64)
+                for column, values in zip(out, own, strict=True):
+                    column.append(values)
+            if out[0]:
+                columns = [pa.array(np.concatenate(c)) for c in out]
+                yield pa.RecordBatch.from_arrays(columns, ["stretch", "mirrored", "at", "needed"])
 
     return sequences.select("stretch", "mirrored", "words").mapInArrow(run, "stretch long, mirrored boolean, at int, needed long")
 
@@ -149,32 +146,35 @@ def repeated_runs(sequences: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
     """
     longest = sequences.agg(F.max(F.size("ids"))).first()[0] or 0
     each = sequences.select("stretch", F.posexplode("ids").alias("at", "line"))
-    ranked = suffix_ranks(each, longest).withColumn("final", F.element_at("ranks", -1))
+    ranked = suffix_ranks(each, longest)
     # the suffix array: equal suffixes are in text order
-    array, _ = numbered(ranked, ["final", "stretch", "at"], "slot", label="suffix-array")
-    before = array.select((F.col("slot") + 1).alias("slot"), F.col("stretch").alias("other"), F.col("at").alias("other_at"), F.col("ranks").alias("_ranks"))
-    neighbours = array.join(before, "slot").withColumn("reach", reach_of("ranks", "_ranks", longest)).where("reach > 0")
+    array, _ = numbered(ranked, ["rank", "stretch", "at"], "slot", label="suffix-array")
+    before = array.select((F.col("slot") + 1).alias("slot"), F.col("stretch").alias("other"), F.col("at").alias("other_at"))
+    bound = F.when(F.col("rank") < F.col("slot"), longest).when(F.col("since") == 0, 0).otherwise(F.call_function("shiftleft", F.lit(1), F.col("since")))
+    neighbours = array.withColumn("reach", bound).where("reach > 0").join(before, "slot")
     pairs = store(with_heads(neighbours.select("slot", "stretch", "at", "other", "other_at", "reach")), "neighbours")
     compared = common_lines(pairs.where("head"), sequences).select("slot", "lcp")
     last = F.last(F.when(F.col("head"), F.struct("at", "lcp")), ignorenulls=True).over(Window.partitionBy("stretch").orderBy("at"))
     shared = pairs.join(compared, "slot", "left").select("slot", (last["lcp"] - (F.col("at") - last["at"])).alias("lcp"))
+    # each suffix with what it shares with the one before and the one behind, of which the larger bounds what it shares with any
+    ends = shared.unionAll(shared.select(F.col("slot") - 1, -F.col("lcp"))).groupBy("slot").agg(F.max("lcp").alias("lcp"), (-F.min("lcp")).alias("behind"))
+    known = lambda c: F.greatest(F.coalesce(F.col(c), F.lit(0)), F.lit(0))
     intervals = (
-        array.select("slot", "stretch", "at", "ranks")
+        array.select("slot", "stretch", "at")
         .join(needed_lines(sequences, min_words), ["stretch", "at"])
-        .join(shared, "slot", "left")
-        .withColumn("opens", (F.coalesce(F.col("lcp"), F.lit(0)) < F.col("needed")).cast("long"))
-        .select("slot", "stretch", "mirrored", "at", "ranks", "opens")
+        .join(ends, "slot", "left")
+        .withColumn("opens", (known("lcp") < F.col("needed")).cast("long"))
+        .withColumn("reach", F.greatest(known("lcp"), known("behind")).cast("int"))
+        .where("reach >= needed")
+        .select("slot", "stretch", "mirrored", "at", "reach", "opens")
     )
     grouped, _ = numbered(intervals, ["slot"], "interval", "opens", "intervals")
-    place = F.struct("stretch", F.when(F.col("mirrored"), -F.col("at")).otherwise(F.col("at")).alias("place"), "at", "ranks")
+    place = F.struct("stretch", F.when(F.col("mirrored"), -F.col("at")).otherwise(F.col("at")).alias("place"), "at")
     first = grouped.groupBy("interval").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     later = (
         grouped.join(first.where("n > 1"), "interval")
         .where("stretch <> first.stretch OR at <> first.at")
-        .select(
-            "stretch", "at", F.col("first.stretch").alias("other"), F.col("first.at").alias("other_at"),
-            reach_of("ranks", "first.ranks", longest).alias("reach"),
-        )
+        .select("stretch", "at", F.col("first.stretch").alias("other"), F.col("first.at").alias("other_at"), "reach")
     )
     heads = with_heads(later).where("head")
     return common_lines(heads, sequences).select("stretch", "at", F.col("lcp").alias("length"), "other", "other_at")
@@ -185,7 +185,7 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     docs: _id, _text_key, text.
     """
-    found = store(stretches(line_arrays(docs), min_words), "stretches")
+    found = store(stretches(store(line_arrays(docs), "lines"), min_words), "stretches")
     place = F.struct(*KEYS, "start")
     groups = found.groupBy("ids").agg(F.min(place).alias("p"), F.min("words").alias("words"))
     alone = groups.select("p._id", "p._text_key", "p.start", "ids", "words")
@@ -226,7 +226,8 @@ def without_later_copies(docs: DataFrame, text: str = "text", id: str = "doc_id"
     inside = lambda i: F.exists("_spans", lambda s: (i >= s["from"]) & (i < s["from"] + s["length"]))
     kept = F.filter(F.col("_lines"), lambda line, i: ~inside(i))
     found = joined.withColumn("_lines", F.when(F.col("_spans").isNotNull(), lines)).withColumn("_kept", kept)
-    n_lines = F.when(F.col(f"`{text}`").isNull(), 0).otherwise(F.length(f"`{text}`") - F.length(F.translate(F.col(f"`{text}`"), "\n", "")) + 1)
+    breaks = F.octet_length(f"`{text}`") - F.octet_length(F.replace(F.col(f"`{text}`"), F.lit("\n"), F.lit("")))
+    n_lines = F.coalesce(breaks + 1, F.lit(0))
     return found.select(
         *[(F.when(F.col("_spans").isNull(), F.col(f"`{c}`")).otherwise(F.array_join("_kept", "\n")).alias(c) if c == text else F.col(f"`{c}`")) for c in docs.columns if c not in ("n_lines", "n_deleted_lines")],
         n_lines.cast("long").alias("n_lines"),
