@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewgrain.llm import byte_bpe, decontaminate, language_id, line_dedup, simhash
-from reviewgrain.llm.shared import importable, store
+from reviewgrain.llm.shared import importable, renamed, store
 
 #: A document this far from every profile (score: 1 less the distance's share of the largest) is in no known language.
 LEAST_SCORE = 0.25
@@ -25,17 +25,21 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     importable(spark)
     training = docs.where(~language_id.held_out("doc_id"))
-    found = language_id.predict(docs, language_id.learn(training), keep=list(docs.columns))
+    rows, names = renamed(docs)
+    found = language_id.predict(rows, language_id.learn(training), text=names["text"], keep=rows.columns)
     known = found.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
-    return known.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    return known.select(*[F.col("lang_pred" if c == "lang" else names[c]).alias(c) for c in docs.columns])
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Delete later copies of repeated runs of lines; a document of which nothing is left goes."""
     importable(spark)
-    out = line_dedup.without_later_copies(docs)
-    left = (F.col("n_deleted_lines") == 0) | (F.length(F.trim(F.translate("text", "\n\t\r", "   "))) > 0)
-    return _same_columns(out.where(F.coalesce(left, F.lit(True))), docs)
+    rows, names = renamed(docs)
+    out = line_dedup.without_later_copies(rows, names["text"], names["doc_id"])
+    emptied = (F.col("n_deleted_lines") > 0) & ~F.col(names["text"]).rlike(r"\S")
+    chars = F.coalesce(F.length(names["text"]), F.lit(0)).cast("long")
+    kept = out.where(~F.coalesce(emptied, F.lit(False)))
+    return kept.select(*[(chars if c == "n_chars" else F.col(names[c])).alias(c) for c in docs.columns])
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,10 +64,6 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return decoded.select("doc_id", "n_tokens", "ids", (F.sha2("decoded", 256) == F.col("_wanted")).alias("round_trip"))
 
 
-def _same_columns(out: DataFrame, docs: DataFrame) -> DataFrame:
-    return out.select(*[F.coalesce(F.length("text").cast("long"), F.lit(0)).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
-
-
 STAGES = [
     ("language_id", identify_language),
     ("line_dedup", remove_repeated_lines),

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewgrain.llm.shared import store
+from reviewgrain.llm.shared import renamed, store
 
 #: Template tokens of a window; shorter items of at least SHORTEST tokens are one window; items below that must be the whole document.
 WINDOW, SHORTEST = 8, 5
@@ -210,6 +210,6 @@ def contaminated(
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """The documents that contain no item, all columns as they are."""
     found = contaminated(docs, benchmark, text, id).select(F.struct(F.col(f"`{id}`").alias("id"), "text_key").alias("key")).distinct()
-    key = F.struct(F.col(f"`{id}`").alias("id"), F.xxhash64(f"`{text}`").alias("text_key"))
-    keyed = docs.withColumn("_key", key)
-    return keyed.join(found, keyed["_key"] == found["key"], "left_anti").drop("_key")
+    rows, names = renamed(docs)
+    keyed = rows.withColumn("_key", F.struct(F.col(names[id]).alias("id"), F.xxhash64(names[text]).alias("text_key")))
+    return keyed.join(found, keyed["_key"] == found["key"], "left_anti").drop("_key").toDF(*docs.columns)

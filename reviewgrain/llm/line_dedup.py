@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewgrain.llm.shared import numbered, store, texts
+from reviewgrain.llm.shared import numbered, renamed, store, texts
 
 #: Words that a repeated run must have.
 MIN_WORDS = 10
@@ -210,7 +210,7 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def without_later_copies(docs: DataFrame, text: str = "text", id: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """All columns of ``docs`` with the text less later copies, plus n_lines and n_deleted_lines (longs).
+    """All columns of ``docs`` with the text less later copies, plus n_lines and n_deleted_lines (longs; such columns of ``docs`` are replaced).
 
     A run of lines is repeated if the same lines, without white space around them, follow each other elsewhere and hold at least
     ``min_words`` words; it is as long as its first copy goes on equally.  First is by id (NULL first), then by
@@ -219,17 +219,19 @@ def without_later_copies(docs: DataFrame, text: str = "text", id: str = "doc_id"
     """
     keyed = docs.select(F.col(f"`{id}`").alias("_id"), F.xxhash64(f"`{text}`").alias("_text_key"), F.col(f"`{text}`").alias("text"))
     spans = store(later_copies(keyed, min_words), "spans")
-    spans = spans.select(F.col("_id").alias("_span_id"), F.col("_text_key").alias("_span_key"), F.col("spans").alias("_spans"))
-    same = F.col(f"`{id}`").eqNullSafe(F.col("_span_id")) & (F.xxhash64(f"`{text}`") == F.col("_span_key"))
-    joined = docs.join(spans, same, "left")
-    lines = F.split(F.col(f"`{text}`"), "\n", -1)
-    inside = lambda i: F.exists("_spans", lambda s: (i >= s["from"]) & (i < s["from"] + s["length"]))
-    kept = F.filter(F.col("_lines"), lambda line, i: ~inside(i))
-    found = joined.withColumn("_lines", F.when(F.col("_spans").isNotNull(), lines)).withColumn("_kept", kept)
-    breaks = F.octet_length(f"`{text}`") - F.octet_length(F.replace(F.col(f"`{text}`"), F.lit("\n"), F.lit("")))
-    n_lines = F.coalesce(breaks + 1, F.lit(0))
-    return found.select(
-        *[(F.when(F.col("_spans").isNull(), F.col(f"`{c}`")).otherwise(F.array_join("_kept", "\n")).alias(c) if c == text else F.col(f"`{c}`")) for c in docs.columns if c not in ("n_lines", "n_deleted_lines")],
-        n_lines.cast("long").alias("n_lines"),
-        F.when(F.col("_spans").isNull(), 0).otherwise(F.size("_lines") - F.size("_kept")).cast("long").alias("n_deleted_lines"),
-    )
+    key = F.struct(F.col("_id").alias("id"), F.col("_text_key").alias("text_key"))
+    rows, names = renamed(docs)
+    body = names[text]
+    keyed = rows.withColumn("_key", F.struct(F.col(names[id]).alias("id"), F.xxhash64(body).alias("text_key")))
+    found = keyed.join(spans.select(key.alias("_key"), "spans"), "_key", "left").withColumn("_lines", F.when(F.col("spans").isNotNull(), F.split(body, "\n", -1)))
+    inside = lambda i: F.exists("spans", lambda s: (i >= s["from"]) & (i < s["from"] + s["length"]))
+    found = found.withColumn("_kept", F.filter("_lines", lambda line, i: ~inside(i)))
+    breaks = F.octet_length(body) - F.octet_length(F.replace(F.col(body), F.lit("\n"), F.lit("")))
+    new = {
+        text: F.when(F.col("spans").isNull(), F.col(body)).otherwise(F.array_join("_kept", "\n")),
+        "n_lines": F.coalesce(breaks + 1, F.lit(0)).cast("long"),
+        "n_deleted_lines": F.when(F.col("spans").isNull(), 0).otherwise(F.size("_lines") - F.size("_kept")).cast("long"),
+    }
+    old = [c for c in docs.columns if c not in new]
+    order = [c for c in docs.columns if c in (*old, text)] + ["n_lines", "n_deleted_lines"]
+    return found.select(*[(new[c] if c in new else F.col(names[c])).alias(c) for c in order])

@@ -15,7 +15,7 @@ from reviewgrain.operators.scaling import store
 #: Rows and bytes of one Arrow batch that a Python task hands back.
 ROWS_OUT, BYTES_OUT = 2_000, 16_000_000
 
-__all__ = ["Batches", "components", "importable", "key_of", "numbered", "partitions", "store", "texts"]
+__all__ = ["Batches", "components", "importable", "numbered", "partitions", "renamed", "store", "texts"]
 
 
 def importable(spark: SparkSession) -> None:
@@ -59,9 +59,10 @@ class Batches:
             yield pa.RecordBatch.from_arrays(arrays, schema=self.schema)
 
 
-def key_of(name: str):
-    """A text column's 64-bit digest; NULL counts as a text of its own."""
-    return F.xxhash64(F.coalesce(F.col(name), F.lit("\0null")))
+def renamed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The table with columns c0, c1 and so on, which clash with no name used here, and the new name of each old one."""
+    names = {name: f"c{i}" for i, name in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
 
 
 def numbered(

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewgrain.llm.shared import Batches, components, partitions, store, texts
+from reviewgrain.llm.shared import Batches, components, partitions, renamed, store, texts
 
 SHINGLE = 4
 SEED = 42
@@ -354,14 +354,14 @@ def without_near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_
     The one with the smallest id stays; a NULL id comes last, ties go by a digest of the text.  Texts without a word are one group.  Of rows
     with the same id and text one stays.
     """
-    key = F.struct(F.col(f"`{id}`").alias("id"), F.xxhash64(f"`{text}`").alias("text_key"))
-    narrow = docs.select(key.alias("_key"), F.col(f"`{text}`").alias("text"))
-    rows, rooted = _rooted(narrow, ["_key"], radius)
+    rows, names = renamed(docs)
+    key = F.struct(F.col(names[id]).alias("id"), F.xxhash64(names[text]).alias("text_key"))
+    prints, rooted = _rooted(rows.select(key.alias("_key"), F.col(names[text]).alias("text")), ["_key"], radius)
     place = F.struct(F.col("_key.id").isNull().alias("last"), F.col("_key").alias("key"))
-    first = rows.groupBy("fingerprint").agg(F.min(place).alias("p")).join(rooted, "fingerprint")
+    first = prints.groupBy("fingerprint").agg(F.min(place).alias("p")).join(rooted, "fingerprint")
     kept = first.groupBy("root").agg(F.min("p").alias("p")).select("p.key")
-    keyed = docs.withColumn("_key", key)
-    return keyed.join(kept, keyed["_key"] == kept["key"], "left_semi").dropDuplicates(["_key"]).drop("_key")
+    keyed = rows.withColumn("_key", key)
+    return keyed.join(kept, keyed["_key"] == kept["key"], "left_semi").dropDuplicates(["_key"]).drop("_key").toDF(*docs.columns)
 
 
 def hexadecimal(fingerprint_column: str) -> Column:
