@@ -3,14 +3,17 @@
 A profile lists a language's most frequent n-grams (1 to 3 characters, words padded with a
 space on both sides) in order of frequency.  A document's own list is compared to each profile by
 the out-of-place distance: the sum over its n-grams of how far their ranks lie apart, with the profile's length for an n-gram that
-it does not have.  The nearest profile wins.
+it does not have.  The nearest profile wins.  N-grams of a document that are equally frequent are listed in the order of a digest.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +27,7 @@ GRAM = 3
 PROFILE = 400
 UNDETERMINED = "und"
 #: Distinct words whose n-grams a worker remembers, and rows it counts before it hands counts on.
-REMEMBERED, COUNTED = 100_000, 200_000
+REMEMBERED, COUNTED = 250_000, 500_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -33,9 +36,11 @@ def held_out(id_column: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_column).cast("string")) % 4 == 2, F.lit(False))
 
 
-def grams_of(word: str, longest: int = GRAM) -> list[str]:
+def grams_of(word: str) -> list[str]:
+    """The n-grams of one word: its characters, and the pairs and triples of the word with a space on both sides."""
     padded = f" {word} "
-    return [padded[i : i + n] for n in range(1, longest + 1) for i in range(len(padded) - n + 1) if padded[i : i + n] != " "]
+    pairs = list(map(add, padded, padded[1:]))
+    return [*word, *pairs, *map(add, pairs, padded[2:])]
 
 
 def has_letter(text: str | None) -> bool:
@@ -51,15 +56,14 @@ def count_grams(rows: DataFrame) -> DataFrame:
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, seen in words.items():
-                sums: Counter = Counter()
-                for word, n in seen.items():
-                    for gram in grams_of(word):
-                        sums[gram] += n
-                if sums:
-                    columns = [lang] * len(sums), list(sums), list(sums.values())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
-                    )
+                known = WordGrams([])
+                found = list(map(known.__getitem__, seen))
+                sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+                times = np.repeat(np.fromiter(seen.values(), np.int64, len(seen)), sizes)
+                sums = np.zeros(len(known.numbers), np.int64)
+                np.add.at(sums, np.frombuffer(b"".join(found), np.int32), times)
+                columns = [lang] * len(sums), list(known.numbers), sums
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
             words.clear()
 
         for batch in batches:
@@ -86,38 +90,48 @@ def learn(rows: DataFrame, size: int = PROFILE) -> DataFrame:
     return store(ranked.select("lang", "gram", "place"), "profiles")
 
 
+class WordGrams(dict):
+    """The n-gram numbers of recent words, as 32-bit integers; n-grams are numbered as they come, those of the profiles first."""
+
+    def __init__(self, grams: list[str]):
+        super().__init__()
+        self.first = grams
+        self.clear()
+
+    def clear(self) -> None:
+        """Forget words and the n-grams that only they had, so that memory stays bounded."""
+        super().clear()
+        self.numbers = {gram: i for i, gram in enumerate(self.first)}
+        self.ties = np.zeros(max(1024, 2 * len(self.first)), np.uint32)
+        self.ties[: len(self.first)] = [zlib.crc32(gram.encode("utf-8", "surrogatepass")) for gram in self.first]
+
+    def __missing__(self, word: str) -> bytes:
+        grams, numbers = grams_of(word), self.numbers
+        found = list(map(numbers.get, grams))
+        if None in found:
+            for gram in grams:
+                if gram not in numbers:
+                    at = numbers[gram] = len(numbers)
+                    if at >= len(self.ties):
+                        self.ties = np.concatenate((self.ties, np.zeros_like(self.ties)))
+                    self.ties[at] = zlib.crc32(gram.encode("utf-8", "surrogatepass"))
+            found = list(map(numbers.get, grams))
+        self[word] = made = array("i", found).tobytes()
+        return made
+
+
 class Profiles:
     """The profiles as arrays over the n-grams that any of them has."""
 
     def __init__(self, rows: list[tuple[str, str, int]], size: int):
         self.size = size
         self.langs = sorted({r[0] for r in rows})
-        self.number = {g: i for i, g in enumerate(sorted({r[1] for r in rows}))}
+        self.words = WordGrams(sorted({r[1] for r in rows}))
+        number = self.words.numbers
         # place of each n-gram in each profile; -1 says that it has none; the last column is for n-grams no profile has
-        self.places = np.full((len(self.langs), len(self.number) + 1), -1, np.int32)
+        self.places = np.full((len(self.langs), len(number) + 1), -1, np.int32)
         for lang, gram, place in rows:
-            self.places[self.langs.index(lang), self.number[gram]] = place
-        self.numbers: dict[str, int] = dict(self.number)
-        self.names: list[str] = list(self.number)
-        self.known: dict[str, np.ndarray] = {}
-
-    def of_word(self, word: str) -> np.ndarray:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= REMEMBERED:  # n-grams of old words go too, so that memory stays bounded
-                self.known.clear()
-                self.numbers = dict(self.number)
-                self.names = list(self.number)
-            numbers = self.numbers
-            found = []
-            for gram in grams_of(word):
-                at = numbers.get(gram)
-                if at is None:
-                    at = numbers[gram] = len(numbers)
-                    self.names.append(gram)
-                found.append(at)
-            found = self.known[word] = np.array(found, np.int64)
-        return found
+            self.places[self.langs.index(lang), number[gram]] = place
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The nearest profile's language and how near it is: 1 less the distance's share of the largest possible."""
@@ -126,20 +140,20 @@ class Profiles:
         words = Counter(WORD.findall(text.lower()))
         if not words:
             return UNDETERMINED, 0.0
-        if len(self.known) + len(words) >= REMEMBERED:
-            self.known, self.numbers, self.names = {}, dict(self.number), list(self.number)
-        lists = [self.of_word(w) for w in words]
-        weights = np.repeat(np.fromiter(words.values(), np.int64, len(words)), [len(x) for x in lists])
-        counts = np.bincount(np.concatenate(lists), weights, len(self.numbers)).astype(np.int64)
+        if len(self.words) + len(words) >= REMEMBERED:
+            self.words.clear()
+        lists = list(map(self.words.__getitem__, words))
+        times = np.fromiter(words.values(), np.int64, len(words))
+        sizes = np.fromiter(map(len, lists), np.int64, len(words)) // 4
+        counts = np.bincount(np.frombuffer(b"".join(lists), np.int32), np.repeat(times, sizes))
         seen = np.flatnonzero(counts)
+        amount = counts[seen]
         if len(seen) > self.size:  # the n-grams that can be among the first, ties at the border included
-            border = np.partition(counts[seen], len(seen) - self.size)[len(seen) - self.size]
-            seen = seen[counts[seen] >= border]
-        names = self.names
-        seen = sorted(seen.tolist(), key=lambda g: (-counts[g], names[g]))[: self.size]
-        places = self.places[:, np.minimum(seen, len(self.number))]
-        own = np.arange(len(seen))
-        distance = np.where(places < 0, self.size, np.abs(places - own)).sum(axis=1)
+            border = np.partition(amount, len(seen) - self.size)[len(seen) - self.size]
+            seen, amount = seen[amount >= border], amount[amount >= border]
+        seen = seen[np.lexsort((seen, self.words.ties[seen], -amount))][: self.size]
+        places = self.places[:, np.minimum(seen, self.places.shape[1] - 1)]
+        distance = np.where(places < 0, self.size, np.abs(places - np.arange(len(seen)))).sum(axis=1)
         best = int(np.argmin(distance))
         return self.langs[best], float(1 - distance[best] / (self.size * len(seen)))
 
