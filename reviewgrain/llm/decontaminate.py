@@ -34,33 +34,29 @@ UNITS = (
 
 
 def marked(text: Column) -> Column:
-    """The text with a mark before each name (\u0002) and unit (\u0003), and . or , inside a number made part of it (\u0004).
+    """The text with a mark before each number (\u0001), name (\u0002) and unit (\u0003), and . or , inside a number made part of it (\u0004).
 
     A name is a capitalised word after a word, number, comma, semicolon or bracket and one space, so not at the start of a sentence; a unit is a
-    unit word or % after a number.
+    unit word or % after a number.  Spelled-out numbers carry no mark.
     """
-    clean = F.translate(F.coalesce(text, F.lit("")), "\u0002\u0003\u0004", "   ")
+    clean = F.translate(F.coalesce(text, F.lit("")), "\u0001\u0002\u0003\u0004", "    ")
     joined = F.regexp_replace(clean, r"(?<=\p{N})[.,](?=\p{N})", "\u0004")
-    names = F.regexp_replace(joined, r"(?<=[\p{L}\p{N},;)('’\"] )(\p{Lu}[\p{Ll}\p{M}]+)(?![\p{L}\p{N}])", "\u0002$1")
+    numbers = F.regexp_replace(joined, "(?<![\\p{L}\\p{M}\\p{N}\u0004])(?=\\p{N})", "\u0001")
+    names = F.regexp_replace(numbers, r"(?<=[\p{L}\p{N},;)('’\"] )(\p{Lu}[\p{Ll}\p{M}]+)(?![\p{L}\p{N}])", "\u0002$1")
     units = "|".join(sorted(UNITS, key=lambda u: (-len(u), u)))
-    number = r"\p{N}|\b(?i:" + "|".join(NUMBER_WORDS) + ")"
     after_number = rf"(?<=\p{{N}}|\p{{N}} )(?i:{units})(?![\p{{L}}\p{{N}}])"
-    units = F.regexp_replace(names, after_number, "\u0003$0")
-    return F.regexp_replace(F.regexp_replace(units, r"(?<=\p{N})( ?)%", "$1 \u0003percent "), r"\$(?=\p{N})", " ")
+    return F.regexp_replace(F.regexp_replace(names, after_number, "\u0003$0"), r"(?<=\p{N})( ?)%", "$1 \u0003percent ")
 
 
 def tokens(text: Column) -> Column:
     """The marked words and numbers of a text in order, lower-cased."""
-    return F.array_remove(F.split(F.lower(marked(text)), "[^\\p{L}\\p{M}\\p{N}\u0002\u0003\u0004]+"), "")
+    return F.array_remove(F.split(F.lower(marked(text)), "[^\\p{L}\\p{M}\\p{N}\u0001\u0002\u0003\u0004]+"), "")
 
 
 def kind(token: Column) -> Column:
     """The typed placeholder of a token; NULL for a plain word."""
-    return (
-        F.when(token.startswith("\u0002"), NAME)
-        .when(token.startswith("\u0003"), UNIT)
-        .when(token.rlike(r"^\p{N}") | token.isin(NUMBER_WORDS), NUMBER)
-    )
+    number = token.startswith("\u0001") | token.isin(NUMBER_WORDS)
+    return F.when(token.startswith("\u0002"), NAME).when(token.startswith("\u0003"), UNIT).when(number, NUMBER)
 
 
 def _mixed(a: Column, b: Column) -> Column:
@@ -91,6 +87,15 @@ def _of_size(name: str, size: int) -> Column:
     return out
 
 
+def _doubled(rows: DataFrame, name: str, most: int) -> DataFrame:
+    """Add the windows of 2, 4, 8 tokens up to ``most``, one column each."""
+    width = 1
+    while 2 * width <= most:
+        half = _part(name, width)
+        rows, width = rows.withColumn(_part(name, 2 * width), F.zip_with(half, _from(half, width), COMBINED[name])), 2 * width
+    return rows
+
+
 def _chosen(size: int):
     return lambda h, plain: F.when(2 * plain >= size, h["a"]).otherwise(h["b"])
 
@@ -104,25 +109,23 @@ def prepared(rows: DataFrame, sizes: list[int]) -> DataFrame:
     """
     kept = [c for c in rows.columns if c != "_text"]
     rows = rows.withColumn("_tokens", tokens(F.col("_text"))).drop("_text").withColumn("_n", F.size("_tokens"))
-    rows = rows.withColumn("_kinds", F.transform("_tokens", kind))
     rows = rows.withColumns(
         {
-            "_template": F.zip_with("_tokens", "_kinds", lambda t, k: F.xxhash64(F.coalesce(k, t))),
-            "_exact": F.transform("_tokens", lambda t: F.xxhash64(t)),
-            "_plain": F.transform("_kinds", lambda k: k.isNull().cast("int")),
+            "_template": F.transform("_tokens", lambda t: F.xxhash64(F.coalesce(kind(t), t))),
+            "_plain": F.transform("_tokens", lambda t: kind(t).isNull().cast("int")),
         }
     )
-    width = 1
-    while 2 * width <= max(sizes):
-        doubled = {
-            _part(name, 2 * width): F.zip_with(_part(name, width), _from(_part(name, width), width), join)
-            for name, join in COMBINED.items()
-        }
-        rows, width = rows.withColumns(doubled), 2 * width
+    rows = _doubled(_doubled(rows, "_template", max(sizes)), "_plain", max(sizes))
+    # values themselves only count where placeholders are many: windows of few plain words, and short texts
+    fewest = F.least(*[F.coalesce(F.array_min(_of_size("_plain", size)) - size / 2, F.lit(0.0)) for size in sizes], F.lit(0.0))
+    exact = F.when((fewest < 0) | (F.col("_n") < SHORTEST), F.transform("_tokens", lambda t: F.xxhash64(t)))
+    rows = _doubled(rows.withColumn("_exact", exact), "_exact", max(sizes))
     found = {}
     for size in sizes:
-        both = F.zip_with(_of_size("_template", size), _of_size("_exact", size), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-        found[f"key{size}"] = F.zip_with(both, _of_size("_plain", size), _chosen(size))
+        template = _of_size("_template", size)
+        either = F.zip_with(template, _of_size("_exact", size), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        chosen = F.zip_with(either, _of_size("_plain", size), _chosen(size))
+        found[f"key{size}"] = F.when(F.col("_exact").isNull(), template).otherwise(chosen)
     mix = lambda name: F.aggregate(name, F.lit(0).cast("long"), lambda a, b: F.xxhash64(a, b))
     plain = F.aggregate("_plain", F.lit(0), lambda a, b: a + b)
     whole = F.array(F.when(2 * plain >= F.col("_n"), mix("_template")).otherwise(mix("_exact")))
