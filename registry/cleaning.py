@@ -354,3 +354,18 @@ def duplicate_counts(spark, sf):
 def drop_document_copies(spark, sf):
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("row_id"), F.col("text").alias("review"))
     return cleaning.drop_duplicates(docs).select("row_id", F.md5("review").alias("digest"))
+
+
+@query(
+    "wn1_rows_a_microsecond_apart",
+    """SELECT event_type, count(*) AS events, count(DISTINCT ts) AS stamps FROM (SELECT DISTINCT user_id, event_type, value, props, ts FROM
+ (SELECT * FROM events UNION ALL SELECT * FROM events UNION ALL SELECT event_id, ts + INTERVAL 1 MICROSECOND, user_id, event_type, value, props FROM events))
+GROUP BY 1""",
+)
+def rows_a_microsecond_apart(spark, sf):
+    events = table(spark, sf, "events")
+    later = F.col("ts") + F.expr("INTERVAL 1 MICROSECOND")
+    copies = [events, events, events.withColumn("ts", later)]
+    rows = [df.withColumn("row_id", F.col("event_id") * 3 + i).drop("event_id") for i, df in enumerate(copies)]
+    kept = cleaning.drop_duplicates(rows[0].unionByName(rows[1]).unionByName(rows[2]))
+    return kept.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"), F.count_distinct("ts").alias("stamps"))

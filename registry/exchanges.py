@@ -103,7 +103,7 @@ _INFER = "SELECT row_id, review FROM reviews WHERE (title IS NULL OR title = 'Un
     "bm4_inference_prompts",
     f"""{CTE_REVIEWS}, needing AS ({_INFER}), {_sql_batches('needing', 'row_id', 10)}
 SELECT batch_id, count(*) AS expected, 'Infer the product name and a rating from 1 to 5 for each review.' || {NL} || {NL} || 'Reviews:' || {NL}
- || string_agg('Review ' || item || ': ' || replace(substring(review, 1, 500), {NL}, ' '), {NL} ORDER BY item) || {NL} || {NL}
+ || string_agg('Review ' || item || ': ' || replace(review, {NL}, ' '), {NL} ORDER BY item) || {NL} || {NL}
  || 'Answer with a JSON list of {{"title": text, "rating": number}}; use "Generic Product" and 3 where unsure.' AS prompt
 FROM batched GROUP BY 1""",
 )
@@ -159,15 +159,15 @@ def parse_insights(spark, sf):
     return rows.select("conv_id", "turn", insight.alias("insight"), action.alias("action"))
 
 
-def _sql_bullets(n: int, width: int) -> str:
+def _sql_bullets(n: int) -> str:
     return f"""ranked AS (SELECT product_category, review, row_number() OVER (PARTITION BY product_category ORDER BY row_id) AS rn FROM scored),
-bullets AS (SELECT product_category, string_agg('- ' || substring(review, 1, {width}), {NL} ORDER BY rn) FILTER (review IS NOT NULL) AS bullets
+bullets AS (SELECT product_category, string_agg('- ' || review, {NL} ORDER BY rn) FILTER (review IS NOT NULL) AS bullets
  FROM ranked WHERE rn <= {n} GROUP BY 1)"""
 
 
 @query(
     "bm7_naming_prompts",
-    f"""{CTE_SCORED}, {_sql_bullets(10, 150)} SELECT product_category,
+    f"""{CTE_SCORED}, {_sql_bullets(10)} SELECT product_category,
  'Name the common aspect of these reviews in 2-3 words:' || {NL} || bullets AS prompt FROM bullets""",
 )
 def naming_prompts(spark, sf):
@@ -176,7 +176,7 @@ def naming_prompts(spark, sf):
 
 @query(
     "bm7_summary_prompts",
-    f"""{CTE_SCORED}, {_sql_bullets(20, 200)} SELECT product_category, 'Summarise in 2-3 sentences what customers say about "'
+    f"""{CTE_SCORED}, {_sql_bullets(20)} SELECT product_category, 'Summarise in 2-3 sentences what customers say about "'
  || upper(product_category) || '":' || {NL} || bullets AS prompt FROM bullets""",
 )
 def summary_prompts(spark, sf):
@@ -267,7 +267,7 @@ def no_hits(spark, sf):
     "bm9_aspect_prompts",
     f"""{CTE_REVIEWS} SELECT row_id, 'List the aspects of this review as ''aspect: positive/negative/neutral''.' || {NL} || 'Common aspects: '
  || 'quality, price, shipping, packaging, durability, ease_of_use, value, appearance, customer_service' || {NL} || {NL}
- || 'Review: ' || substring(review, 1, 500) AS prompt FROM reviews WHERE review IS NOT NULL AND review <> ''""",
+ || 'Review: ' || review AS prompt FROM reviews WHERE review IS NOT NULL AND review <> ''""",
 )
 def aspect_prompts(spark, sf):
     return exchanges.aspect_prompts(reviews(spark, sf))

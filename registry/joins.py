@@ -41,6 +41,19 @@ def fill_from_scraped(spark, sf):
     return enrichment.fill_from_scraped(rows, scraped(spark, sf)).drop("pageurl")
 
 
+@query(
+    "jn4_repeated_records",
+    f"""{CTE_REVIEWS}, {CTE_SIDE} SELECT r.row_id, coalesce(r.title, s.title) AS title, coalesce(r.rating, s.rating) AS rating
+FROM reviews r LEFT JOIN scraped s ON s.url = r.pageurl AND s.success""",
+)
+def fill_from_repeated_records(spark, sf):
+    """Every page was read twice; the later record counts and no review is repeated."""
+    rows = reviews(spark, sf).select("row_id", "pageurl", "title", "rating")
+    records = scraped(spark, sf).withColumn("read", F.lit(2))
+    earlier = records.withColumns({"title": F.lit("earlier"), "rating": F.lit(0.5), "read": F.lit(1)})
+    return enrichment.fill_from_scraped(rows, earlier.unionByName(records), order="read").drop("pageurl")
+
+
 def seller_record(spark, sf):
     """Fresh values per URL: a title that may be empty and a reviewer name."""
     rows = scraped(spark, sf)

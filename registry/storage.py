@@ -174,3 +174,18 @@ def clear_store(spark, sf):
     store.clear()
     left = store.load().agg(F.count(F.lit(1)).alias("n")).scalar()
     return reviews(spark, sf).agg(left.alias("left_over"), F.count(F.lit(1)).alias("reviews"))
+
+
+@query(
+    "so3_update_store",
+    f"""{CTE_DOCUMENTS} SELECT doc_id, category, review_count FROM aspect_documents
+UNION ALL SELECT doc_id || '_again', category, review_count FROM aspect_documents""",
+)
+def update_store(spark, sf):
+    """Load, add and save over the stored rows, then load again."""
+    store = aspect_store.AspectStore(spark, scratch_path(spark, "aspect_store"))
+    documents = aspect_documents(spark, sf)
+    store.save(documents)
+    again = documents.withColumn("doc_id", F.concat("doc_id", F.lit("_again")))
+    store.save(aspect_store.add_documents(store.load(), again))
+    return store.load().select("doc_id", "category", "review_count")

@@ -75,7 +75,7 @@ def consolidate_titles(spark, sf):
 @query(
     "tx3_unique_products",
     f"""{CTE_REVIEWS}, ranked AS (SELECT *, row_number() OVER (PARTITION BY title ORDER BY row_id) AS rn FROM reviews WHERE title IS NOT NULL)
-SELECT title, pageurl AS url, substring(review, 1, 200) AS review FROM ranked WHERE rn = 1""",
+SELECT title, pageurl AS url, review FROM ranked WHERE rn = 1""",
 )
 def unique_products(spark, sf):
     return categories.unique_products(reviews(spark, sf))
@@ -165,16 +165,15 @@ def category_drivers(spark, sf):
 _CLUSTER = "product_category"
 
 
-def _ranked_words(n_reviews: int, n_words: int) -> str:
-    return f"""firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {_CLUSTER} ORDER BY row_id) AS rn FROM scored) WHERE rn <= {n_reviews}),
-words AS (SELECT {_CLUSTER}, unnest({sql_tokens('lower(review)')}) AS word FROM firsts),
+def _ranked_words(n_words: int) -> str:
+    return f"""words AS (SELECT {_CLUSTER}, unnest({sql_tokens('lower(review)')}) AS word FROM scored),
 counted AS (SELECT {_CLUSTER}, word, count(*) AS n FROM words GROUP BY 1, 2),
 top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {_CLUSTER} ORDER BY n DESC, word) AS place FROM counted) WHERE place <= {n_words})"""
 
 
 @query(
     "tx10_cluster_names",
-    f"""{CTE_SCORED}, {_ranked_words(10, 3)} SELECT {_CLUSTER},
+    f"""{CTE_SCORED}, {_ranked_words(3)} SELECT {_CLUSTER},
  coalesce(string_agg(word, ' / ' ORDER BY place) FILTER (length(word) > 3), '') AS aspect_name FROM top GROUP BY 1""",
 )
 def cluster_names(spark, sf):
@@ -233,7 +232,7 @@ def aspect_name_sentiment(spark, sf):
 
 @query(
     "tx14_cluster_top_words",
-    f"""{CTE_SCORED}, {_ranked_words(50, 30)},
+    f"""{CTE_SCORED}, {_ranked_words(30)},
 kept AS (SELECT *, row_number() OVER (PARTITION BY {_CLUSTER} ORDER BY place) AS rn FROM top
  WHERE length(word) > 2 AND NOT list_contains({quoted(lx.CLUSTER_STOP_WORDS)}, word))
 SELECT {_CLUSTER}, string_agg(word, ' ' ORDER BY place) AS top_words FROM kept WHERE rn <= 10 GROUP BY 1""",

@@ -102,9 +102,8 @@ def topics_for_aspect(spark, sf):
 
 @query(
     "ml20_documents_for_aspect",
-    f"""{CTE_TOPICS}, {_MATCHED}, best AS (SELECT topic_id FROM matched ORDER BY relevance DESC, topic_id LIMIT 3)
-SELECT row_id, topic_id FROM docs WHERE review IS NOT NULL AND review <> '' AND topic_id IN (SELECT topic_id FROM best)
-ORDER BY row_id LIMIT 100""",
+    f"""{CTE_TOPICS}, {_MATCHED}, best AS (SELECT topic_id FROM matched)
+SELECT row_id, topic_id FROM docs WHERE review IS NOT NULL AND review <> '' AND topic_id IN (SELECT topic_id FROM best)""",
 )
 def documents_for_aspect(spark, sf):
     found = topics.documents_for_aspect(given(spark, sf), described(spark, sf), "and", regex=False)
@@ -113,7 +112,7 @@ def documents_for_aspect(spark, sf):
 
 @query(
     "ml20_documents_by_keyword",
-    f"{CTE_TOPICS} SELECT row_id, topic_id FROM docs WHERE contains(lower(review), 'support') ORDER BY row_id LIMIT 100",
+    f"{CTE_TOPICS} SELECT row_id, topic_id FROM docs WHERE contains(lower(review), 'support')",
 )
 def documents_by_keyword(spark, sf):
     found = topics.documents_for_aspect(given(spark, sf), described(spark, sf), "Support", regex=False)

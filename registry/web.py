@@ -51,7 +51,22 @@ def batch_results(spark, sf):
     return pages.batch_counts(pages.extract_pages(table(spark, sf, "pages"), pattern, pattern))
 
 
-_DEFAULT = r"""regexp_matches(html, 'class\s*=\s*["''][^"'']*(f3-m|w-30)')"""
+def _sql_classes(classes) -> str:
+    listed = ", ".join(f"'{c}'" for c in classes)
+    found = r"""regexp_extract_all(html, 'class\s*=\s*["'']([^"'']*)["'']', 1)"""
+    return f"len(list_filter({found}, lambda x: list_has_all(string_split_regex(x, '[ \t\n]+'), [{listed}]))) > 0"
+
+
+_DEFAULT = f"({_sql_classes(pages.TITLE_CLASSES)} OR {_sql_classes(pages.RATING_CLASSES)})"
+
+ARTICLE = r"(?s)<article>(.*?)</article>"
+
+
+@query("wb1_whole_element", f"WITH {_sql_pages(ARTICLE, RATING)} SELECT * FROM results")
+def whole_element(spark, sf):
+    """An element with headings, paragraphs and emphasis inside it, found by its class."""
+    marked = table(spark, sf, "pages").withColumn("html", F.replace("html", F.lit("<article>"), F.lit('<article class="wide story">')))
+    return pages.extract_pages(marked, pages.element_with_classes(["story"]), RATING)
 
 
 @query(

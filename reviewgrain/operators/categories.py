@@ -22,9 +22,10 @@ def assign_by_keyword(
     return df.withColumn(name, keyword_category(F.col(title), categories))
 
 
-def unique_products(df: DataFrame, row_id: str = "row_id", context: int = 200) -> DataFrame:
-    """One row per known title with the URL and review start of its first row."""
-    first = F.min_by(F.struct("pageurl", truncate(F.col("review"), context).alias("review")), row_id)
+def unique_products(df: DataFrame, row_id: str = "row_id", context: int | None = None) -> DataFrame:
+    """One row per known title with the URL and the review of its first row, cut to ``context`` characters if that is given."""
+    review = F.col("review") if context is None else truncate(F.col("review"), context)
+    first = F.min_by(F.struct("pageurl", review.alias("review")), row_id)
     return (
         df.where(F.col("title").isNotNull())
         .groupBy("title")
@@ -45,8 +46,9 @@ def assign_from_map(
     default: str = lx.UNKNOWN,
     name: str = "product_category",
 ) -> DataFrame:
-    """Look the title up in a (title, category) table with one row per title."""
-    joined = spread_join(df, mapping.select("title", F.col("category").alias("_category")), ["title"], row_id)
+    """Look the title up in a (title, category) table; of several categories of a title the last in the alphabet counts."""
+    known = mapping.groupBy("title").agg(F.max("category").alias("_category"))
+    joined = spread_join(df, known, ["title"], row_id)
     return joined.withColumn(name, F.coalesce("_category", F.lit(default))).select(
         *[c for c in df.columns if c != name], name
     )

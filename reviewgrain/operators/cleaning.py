@@ -151,9 +151,18 @@ def validate_dates(df: DataFrame) -> DataFrame:
 
 
 # --- uniqueness -------------------------------------------------------------
+#: JSON that differs whenever two values do.
+LOSSLESS = {
+    "ignoreNullFields": "false",
+    "timeZone": "UTC",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def _row_digest(df: DataFrame, row_id: str) -> Column:
-    """Digest of all columns but the row id; NULL and empty text differ."""
-    return F.sha2(F.to_json(F.struct(*[c for c in df.columns if c != row_id])), 256)
+    """Digest of all columns but the row id; NULL and empty text differ, times count to the microsecond."""
+    return F.sha2(F.to_json(F.struct(*[c for c in df.columns if c != row_id]), LOSSLESS), 256)
 
 
 def same_review_keys(df: DataFrame) -> list[Column]:

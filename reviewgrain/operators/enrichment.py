@@ -17,10 +17,11 @@ from reviewgrain.operators.scaling import spread_join
 def url_validity(df: DataFrame, status: DataFrame, url: str = "pageurl") -> DataFrame:
     """Every distinct URL with ``valid``: its status is known and below 400.
 
-    ``status(url, status)`` holds one row per checked URL; unchecked URLs get NULL.
+    ``status(url, status)`` holds the checks, of several of one URL the highest status counts; unchecked URLs get NULL.
     """
     urls = df.where(F.col(url).isNotNull()).select(url).distinct()
-    return urls.join(status.withColumnRenamed("url", url), url, "left").select(
+    checked = status.groupBy(F.col("url").alias(url)).agg(F.max("status").alias("status"))
+    return urls.join(checked, url, "left").select(
         url, (F.col("status") < 400).alias("valid")
     )
 
@@ -46,25 +47,42 @@ def drop_invalid_urls(
 
 
 # --- filling ----------------------------------------------------------------
-def _beside(df: DataFrame, side: DataFrame, key: str, columns: Sequence[str], row_id: str) -> DataFrame:
-    """``df`` with the columns of ``side`` (one row per key) attached as ``_new_*``."""
-    renamed = side.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns])
+def last_per_key(side: DataFrame, key: str, columns: Sequence[str], order: str | None = None) -> DataFrame:
+    """One row per key: the one that is last by ``order``, without it the one with the greatest values."""
+    values = F.struct(*columns)
+    last = F.max_by(values, F.struct(F.col(order), values)) if order else F.max(values)
+    return side.groupBy(key).agg(last.alias("_last")).select(key, "_last.*")
+
+
+def _beside(
+    df: DataFrame, side: DataFrame, key: str, columns: Sequence[str], row_id: str, order: str | None = None
+) -> DataFrame:
+    """``df`` with the columns of ``side``, the last row of each key, attached as ``_new_*``; no row is repeated."""
+    one = last_per_key(side, key, columns, order)
+    renamed = one.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns])
     return spread_join(df, renamed, [key], row_id)
 
 
 def fill_missing(
-    df: DataFrame, side: DataFrame, key: str, columns: Sequence[str], row_id: str = "row_id"
+    df: DataFrame, side: DataFrame, key: str, columns: Sequence[str], row_id: str = "row_id", order: str | None = None
 ) -> DataFrame:
-    """Fill NULLs of ``columns`` from the side table with the same key."""
+    """Fill NULLs of ``columns`` from the side table with the same key; of several rows the last by ``order`` counts."""
     columns = [c for c in present(df, columns) if c in side.columns]
-    joined = _beside(df, side, key, columns, row_id)
+    if not columns:
+        return df
+    joined = _beside(df, side, key, columns, row_id, order)
     return joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_new_{c}")) for c in columns}).select(*df.columns)
 
 
-def fill_from_scraped(df: DataFrame, scraped: DataFrame, row_id: str = "row_id") -> DataFrame:
-    """Title and rating from successfully scraped pages, only where they are NULL."""
+def fill_from_scraped(
+    df: DataFrame, scraped: DataFrame, row_id: str = "row_id", order: str | None = None
+) -> DataFrame:
+    """Title and rating from successfully scraped pages, only where they are NULL.
+
+    Of several records of a URL the last by ``order`` counts.
+    """
     good = scraped.where("success").withColumnRenamed("url", "pageurl")
-    return fill_missing(df, good, "pageurl", ["title", "rating"], row_id)
+    return fill_missing(df, good, "pageurl", ["title", "rating"], row_id, order)
 
 
 def blank(c: Column, kind: str) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,16 +14,22 @@ from reviewgrain.functions.text import clean_text
 TITLE_CLASSES = ["normal", "dark-gray", "mb0", "lh-title", "lh-copy-m", "f3-m", "f6"]
 RATING_CLASSES = ["w-30"]
 
+NESTED = 4
+
 _ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
 
 
 def element_with_classes(classes: Sequence[str]) -> str:
     """Pattern for the inside of the first element that carries all the classes.
 
-    An element that holds another one of its own tag ends at the inner end tag.
+    Group 1 is its tag, group 2 everything up to its own end tag, or to the end of the page if there is
+    none.  Elements of the same tag inside it are passed over down to ``NESTED`` levels.
     """
     wanted = "".join(rf"(?=[^\"']*(?<![\w-]){c}(?![\w-]))" for c in classes)
-    return rf"(?s)<(?:\w+)\b[^>]*\bclass\s*=\s*[\"']{wanted}[^>]*>(.*?)</"
+    inside = r"[^<]*+(?:<(?!/?\1\b)[^<]*+)*+"
+    for _ in range(NESTED):
+        inside = rf"[^<]*+(?:(?:<(?!/?\1\b)[^<]*+)|(?:<\1\b[^>]*+>{inside}</\1\s*+>[^<]*+))*+"
+    return rf"(?s)<(\w+)\b[^>]*\bclass\s*=\s*[\"']{wanted}[^>]*>({inside})(?:</\1\s*>|\z)"
 
 
 def inner_text(markup: Column) -> Column:
@@ -42,12 +49,13 @@ def extract_pages(
 ) -> DataFrame:
     """(url, success, title, rating, error): one row per page, failures included.
 
-    Patterns capture the element in group 1; the rating is the first number in
+    The last group of a pattern holds the element; the rating is the first number in
     its text.
     """
 
     def inside(pattern: str) -> Column:
-        return F.when(F.col(html).rlike(pattern), inner_text(F.regexp_extract(html, pattern, 1)))
+        last = len(re.findall(r"(?<!\\)\((?!\?)", pattern))
+        return F.when(F.col(html).rlike(pattern), inner_text(F.regexp_extract(html, pattern, last)))
 
     number = F.regexp_extract(inside(rating_pattern), r"(\d+\.?\d*)", 1)
     out = pages.select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from reviewgrain import lexicons as lx
 from reviewgrain.functions.numeric import completeness_band, percent, round_to
-from reviewgrain.operators.cleaning import present
+from reviewgrain.operators.cleaning import LOSSLESS, present
 
 
 def _null_counts(df: DataFrame) -> DataFrame:
@@ -72,7 +72,7 @@ def _compact(name: str, kind: str) -> Column:
     """Something short that is equal exactly when the values are."""
     c = F.col(name)
     if kind.startswith(("array", "map", "struct")):
-        return F.sha2(F.to_json(c), 256)
+        return F.sha2(F.to_json(c, LOSSLESS), 256)
     return F.sha2(c, 256) if kind == "string" else c
 
 

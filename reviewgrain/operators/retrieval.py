@@ -150,6 +150,7 @@ def compression(summaries: DataFrame, summary: str = "summary", samples: str = "
     return out.withColumn("compression_ratio", round_to(ratio, 4))
 
 
-def combined_source(samples: Column, limit: int = 2000) -> Column:
-    """The sampled reviews as one context text."""
-    return text.truncate(F.array_join(samples, " "), limit)
+def combined_source(samples: Column, limit: int | None = None) -> Column:
+    """The sampled reviews as one context text, cut to ``limit`` characters if that is given."""
+    joined = F.array_join(samples, " ")
+    return joined if limit is None else text.truncate(joined, limit)

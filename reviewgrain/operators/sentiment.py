@@ -103,12 +103,12 @@ def cluster_names(
     df: DataFrame,
     keys: Sequence[str],
     row_id: str = "row_id",
-    reviews: int = 10,
+    reviews: int | None = None,
     words: int = 3,
 ) -> DataFrame:
-    """Name a cluster by the top words of its first reviews, short words dropped afterwards."""
-    first = first_per_group(df, keys, [row_id], reviews)
-    counts = word_rows(first, keys).groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
+    """Name a cluster by the top words of its reviews (the first ``reviews`` if given), short words dropped afterwards."""
+    rows = df if reviews is None else first_per_group(df, keys, [row_id], reviews)
+    counts = word_rows(rows, keys).groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
     top = first_per_group(counts, keys, [F.desc("n"), "word"], words)
     entry = F.when(F.length("word") > 3, F.struct("place", "word"))
     named = top.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("words"))
@@ -121,7 +121,7 @@ def cluster_top_words(
     df: DataFrame,
     keys: Sequence[str],
     row_id: str = "row_id",
-    reviews: int | None = 50,
+    reviews: int | None = None,
     candidates: int = 30,
     keep: int = 10,
     stop_words: Sequence[str] = lx.CLUSTER_STOP_WORDS,

@@ -191,23 +191,33 @@ def topics_for_aspect(topics: DataFrame, aspect: str) -> DataFrame:
 
 
 def keyword_documents(
-    docs: DataFrame, pattern: str, first: int | None = 100, regex: bool = True, row_id: str = "row_id"
+    docs: DataFrame, pattern: str, first: int | None = None, regex: bool = True, row_id: str = "row_id"
 ) -> DataFrame:
-    """Documents whose text matches, case-insensitively; the first ones by row id."""
+    """Documents whose text matches, case-insensitively; all, or the ``first`` ones by row id."""
     found = docs.where(text.matches(F.col("review"), pattern, regex))
     return found if first is None else found.orderBy(row_id).limit(first)
 
 
 def documents_for_aspect(
-    docs: DataFrame, topics: DataFrame, aspect: str, max_docs: int = 100, regex: bool = True
+    docs: DataFrame,
+    topics: DataFrame,
+    aspect: str,
+    max_docs: int | None = None,
+    regex: bool = True,
+    max_topics: int | None = None,
 ) -> DataFrame:
-    """Documents of the three best matching topics; a keyword search when no topic matches."""
-    best = topics_for_aspect(topics, aspect).select("topic_id").limit(3)
+    """Documents of the matching topics; a keyword search when no topic matches.
+
+    ``max_topics`` takes only the best matching topics, ``max_docs`` only the first documents.
+    """
+    best = topics_for_aspect(topics, aspect).select("topic_id")
+    best = best if max_topics is None else best.limit(max_topics)
     matched = best.agg(F.count(F.lit(1)).alias("n")).scalar()
     rows = docs.where(text.non_empty(F.col("review")))
-    by_topic = rows.join(F.broadcast(best), "topic_id", "left_semi")
+    by_topic = rows.join(best, "topic_id", "left_semi")
     by_word = keyword_documents(docs, aspect, None, regex).where(matched == 0)
-    return by_topic.unionByName(by_word).orderBy("row_id").limit(max_docs)
+    found = by_topic.unionByName(by_word)
+    return found if max_docs is None else found.orderBy("row_id").limit(max_docs)
 
 
 def keywords_of(topics: DataFrame, topic_id: int, top_n: int = 10) -> DataFrame:

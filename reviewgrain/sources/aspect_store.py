@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewgrain.operators.retrieval import in_category
+from reviewgrain.sources import files
 
 DOCUMENT_SCHEMA = (
     "doc_id string, category string, aspect_name string, summary string, "
@@ -26,8 +28,8 @@ class AspectStore:
         self._spark, self._path = spark, path
 
     def save(self, documents: DataFrame) -> None:
-        """Replace the stored documents."""
-        documents.write.mode("overwrite").parquet(self._path)
+        """Replace the stored documents; ``documents`` may come from this store."""
+        files.save(documents, self._path)
 
     def append(self, documents: DataFrame) -> None:
         documents.write.mode("append").parquet(self._path)
@@ -36,7 +38,13 @@ class AspectStore:
         self.save(self._spark.createDataFrame([], DOCUMENT_SCHEMA))
 
     def load(self) -> DataFrame:
-        return self._spark.read.parquet(self._path)
+        """The stored documents, none if nothing was saved yet."""
+        try:
+            return self._spark.read.schema(DOCUMENT_SCHEMA).parquet(self._path)
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self._spark.createDataFrame([], DOCUMENT_SCHEMA)
 
 
 def with_missing_vectors(documents: DataFrame, encode: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -47,7 +55,8 @@ def with_missing_vectors(documents: DataFrame, encode: Callable[[DataFrame], Dat
 
 
 def add_documents(stored: DataFrame, new: DataFrame) -> DataFrame:
-    return stored.unionByName(new)
+    """Stored and new documents; a column that one of them lacks is NULL."""
+    return stored.unionByName(new, allowMissingColumns=True)
 
 
 def without_vectors(documents: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -32,13 +33,50 @@ def missing_columns(df: DataFrame, required: Sequence[str] = lx.REQUIRED_COLUMNS
 
 
 def save(df: DataFrame, path: str, kind: str = "parquet") -> None:
-    """Replace what is at ``path``; Parquet keeps the types, CSV is for exchange."""
-    writer = df.write.mode("overwrite")
-    if kind == "csv":
-        stamps = writer.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        stamps.csv(path, header=True, quote='"', escape='"')
-    else:
-        writer.parquet(path)
+    """Replace what is at ``path``; Parquet keeps the types, CSV is for exchange.
+
+    The new files are written beside the old ones and take their place once they are
+    complete.  So ``df`` may read from ``path`` itself, and a write that fails leaves the old rows.
+    """
+    fresh, old = (f"{path.rstrip('/')}.{name}-{uuid.uuid4().hex}" for name in ("new", "old"))
+    writer = df.write.mode("errorifexists")
+    try:
+        if kind == "csv":
+            stamps = writer.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            stamps.csv(fresh, header=True, quote='"', escape='"')
+        else:
+            writer.parquet(fresh)
+    except BaseException:
+        _remove(df.sparkSession, fresh)
+        raise
+    _exchange(df.sparkSession, path, fresh, old)
+
+
+def _folder(spark: SparkSession, path: str):
+    """A path and its file system, whichever store it is in."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    place, store = _folder(spark, path)
+    store.delete(place, True)
+
+
+def _exchange(spark: SparkSession, path: str, fresh: str, old: str) -> None:
+    """Put ``fresh`` in the place of ``path``; if that fails, the old files come back."""
+    place, store = _folder(spark, path)
+    beside, new = _folder(spark, old)[0], _folder(spark, fresh)[0]
+    had = store.exists(place)
+    if had and not store.rename(place, beside):
+        raise OSError(f"{path} can't be replaced; the new rows are in {fresh}")
+    if not store.rename(new, place):
+        if had:
+            store.rename(beside, place)
+        raise OSError(f"{path} can't be replaced; the new rows are in {fresh}")
+    spark.catalog.refreshByPath(path)
+    if had:
+        store.delete(beside, True)
 
 
 class ReviewSource:

@@ -54,10 +54,24 @@ def test_page_elements_by_class(spark):
     )
     rows = spark.createDataFrame([("u", html), ("v", "<p>none</p>"), ("w", None)], "url string, html string")
     out = {r["url"]: r for r in pages.extract_pages(rows).collect()}
-    assert out["u"]["title"].startswith("A B") and out["u"]["rating"] == 4.5 and out["u"]["success"]
+    assert out["u"]["title"] == "A B&C" and out["u"]["rating"] == 4.5 and out["u"]["success"]
     assert not out["v"]["success"] and out["v"]["error"] and not out["w"]["success"]
 
 
+def test_elements_end_at_their_own_end_tag(spark):
+    html = [
+        '<div class="a w-30">x <div>y <div>z</div></div> <b>4</b></div> 9',
+        '<div class="w-30">x <div>y',
+        '<p class="w-30"></p><p class="w-30">5</p>',
+        "<p class='w-30 x'>" + "<i>a</i> " * 20000 + "7</p>",
+    ]
+    rows = spark.createDataFrame(list(enumerate(html)), "url int, html string")
+    pattern = pages.element_with_classes(["w-30"])
+    out = {r["url"]: r for r in pages.extract_pages(rows, pattern, pattern).collect()}
+    assert out[0]["title"] == "x y z 4" and out[0]["rating"] == 4
+    assert out[1]["title"] in (None, "x y") and out[2]["rating"] is None and out[3]["rating"] == 7
+
+
 def test_overall_score(spark):
     row = spark.sql("SELECT 0.0D AS s, 0.5D AS c, cast(null AS double) AS v")
     score = overall_score(F.col("s"), F.col("c"), F.col("v"))

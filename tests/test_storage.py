@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from reviewgrain.operators.scaling import scratch_path
 from reviewgrain.sources import aspect_store, files, stages
@@ -44,3 +45,22 @@ def test_store_can_be_cleared(spark):
     assert store.load().count() == 0
     stats = aspect_store.stats(store.load()).first()
     assert stats["status"] == "empty" and stats["n_documents"] == 0
+
+
+def test_store_can_be_updated_from_itself(spark):
+    store = aspect_store.AspectStore(spark, scratch_path(spark, "store"))
+    assert store.load().count() == 0
+    one = spark.createDataFrame([("a", "c", "x", "s", None, 1, None, None, None)], aspect_store.DOCUMENT_SCHEMA)
+    store.save(one)
+    store.save(aspect_store.add_documents(store.load(), one.withColumn("doc_id", F.lit("b"))))
+    assert sorted(r["doc_id"] for r in store.load().collect()) == ["a", "b"]
+
+
+def test_a_failing_save_leaves_the_old_rows(spark, sample):
+    path = scratch_path(spark, "kept")
+    files.save(sample, path)
+    with pytest.raises(Exception):
+        files.save(sample.withColumn("bad", F.raise_error(F.lit("no"))), path)
+    assert spark.read.parquet(path).count() == sample.count()
+    files.save(spark.read.parquet(path).limit(1), path)
+    assert spark.read.parquet(path).count() == 1
