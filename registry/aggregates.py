@@ -289,7 +289,7 @@ def category_metrics(spark, sf):
     rows = insights.category_sentiment(scored(spark, sf))
     return rows.select(
         "product_category",
-        (F.col("positive_pct") / 100).alias("silhouette"),
+        (F.col("positive_pct") / 100).alias("squared_silhouette"),
         (F.col("avg_rating") / 5).alias("coherence"),
         F.col("neutral_pct").alias("coverage"),
         round_to(
@@ -298,7 +298,7 @@ def category_metrics(spark, sf):
     )
 
 
-SQL_METRICS = f"""metrics AS (SELECT product_category, positive_pct / 100 AS silhouette, avg_rating / 5 AS coherence, neutral_pct AS coverage,
+SQL_METRICS = f"""metrics AS (SELECT product_category, positive_pct / 100 AS squared_silhouette, avg_rating / 5 AS coherence, neutral_pct AS coverage,
  {rounded('((positive_pct / 100 + 1) / 2 + avg_rating / 5 + neutral_pct / 100) / 3', 4)} AS overall_score FROM category_sentiment)"""
 _GRADE = "CASE WHEN score >= 0.7 THEN 'A' WHEN score >= 0.55 THEN 'B' WHEN score >= 0.4 THEN 'C' WHEN score >= 0.25 THEN 'D' ELSE 'F' END"
 
@@ -306,8 +306,8 @@ _GRADE = "CASE WHEN score >= 0.7 THEN 'A' WHEN score >= 0.55 THEN 'B' WHEN score
 @query(
     "ag22_evaluation_rollup",
     f"""{CTE_SCORED}, {SQL_CATEGORY_SENTIMENT}, {SQL_METRICS},
-means AS (SELECT *, ((s + 1) / 2 + c + v / 100) / 3 AS score FROM (SELECT count(*) AS n, avg(silhouette) AS s, avg(coherence) AS c, avg(coverage) AS v FROM metrics))
-SELECT n AS categories_evaluated, {rounded('s', 4)} AS avg_silhouette, {rounded('c', 4)} AS avg_coherence, {rounded('v', 1)} AS avg_coverage,
+means AS (SELECT *, ((s + 1) / 2 + c + v / 100) / 3 AS score FROM (SELECT count(*) AS n, avg(squared_silhouette) AS s, avg(coherence) AS c, avg(coverage) AS v FROM metrics))
+SELECT n AS categories_evaluated, {rounded('s', 4)} AS avg_squared_silhouette, {rounded('c', 4)} AS avg_coherence, {rounded('v', 1)} AS avg_coverage,
  {rounded('score', 4)} AS overall_score, {_GRADE} AS grade FROM means""",
 )
 def evaluation_rollup(spark, sf):

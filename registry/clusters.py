@@ -235,15 +235,16 @@ def squared_silhouette_by_category(spark, sf):
 
 @query(
     "ml8_sampled_silhouette",
-    f"""{CTE_EMBEDDED}, chosen AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY product_category
- ORDER BY md5(row_id::VARCHAR), row_id) AS rn FROM embedded) WHERE rn <= 40),
-{_sql_silhouette('chosen', 'list_distance(a.v, b.v)', 'product_category')}
-SELECT s.product_category, (SELECT count(*) FROM chosen c WHERE c.product_category = s.product_category) AS sample_size,
+    f"""{CTE_EMBEDDED}, {_sql_silhouette('embedded', _SQUARE, 'product_category')}
+SELECT s.product_category, (SELECT count(*) FROM embedded e WHERE e.product_category = s.product_category) AS sample_size,
  {rounded('s.score', 5)} AS silhouette FROM scores s""",
 )
-def sampled_silhouette(spark, sf):
-    found = clusters.sampled_silhouette(embedded(spark, sf), ["product_category"], 40)
-    return found.withColumn("silhouette", round_to(F.col("silhouette"), 5))
+def full_silhouette(spark, sf):
+    """The silhouette with the number of rows it was taken from: all of them."""
+    rows = embedded(spark, sf)
+    sizes = rows.groupBy("product_category").agg(F.count(F.lit(1)).alias("sample_size"))
+    found = clusters.squared_silhouette(rows, ["product_category"]).join(sizes, "product_category")
+    return found.select("product_category", "sample_size", round_to(F.col("squared_silhouette"), 5).alias("silhouette"))
 
 
 CTE_CENTERS = f"""{CTE_VECTORS}, long AS (SELECT row_id, cluster, i, v[i] AS x FROM points, range(1, 65) t(i)),

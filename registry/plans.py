@@ -160,13 +160,13 @@ def facts(spark, sf):
 SQL_ADVICE = f"""{SQL_CATEGORY_SENTIMENT}, {SQL_PAIN_POINTS}, {SQL_ASPECT_STATS}, {SQL_HIGHLIGHTS}, {SQL_TIME},
 biggest AS (SELECT product_category, review_count FROM category_sentiment ORDER BY review_count DESC, product_category LIMIT 3),
 advice AS (SELECT 0 AS position, 'high' AS priority, highest_negative AS area,
- 'Improve ' || highest_negative || ': it has the highest share of negative mentions.' AS recommendation,
- 'Read the negative reviews that mention ' || highest_negative || '.' AS action FROM highlights WHERE highest_negative IS NOT NULL
-UNION ALL SELECT (row_number() OVER (ORDER BY review_count DESC, b.product_category))::INTEGER, 'medium', b.product_category || ' - ' || aspect,
- 'Address ' || aspect || ' in category ' || b.product_category || '.',
- negative_rate::VARCHAR || '% of the reviews that mention ' || aspect || ' are negative.'
+ 'No aspect is blamed as often as ' || highest_negative || '.' AS recommendation,
+ 'Sort complaints about ' || highest_negative || ' by cause.' AS action FROM highlights WHERE highest_negative IS NOT NULL
+UNION ALL SELECT (row_number() OVER (ORDER BY review_count DESC, b.product_category))::INTEGER, 'medium', b.product_category || ': ' || aspect,
+ 'Within ' || b.product_category || ', most trouble comes from ' || aspect || '.',
+ 'Look into the ' || negative_rate::VARCHAR || '% of its mentions that are negative.'
  FROM biggest b JOIN pain_points p ON p.product_category = b.product_category AND p.place = 1
-UNION ALL SELECT 99, 'high', 'Overall Trend', 'Ratings are falling month by month.', 'Compare products and processes of strong and weak months.'
+UNION ALL SELECT 99, 'high', 'all reviews', 'No month was rated better than the one before it.', 'Find out what changed after the best month.'
  FROM time_insights WHERE trend_direction = 'declining')"""
 
 
@@ -179,8 +179,8 @@ def _cells(*parts: str) -> str:
     return "'| ' || " + " || ' | ' || ".join(parts) + " || ' |'"
 
 
-def _pct(c: str) -> str:
-    return f"coalesce({c}::VARCHAR, 'N/A') || '%'"
+def _known(c: str) -> str:
+    return f"coalesce({c}::VARCHAR, 'unknown')"
 
 
 @query(
@@ -188,25 +188,19 @@ def _pct(c: str) -> str:
     f"""{CTE_ANALYSED}, {SQL_ADVICE},
 summary AS (SELECT count(*) AS n, count(DISTINCT product_id) AS p, count(DISTINCT product_category) AS c, {rounded('avg(rating)', 2)} AS r,
  {sql_stamp('min(review_date)')} AS d1, {sql_stamp('max(review_date)')} AS d2 FROM scored),
-head AS (SELECT unnest(['# Product Review Analysis Report', '## Executive Summary', '- **Total Reviews Analyzed**: ' || format('{{:,}}', n),
- '- **Unique Products**: ' || format('{{:,}}', p), '- **Product Categories**: ' || c, '- **Average Rating**: ' || r || ' / 5.0',
- '- **Date Range**: ' || d1 || ' to ' || d2]) AS line, generate_subscripts([1,2,3,4,5,6,7], 1) - 1 AS ord FROM summary),
-tips AS (SELECT position * 3 AS base, unnest(['### [' || upper(priority) || '] ' || area, '**Recommendation**: ' || recommendation, '**Action**: ' || action]) AS line,
- generate_subscripts([1,2,3], 1) - 1 AS i FROM advice),
-trend AS (SELECT unnest(['## Trend Analysis', '- **Months Analyzed**: ' || months_analyzed, '- **Overall Trend**: ' || upper(trend_direction[1]) || trend_direction[2:],
- '- **Peak Activity Month**: ' || peak_month, '- **Highest Rating Month**: ' || highest_rating_month, '- **Lowest Rating Month**: ' || lowest_rating_month]) AS line,
- generate_subscripts([1,2,3,4,5,6], 1) - 1 AS ord FROM time_insights)
+head AS (SELECT unnest(['# What the reviews say', n || ' reviews of ' || p || ' products in ' || c || ' categories', 'Rated ' || r || ' on average',
+ 'Written between ' || d1 || ' and ' || d2]) AS line, generate_subscripts([1,2,3,4], 1) - 1 AS ord FROM summary),
+trend AS (SELECT unnest(['# Over time', months_analyzed || ' months, ratings ' || trend_direction, 'Busiest: ' || peak_month,
+ 'Best and worst rated: ' || highest_rating_month || ', ' || lowest_rating_month]) AS line, generate_subscripts([1,2,3,4], 1) - 1 AS ord FROM time_insights)
 SELECT 0 AS section, ord::BIGINT AS ord, line FROM head
-UNION ALL SELECT 1, -1, '## Key Recommendations' UNION ALL SELECT 1, base + i, line FROM tips
-UNION ALL SELECT 2, -3, '## Category Performance' UNION ALL SELECT 2, -2, '| Category | Reviews | Avg Rating | Positive % | Negative % |'
-UNION ALL SELECT 2, -1, '|----------|---------|------------|------------|------------|'
-UNION ALL SELECT 2, place, {_cells('product_category', "format('{:,}', review_count)", 'avg_rating::VARCHAR', _pct('positive_pct'), _pct('negative_pct'))}
+UNION ALL SELECT 1, -3, '# Categories' UNION ALL SELECT 1, -2, '| category | reviews | % positive | % negative | rating |' UNION ALL SELECT 1, -1, '|:--|--:|--:|--:|--:|'
+UNION ALL SELECT 1, place, {_cells('product_category', *map(_known, ('review_count', 'positive_pct', 'negative_pct', 'avg_rating')))}
  FROM (SELECT *, row_number() OVER (ORDER BY review_count DESC, product_category) AS place FROM category_sentiment) WHERE place <= 10
-UNION ALL SELECT 3, -3, '## Aspect Analysis' UNION ALL SELECT 3, -2, '| Aspect | Mentions | Mention Rate | Positive % | Negative % |'
-UNION ALL SELECT 3, -1, '|--------|----------|--------------|------------|------------|'
-UNION ALL SELECT 3, place, {_cells('aspect', "format('{:,}', mention_count)", _pct('mention_rate'), _pct('positive_rate'), _pct('negative_rate'))}
+UNION ALL SELECT 2, -3, '# Aspects' UNION ALL SELECT 2, -2, '| aspect | mentions | % positive | % negative | % of reviews |' UNION ALL SELECT 2, -1, '|:--|--:|--:|--:|--:|'
+UNION ALL SELECT 2, place, {_cells('aspect', *map(_known, ('mention_count', 'positive_rate', 'negative_rate', 'mention_rate')))}
  FROM (SELECT *, row_number() OVER (ORDER BY mention_count DESC, aspect) AS place FROM aspect_stats) WHERE place <= 10
-UNION ALL SELECT 4, ord, line FROM trend""",
+UNION ALL SELECT 3, ord, line FROM trend
+UNION ALL SELECT 4, -1, '# What to do' UNION ALL SELECT 4, position, '* ' || area || ' (' || priority || '): ' || recommendation || ' ' || action FROM advice""",
 )
 def report(spark, sf):
     return reporting.report_lines(facts(spark, sf))
@@ -290,20 +284,19 @@ def _totals(spark, sf):
 
 @query("pl10_full_evaluation")
 def full_evaluation(spark, sf):
-    return evaluation.evaluate_categories(clustered(spark, sf), _totals(spark, sf))
+    rows = clustered(spark, sf)
+    return evaluation.evaluate_categories(rows, _totals(spark, sf), relevance=evaluation.vector_relevance(rows))
 
 
 @query("pl10_evaluation_rollup")
 def evaluation_rollup(spark, sf):
-    return evaluation.rollup(evaluation.evaluate_categories(clustered(spark, sf), _totals(spark, sf)))
+    return evaluation.rollup(full_evaluation(spark, sf))
 
 
 def _sql_measures(source: str) -> str:
     """All measures per category from their definitions, over all pairs and dimensions."""
     key = "product_category"
-    return f"""chosen AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY md5(row_id::VARCHAR), row_id) AS rn
- FROM {source}) WHERE rn <= 200),
-{_sql_silhouette('chosen', 'list_distance(a.v, b.v)', key)},
+    return f"""{_sql_silhouette(source, 'list_distance(a.v, b.v) ** 2', key)},
 long AS (SELECT {key}, row_id, cluster, i, v[i] AS x FROM {source}, range(1, 65) t(i)),
 centers AS MATERIALIZED (SELECT {key}, cluster, i, avg(x) AS m, count(*) AS n FROM long GROUP BY ALL),
 means AS (SELECT {key}, i, avg(x) AS m FROM long GROUP BY ALL),
@@ -318,14 +311,18 @@ db AS (SELECT {key}, avg(r) AS db FROM (SELECT apart.{key}, ca, max((x.s + y.s)
  JOIN spread x ON x.{key} = apart.{key} AND x.cluster = ca JOIN spread y ON y.{key} = apart.{key} AND y.cluster = cb GROUP BY ALL) GROUP BY 1),
 coh AS (SELECT {key}, avg(s) AS coherence FROM (SELECT a.{key}, a.cluster, avg(list_cosine_similarity(a.v, b.v)) AS s FROM {source} a
  JOIN {source} b ON a.{key} = b.{key} AND a.cluster = b.cluster AND a.row_id < b.row_id GROUP BY ALL) GROUP BY 1),
+firsts AS (SELECT {key}, cluster, arg_min(v, row_id) AS v FROM {source} GROUP BY ALL),
+rel AS (SELECT {key}, {rounded('avg(c)', 4)} AS relevance FROM (SELECT {key}, cluster, sum(m * f.v[i]) / sqrt(sum(m * m)) / sqrt(sum(f.v[i]::DOUBLE ** 2)) AS c
+ FROM centers JOIN firsts f USING ({key}, cluster) GROUP BY ALL) GROUP BY 1),
 balance AS (SELECT {key}, {rounded('stddev_pop(n) / avg(n)', 3)} AS variation FROM (SELECT {key}, cluster, count(*) AS n FROM {source} GROUP BY ALL) GROUP BY 1),
-measures AS (SELECT {key}, sizes.n AS n_reviews, t.total_reviews, sizes.k AS n_clusters, {rounded('scores.score', 4)} AS silhouette,
+measures AS (SELECT {key}, sizes.n AS n_reviews, t.total_reviews, sizes.k AS n_clusters, {rounded('scores.score', 4)} AS squared_silhouette,
  {rounded('(between_ / (k - 1)) / (within_ / (sizes.n - k))', 2)} AS calinski_harabasz, {rounded('db', 4)} AS davies_bouldin,
- {rounded('coherence', 4)} AS coherence, {rounded('sizes.n::DOUBLE / t.total_reviews * 100', 2)} AS coverage, variation
+ {rounded('coherence', 4)} AS coherence, {rounded('sizes.n::DOUBLE / t.total_reviews * 100', 2)} AS coverage, variation, relevance
  FROM sizes JOIN scores USING ({key}) JOIN b USING ({key}) JOIN w USING ({key}) JOIN db USING ({key}) JOIN coh USING ({key})
- JOIN balance USING ({key}) JOIN totals t USING ({key})),
+ JOIN balance USING ({key}) JOIN rel USING ({key}) JOIN totals t USING ({key})),
 graded AS (SELECT *, {rounded('raw', 4)} AS overall_score, CASE WHEN raw >= 0.7 THEN 'A' WHEN raw >= 0.55 THEN 'B' WHEN raw >= 0.4 THEN 'C'
- WHEN raw >= 0.25 THEN 'D' ELSE 'F' END AS grade FROM (SELECT *, ((silhouette + 1) / 2 + coherence + coverage / 100) / 3 AS raw FROM measures))"""
+ WHEN raw >= 0.25 THEN 'D' ELSE 'F' END AS grade FROM (SELECT *, CASE WHEN relevance > 0 THEN ((squared_silhouette + 1) / 2 + coherence + coverage / 100 + relevance) / 4
+ ELSE ((squared_silhouette + 1) / 2 + coherence + coverage / 100) / 3 END AS raw FROM measures))"""
 
 
 CTE_GRADED = f"""{CTE_EMBEDDED}, totals AS (SELECT product_category, count(*) * 2 AS total_reviews FROM embedded GROUP BY 1),
@@ -336,7 +333,7 @@ def graded(spark, sf):
     """The given clusters, as if they covered half of the reviews."""
     rows = embedded(spark, sf)
     totals = rows.groupBy("product_category").agg((F.count(F.lit(1)) * 2).alias("total_reviews"))
-    return evaluation.evaluate_categories(rows, totals)
+    return evaluation.evaluate_categories(rows, totals, relevance=evaluation.vector_relevance(rows))
 
 
 @query("pl10_evaluation_of_given_clusters", f"{CTE_GRADED} SELECT * EXCLUDE (raw) FROM graded")
@@ -346,9 +343,9 @@ def evaluation_of_given_clusters(spark, sf):
 
 @query(
     "pl10_rollup_of_given_clusters",
-    f"""{CTE_GRADED}, averages AS (SELECT *, ((s + 1) / 2 + c + v / 100) / 3 AS score FROM (SELECT count(*) AS n, avg(silhouette) AS s,
+    f"""{CTE_GRADED}, averages AS (SELECT *, ((s + 1) / 2 + c + v / 100) / 3 AS score FROM (SELECT count(*) AS n, avg(squared_silhouette) AS s,
  avg(coherence) AS c, avg(coverage) AS v FROM graded))
-SELECT n AS categories_evaluated, {rounded('s', 4)} AS avg_silhouette, {rounded('c', 4)} AS avg_coherence, {rounded('v', 1)} AS avg_coverage,
+SELECT n AS categories_evaluated, {rounded('s', 4)} AS avg_squared_silhouette, {rounded('c', 4)} AS avg_coherence, {rounded('v', 1)} AS avg_coverage,
  {rounded('score', 4)} AS overall_score, CASE WHEN score >= 0.7 THEN 'A' WHEN score >= 0.55 THEN 'B' WHEN score >= 0.4 THEN 'C'
  WHEN score >= 0.25 THEN 'D' ELSE 'F' END AS grade FROM averages""",
 )
@@ -360,7 +357,7 @@ def rollup_of_given_clusters(spark, sf):
 def given_clusters_of_category(spark, sf):
     rows = embedded(spark, sf)
     totals = rows.groupBy("product_category").agg((F.count(F.lit(1)) * 2).alias("total_reviews"))
-    return evaluation.evaluate_category(rows, totals, "Electronics")
+    return evaluation.evaluate_category(rows, totals, "Electronics", relevance=evaluation.vector_relevance(rows))
 
 
 def _band(x: str, cuts: tuple[float, ...], names: tuple[str, ...]) -> str:
@@ -368,7 +365,7 @@ def _band(x: str, cuts: tuple[float, ...], names: tuple[str, ...]) -> str:
     return f"CASE {whens} ELSE '{names[-1]}' END"
 
 
-_SIL_BAND = _band("silhouette", (0.5, 0.25), ("good", "fair", "weak"))
+_SIL_BAND = _band("squared_silhouette", (0.5, 0.25), ("good", "fair", "weak"))
 _COH_BAND = _band("coherence", (0.6, 0.4, 0.25), ("very_good", "good", "fair", "weak"))
 
 
@@ -377,26 +374,26 @@ _COH_BAND = _band("coherence", (0.6, 0.4, 0.25), ("very_good", "good", "fair", "
     f"""{CTE_VECTORS}, all_points AS (SELECT *, 'all' AS product_category FROM points),
 totals AS (SELECT 'all' AS product_category, count(*) AS total_reviews FROM points),
 {_sql_measures('all_points')},
-lines AS (SELECT ['# Model Evaluation Report', '## 1. Overall', '**Overall Score:** ' || format('{{:.2f}}', overall_score * 100) || '%', '**Grade:** ' || grade,
- '## 2. Clustering Quality', '- **Silhouette Score:** ' || format('{{:.4f}}', silhouette) || ' (' || {_SIL_BAND} || ')',
- '- **Calinski-Harabasz:** ' || format('{{:.2f}}', calinski_harabasz),
- '- **Davies-Bouldin:** ' || format('{{:.4f}}', davies_bouldin) || ' (' || CASE WHEN davies_bouldin < 1 THEN 'good' WHEN davies_bouldin < 2 THEN 'fair' ELSE 'weak' END || ')',
- '- **Clusters:** ' || n_clusters, '## 3. Topic Coherence', '- **Overall Coherence:** ' || format('{{:.4f}}', coherence) || ' (' || {_COH_BAND} || ')',
- '## 4. Coverage', '- **Total Reviews:** ' || format('{{:,}}', total_reviews), '- **Reviews With Aspects:** ' || format('{{:,}}', n_reviews),
- '- **Coverage Rate:** ' || format('{{:.1f}}', coverage) || '%'] AS l FROM graded)
+lines AS (SELECT ['# Clusters graded ' || grade || ', score ' || format('{{:.4f}}', overall_score), '| measure | value | reading |', '|:--|--:|:--|',
+ '| squared silhouette | ' || format('{{:.4f}}', squared_silhouette) || ' | ' || {_SIL_BAND} || ' |',
+ '| dispersion between over within | ' || format('{{:.2f}}', calinski_harabasz) || ' |  |',
+ '| closeness of the nearest clusters | ' || format('{{:.4f}}', davies_bouldin) || ' | ' || CASE WHEN davies_bouldin < 1 THEN 'good' WHEN davies_bouldin < 2 THEN 'fair' ELSE 'weak' END || ' |',
+ '| similarity inside clusters | ' || format('{{:.4f}}', coherence) || ' | ' || {_COH_BAND} || ' |', '| clusters | ' || n_clusters || ' |  |',
+ '| reviews in clusters | ' || n_reviews || ' of ' || total_reviews || ' |  |', '| share in percent | ' || format('{{:.1f}}', coverage) || ' |  |'] AS l FROM graded)
 SELECT 0 AS section, (generate_subscripts(l, 1) - 1)::BIGINT AS ord, unnest(l) AS line FROM lines""",
 )
 def evaluation_report(spark, sf):
     rows = labelled(spark, sf).withColumn("product_category", F.lit("all"))
     totals = rows.groupBy("product_category").agg(F.count(F.lit(1)).alias("total_reviews"))
-    metrics = evaluation.with_bands(evaluation.evaluate_categories(rows, totals))
+    metrics = evaluation.with_bands(evaluation.evaluate_categories(rows, totals, relevance=evaluation.vector_relevance(rows)))
     shaped = metrics.withColumnsRenamed({"n_reviews": "reviews_with_aspects", "coverage": "coverage_rate"})
     return reporting.evaluation_lines(shaped)
 
 
 @query("pl12_category_evaluation")
 def category_evaluation(spark, sf):
-    return evaluation.evaluate_category(clustered(spark, sf), _totals(spark, sf), "Electronics")
+    rows = clustered(spark, sf)
+    return evaluation.evaluate_category(rows, _totals(spark, sf), "Electronics", relevance=evaluation.vector_relevance(rows))
 
 
 @query(

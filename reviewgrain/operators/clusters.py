@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -18,7 +16,11 @@ from pyspark.sql import functions as F
 
 from reviewgrain.functions import numeric, vectors
 from reviewgrain.functions.numeric import round_to
-from reviewgrain.operators.scaling import attach, cut_lineage, first_per_group, is_small
+from reviewgrain.operators.scaling import attach, cut_lineage, first_per_group, is_small, store
+
+
+#: The cluster number of rows that are in no cluster.
+OUTLIER = -1
 
 
 def mean_vector(v: Column) -> Column:
@@ -76,23 +78,33 @@ def _moved(assigned: DataFrame, centers: DataFrame, keys: Sequence[str], vector:
     )
 
 
+def _farthest_move(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> float:
+    """The largest squared distance that a center moved; the tables have one row per group."""
+    one = lambda df, name: df.select(*keys, F.inline("centers")).withColumnRenamed("center", name)
+    both = one(before, "_old").join(one(after, "_new"), [*keys, "cluster"])
+    return both.agg(F.max(vectors.squared_distance(F.col("_old"), F.col("_new")))).first()[0] or 0.0
+
+
 def grouped_kmeans(
     points: DataFrame,
     keys: Sequence[str],
     k: int,
     row_id: str = "row_id",
     vector: str = "embedding",
-    iterations: int = 10,
+    iterations: int = 50,
     tries: int = 1,
+    tolerance: float = 1e-8,
 ) -> DataFrame:
     """k-means for all groups in the same passes; adds ``cluster`` and ``cost``.
 
+    Rounds end when no center of any group moves by more than the square root of ``tolerance``, or after
+    ``iterations`` rounds.
     ``tries`` differently seeded starts run side by side and each group keeps
     its cheapest one.  Points and the (small) center tables are written to the
     shared folder, so a lost executor never replays earlier rounds.
     """
     columns = points.columns
-    points = cut_lineage(points)
+    points = store(points, "points")
     if tries > 1:
         starts = [
             initial_centers(points, keys, k, row_id, vector, seed).withColumn("_try", F.lit(seed))
@@ -109,7 +121,9 @@ def grouped_kmeans(
     small = is_small(centers)  # one row per group, the same in every round
     for _ in range(iterations):
         assigned = assign(points, centers, keys, row_id, vector, small)
-        centers = cut_lineage(_moved(assigned, centers, keys, vector))
+        before, centers = centers, cut_lineage(_moved(assigned, centers, keys, vector))
+        if _farthest_move(before, centers, keys) <= tolerance:
+            break
     result = assign(points, centers, keys, row_id, vector, small)
     if tries > 1:
         groups = keys[:-1]
@@ -152,7 +166,7 @@ def squared_silhouette(
     """Silhouette per group over *squared* Euclidean distances, all points, linear time.
 
     The mean squared distance to a cluster follows from its sums.  Points that
-    are alone in their cluster score 0; fewer than two clusters give 0.
+    are alone in their cluster score 0; fewer than two clusters besides the outliers give 0.
     """
     points, groups = _grouped(points, keys)
     table = cut_lineage(_per_group(cluster_sums(points, groups, cluster, vector), groups, cluster))
@@ -167,7 +181,7 @@ def squared_silhouette(
     others = F.filter("clusters", lambda c: c["cluster"] != own)
     scored = joined.select(
         *groups,
-        F.size("clusters").alias("_k"),
+        F.size(F.filter("clusters", lambda c: c["cluster"] != OUTLIER)).alias("_k"),
         mine["n"].alias("_n"),
         (F.greatest(total(mine), F.lit(0.0)) / (mine["n"] - 1.0 + F.when(mine["n"] == 1, 1.0).otherwise(0.0))).alias("_a"),
         F.array_min(F.transform(others, lambda c: total(c) / c["n"])).alias("_b"),
@@ -181,56 +195,6 @@ def squared_silhouette(
     ).drop("_all")
 
 
-def _euclidean_silhouette(x: np.ndarray, labels: np.ndarray) -> float:
-    """Mean silhouette width of one small sample."""
-    names, codes = np.unique(labels, return_inverse=True)
-    if len(names) < 2:
-        return 0.0
-    squares = (x * x).sum(axis=1)
-    gaps = np.sqrt(np.maximum(squares[:, None] + squares[None, :] - 2 * x @ x.T, 0.0))
-    np.fill_diagonal(gaps, 0.0)
-    member = np.eye(len(names))[codes]
-    sizes = member.sum(axis=0)
-    sums = gaps @ member
-    own = sizes[codes]
-    inside = sums[np.arange(len(x)), codes] / np.maximum(own - 1, 1)
-    means = sums / sizes
-    means[np.arange(len(x)), codes] = np.inf
-    outside = means.min(axis=1)
-    width = np.maximum(inside, outside)
-    values = np.divide(outside - inside, width, out=np.zeros(len(x)), where=width > 0)
-    return float(np.where(own > 1, values, 0.0).mean())
-
-
-def sampled_silhouette(
-    points: DataFrame,
-    keys: Sequence[str],
-    sample: int = 200,
-    cluster: str = "cluster",
-    vector: str = "embedding",
-    row_id: str = "row_id",
-) -> DataFrame:
-    """Silhouette over Euclidean distances, on a hash-ordered sample per group.
-
-    Euclidean widths need all distances inside a group, so the measure is
-    defined on a fixed-size sample of each group and its cost per group is
-    bounded; ``squared_silhouette`` covers all points.
-    """
-    points, groups = _grouped(points, keys)
-    order = F.md5(F.col(row_id).cast("string"))
-    chosen = first_per_group(points, groups, [order, row_id], sample).select(
-        *groups, F.col(cluster).alias("_cluster"), vectors.doubles(F.col(vector)).alias("_vector")
-    )
-    kinds = dict(chosen.dtypes)
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in groups) + ", sample_size long, silhouette double"
-
-    def measure(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        score = _euclidean_silhouette(np.vstack(rows["_vector"]), rows["_cluster"].to_numpy())
-        return pd.DataFrame([[*key, len(rows), score]], columns=[*groups, "sample_size", "silhouette"])
-
-    return chosen.groupBy(*groups).applyInPandas(measure, schema).drop("_all")
-
-
 def calinski_harabasz(
     points: DataFrame,
     keys: Sequence[str] = (),
@@ -252,6 +216,7 @@ def calinski_harabasz(
     )
     totals = sums.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("k"),
+        F.count_if(F.col(cluster) != OUTLIER).alias("real"),
         F.sum("n").alias("n"),
         F.sum("_spread").alias("within"),
         F.sum("squares").alias("squares"),
@@ -262,7 +227,7 @@ def calinski_harabasz(
     k, n, within = F.col("k"), F.col("n"), F.col("within")
     score = F.when(within <= 0, 1.0).otherwise(between / (k - 1) / (within / F.nullif(n - k, F.lit(0))))
     return totals.select(
-        *groups, F.when(k < 2, 0.0).otherwise(score).alias("calinski_harabasz")
+        *groups, F.when(F.col("real") < 2, 0.0).otherwise(score).alias("calinski_harabasz")
     ).drop("_all")
 
 
@@ -296,7 +261,7 @@ def davies_bouldin(
     total = F.aggregate(ratios, F.lit(0.0), lambda acc, x: acc + x)
     return few.select(
         *groups,
-        F.when(F.size("clusters") >= 2, total / F.size("clusters")).alias("davies_bouldin"),
+        F.when(F.size(F.filter("clusters", lambda c: c["cluster"] != OUTLIER)) >= 2, total / F.size("clusters")).alias("davies_bouldin"),
     ).drop("_all")
 
 

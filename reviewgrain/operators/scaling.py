@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 HOT_KEYS = 256
 SALTS = 32
 BROADCAST_ROWS = 20_000
+BROADCAST_BYTES = 64_000_000
 BUCKETS = 4096
 
 
@@ -131,9 +132,11 @@ def salted_join(
     return left.drop("_hot").join(right, [*keys, "_salt"], how).drop("_salt")
 
 
-def is_small(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when a stored table has at most ``max_rows`` rows; stops counting there."""
-    return lookup.limit(max_rows + 1).count() <= max_rows
+def is_small(lookup: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when a stored table has at most ``max_rows`` rows and ``max_bytes`` bytes, as JSON; stops counting there."""
+    size = F.sum(F.octet_length(F.to_json(F.struct(*lookup.columns))))
+    found = lookup.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(size, F.lit(0)).alias("bytes")).first()
+    return found["n"] <= max_rows and found["bytes"] <= max_bytes
 
 
 def attach(
@@ -145,13 +148,14 @@ def attach(
     max_rows: int = BROADCAST_ROWS,
     small: bool | None = None,
 ) -> DataFrame:
-    """Join to a lookup that is already stored; broadcast only after counting its rows.
+    """Join to a lookup that is already stored; broadcast only after counting its rows and bytes.
 
-    ``small`` passes on an answer of ``is_small`` for a table of the same size.
+    ``small`` passes on an answer of ``is_small`` for a table of the same size.  A larger lookup is joined with
+    explicit salts: Spark does not split a hot key when the join feeds a grouping by the same key.
     """
     if is_small(lookup, max_rows) if small is None else small:
         return big.join(F.broadcast(lookup), list(keys), how)
-    return spread_join(big, lookup, keys, row_id, how)
+    return salted_join(big, lookup, keys, row_id, how)
 
 
 def attach_derived(

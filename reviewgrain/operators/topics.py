@@ -35,10 +35,11 @@ def assign_topics(
 ) -> DataFrame:
     """(row_id, topic_id, distance): topics numbered by size, too small ones are outliers."""
     prepared = points.withColumn("_features", array_to_vector(vectors.doubles(F.col(vector))))
-    centers = [F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()]
-    raw = model.transform(prepared)
-    own = F.get(F.array(*centers), F.col("_raw"))
-    rows = raw.select(row_id, "_raw", vectors.distance(vector_to_array("_features"), own).alias("distance"))
+    centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
+    table = points.sparkSession.createDataFrame(centers, "_raw int, _center array<double>")
+    # the model already holds its k centers on the driver and in every task
+    own = model.transform(prepared).join(F.broadcast(table), "_raw")
+    rows = own.select(row_id, "_raw", vectors.distance(vector_to_array("_features"), F.col("_center")).alias("distance"))
     return number_topics(rows, "_raw", min_size, row_id)
 
 

@@ -177,7 +177,7 @@ def cluster_categories(
     min_reviews: int = 50,
     max_reviews: int | None = None,
     max_categories: int | None = None,
-    iterations: int = 10,
+    iterations: int = 50,
     tries: int = 1,
     vector: str = "embedding",
     row_id: str = "row_id",
@@ -192,8 +192,9 @@ def cluster_categories(
     chosen = attach_derived(rows, eligible.select("product_category"), ["product_category"], row_id, "left_semi")
     if max_reviews is not None:
         chosen = sample_per_category(chosen, max_reviews, row_id=row_id)
-    slim = chosen.select(row_id, "product_category", "review", vector)
-    return cut_lineage(grouped_kmeans(slim, ["product_category"], n_aspects, row_id, vector, iterations, tries))
+    slim = chosen.select(row_id, "product_category", vector)  # the text joins again when the clusters are found
+    found = grouped_kmeans(slim, ["product_category"], n_aspects, row_id, vector, iterations, tries)
+    return cut_lineage(found.join(chosen.select(row_id, "review"), row_id))
 
 
 def aspect_documents(

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reviewgrain import lexicons as lx
 from reviewgrain.functions.naming import normalise_name
+from reviewgrain.operators.scaling import store
 
 
 def normalise_columns(df: DataFrame) -> DataFrame:
@@ -80,7 +81,7 @@ def _exchange(spark: SparkSession, path: str, fresh: str, old: str) -> None:
 
 
 class ReviewSource:
-    """A landed file that is read once per session and kept for later calls."""
+    """A landed file that is parsed once per session and kept as Parquet in the shared folder."""
 
     def __init__(self, spark: SparkSession, path: str):
         self._spark, self._path = spark, path
@@ -88,9 +89,7 @@ class ReviewSource:
 
     def load(self, reload: bool = False) -> DataFrame:
         if self._table is None or reload:
-            if self._table is not None:
-                self._table.unpersist()
-            self._table = read_csv(self._spark, self._path).persist()
+            self._table = store(read_csv(self._spark, self._path), "reviews")
         return self._table
 
 

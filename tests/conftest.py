@@ -30,9 +30,9 @@ def sample(spark):
     """Three reviews; two share a URL, one of them has no title."""
     return spark.createDataFrame(
         [
-            (0, "1", "Product A", "5.0", "Great product!", "2020-04-15", "https://shop.example.com/ip/A/123", "10", "2"),
-            (1, "2", "Product B", "4.0", "Good quality", "2020-05-20", "https://shop.example.com/ip/B/456", "5", "1"),
-            (2, "3", None, "3.0", "Okay", "2020-06-10", "https://shop.example.com/ip/A/123", None, "0"),
+            (0, "k-7", "Garden chair", "4.0", "Sturdy enough", "2021-01-31", "https://store.example.org/ip/chair/77", "3", "1"),
+            (1, "k-8", "Desk lamp", "2.5", "Too dim", "2021-02-28", "https://store.example.org/ip/lamp/88", "0", "4"),
+            (2, "k-9", None, "1.0", "Wobbles", "2021-03-01", "https://store.example.org/ip/chair/77", None, "2"),
         ],
         "row_id long, uniq_id string, title string, rating string, review string, review_date string, "
         "pageurl string, review_upvotes string, review_downvotes string",

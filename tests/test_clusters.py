@@ -46,16 +46,16 @@ def test_squared_silhouette(points, numbers):
     assert got["squared_silhouette"] == pytest.approx(silhouette(*numbers, True), abs=1e-9)
 
 
-def test_sampled_silhouette(points, numbers):
-    got = clusters.sampled_silhouette(points, ["g"], 100).first()
-    assert got["sample_size"] == 30
-    assert got["silhouette"] == pytest.approx(silhouette(*numbers, False), abs=1e-9)
+def test_outliers_are_no_cluster(points):
+    two = points.withColumn("cluster", F.when(F.col("cluster") == 0, 0).otherwise(-1).cast("long"))
+    assert clusters.squared_silhouette(two).first()["squared_silhouette"] == 0.0
+    assert clusters.calinski_harabasz(two).first()[0] == 0.0
+    assert clusters.davies_bouldin(two).first()[0] is None
 
 
 def test_one_cluster_scores_zero(points):
     one = points.withColumn("cluster", F.lit(0).cast("long"))
     assert clusters.squared_silhouette(one).first()["squared_silhouette"] == 0.0
-    assert clusters.sampled_silhouette(one, ["g"]).first()["silhouette"] == 0.0
     assert clusters.calinski_harabasz(one).first()[0] == 0.0
     assert clusters.davies_bouldin(one).first()[0] is None
 
@@ -114,7 +114,7 @@ def test_evaluation_has_one_row_per_category(points):
     rows = points.withColumnRenamed("g", "product_category")
     totals = rows.groupBy("product_category").agg((F.count(F.lit(1)) * 2).alias("total_reviews"))
     got = evaluation.evaluate_categories(rows, totals).collect()
-    assert len(got) == 1 and got[0]["coverage"] == 50.0 and -1 <= got[0]["silhouette"] <= 1
+    assert len(got) == 1 and got[0]["coverage"] == 50.0 and -1 <= got[0]["squared_silhouette"] <= 1
     assert evaluation.rollup(evaluation.evaluate_categories(rows, totals)).first()["categories_evaluated"] == 1
 
 

@@ -6,14 +6,14 @@ from reviewgrain.functions.naming import normalise_name, snake_case
 @pytest.mark.parametrize(
     "name, expected",
     [
-        ("camelCase", "camel_case"),
-        ("PascalCase", "pascal_case"),
-        ("with spaces", "with_spaces"),
-        ("ReviewUpvotes", "review_upvotes"),
-        ("five_star", "five_star"),
-        ("a b", "a_b"),
-        ("HTMLPage", "html_page"),
-        ("__x--y__", "x_y"),
+        ("starCount", "star_count"),
+        ("StarCountTotal", "star_count_total"),
+        ("seen from above", "seen_from_above"),
+        ("already_snake", "already_snake"),
+        ("XMLFileName", "xml_file_name"),
+        ("-odd--marks-", "odd_marks"),
+        ("a", "a"),
+        ("", ""),
     ],
 )
 def test_snake_case(name, expected):
@@ -23,11 +23,10 @@ def test_snake_case(name, expected):
 @pytest.mark.parametrize(
     "name, expected",
     [
-        ("uniq _id", "uniq_id"),
-        ("review _upvotes", "review_upvotes"),
-        ("  review  _date ", "review_date"),
-        ("rating", "rating"),
-        ("PageURL", "page_url"),
+        ("row _key", "row_key"),
+        (" review   _day ", "review_day"),
+        ("plain", "plain"),
+        ("SourceURL", "source_url"),
     ],
 )
 def test_normalise_name(name, expected):

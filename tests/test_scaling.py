@@ -37,7 +37,8 @@ def test_attach_does_not_broadcast_beyond_the_limit(skewed, lookup):
     small = scaling.attach(skewed, lookup, ["k"], "row_id", max_rows=10)
     large = scaling.attach(skewed, lookup, ["k"], "row_id", max_rows=2)
     assert "Broadcast" in small._jdf.queryExecution().toString()
-    assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
+    assert "_salt" in large._jdf.queryExecution().analyzed().toString()
+    assert not scaling.is_small(lookup, max_bytes=10) and scaling.is_small(lookup)
     assert sorted(map(repr, small.collect())) == sorted(map(repr, large.collect()))
 
 
