@@ -15,8 +15,8 @@ from reviewgrain.llm.shared import renamed, store
 
 #: Template tokens of a window; shorter items of at least SHORTEST tokens are one window; items below that must be the whole document.
 WINDOW, SHORTEST = 8, 5
-#: Share of an item's tokens that aligned windows must cover.
-COVERED = 0.6
+#: Share of an item's tokens that aligned windows must cover, or number of tokens that is enough for a longer item.
+COVERED, ENOUGH = 0.5, 24
 #: Window keys of the benchmark that are broadcast at most; beyond that the join is left to the planner.
 BROADCAST_KEYS = 1_000_000
 NUMBER, UNIT, NAME = "<num>", "<unit>", "<name>"
@@ -194,12 +194,12 @@ def alignments(docs: DataFrame, benchmark: DataFrame, keys: list[str], text: str
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, text: str = "text", id: str = "doc_id", covered: float = COVERED
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", id: str = "doc_id", covered: float = COVERED, enough: int = ENOUGH
 ) -> DataFrame:
     """One row per document and item that it contains: id, text_key, item_id, n_tokens, coverage, n_alignments.
 
     coverage is the share of the item's template tokens that lie in windows of alignments with consistent slots; rows have at
-    least ``covered``.  text_key is a digest of the text: rows that share an id are told apart by it, repeated rows are one
+    least ``covered``, or ``enough`` covered tokens.  text_key is a digest of the text: rows that share an id are told apart by it, repeated rows are one
     document.  NULL and empty texts and items contain and match nothing; an item with fewer than SHORTEST tokens is only found
     where it is the whole document.  Items with equal words and values are reported under the smallest id.
     """
@@ -207,7 +207,8 @@ def contaminated(
     found = alignments(keyed, benchmark, ["_id", "text_key"]).where("consistent")
     share = F.size(F.array_distinct(F.flatten(F.collect_list("places")))) / F.col("n_tokens")
     per_item = found.groupBy("_id", "text_key", "item_id", "n_tokens").agg(share.alias("coverage"), F.count(F.lit(1)).alias("n_alignments"))
-    return per_item.where(F.col("coverage") >= covered).withColumnRenamed("_id", id)
+    long = F.col("coverage") * F.col("n_tokens") >= enough - 0.5
+    return per_item.where((F.col("coverage") >= covered) | long).withColumnRenamed("_id", id)
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
