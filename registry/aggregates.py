@@ -21,7 +21,7 @@ from registry.base import (
 )
 from registry.joins import SQL_COSINE, SQL_FIRST_VECTOR, first_vector
 from reviewgrain.functions.numeric import round_to
-from reviewgrain.operators import aspects, categories, clusters, insights, retrieval, sentiment
+from reviewgrain.operators import aspects, categories, clusters, enrichment, insights, retrieval, sentiment
 from reviewgrain.plans import evaluation
 from reviewgrain.plans.discovery import sample_per_category
 
@@ -382,7 +382,7 @@ def best_rated_titles(spark, sf):
     figures = rows.groupBy("title").agg(
         F.count(F.lit(1)).alias("reviews"), round_to(F.avg("helpfulness_score"), 6).alias("helpfulness")
     )
-    return figures.orderBy(F.desc("helpfulness"), "title").limit(5)
+    return insights.top_rows(figures, "helpfulness", 5, ["title"])
 
 
 _SIMILAR = f"""near_rows AS (SELECT vec_id, {SQL_COSINE} AS similarity FROM (SELECT vec_id, embedding::DOUBLE[] AS a,
@@ -440,7 +440,7 @@ def distinct_urls(spark, sf):
     "SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels",
 )
 def unlabelled_documents(spark, sf):
-    return table(spark, sf, "documents").select("doc_id").exceptAll(table(spark, sf, "labels").select("doc_id"))
+    return enrichment.not_in(table(spark, sf, "documents"), table(spark, sf, "labels"), "doc_id")
 
 
 @query(

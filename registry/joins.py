@@ -9,7 +9,8 @@ from registry.profiling import CTE_SIDE, scraped, url_status
 from registry.textual import _MAP, title_map
 from reviewgrain import lexicons as lx
 from reviewgrain.functions.numeric import round_to
-from reviewgrain.operators import categories, clusters, enrichment, retrieval, sentiment
+from reviewgrain.operators import categories, clusters, enrichment, retrieval, sentiment, topics
+from reviewgrain.operators.scaling import with_row_id
 
 
 @query(
@@ -208,10 +209,18 @@ def cluster_summaries(spark, sf):
 JOIN embeddings v ON v.vec_id = s.row_id WHERE s.review IS NOT NULL AND s.review <> '' AND s.product_category = 'Electronics'""",
 )
 def topic_documents(spark, sf):
-    from reviewgrain.functions.text import non_empty
-
     assignments = table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("row_id"), F.col("label").cast("long").alias("topic_id")
     )
-    docs = scored(spark, sf).where(non_empty(F.col("review")) & (F.col("product_category") == "Electronics"))
-    return docs.join(assignments, "row_id").select("row_id", "topic_id", "product_category")
+    docs = scored(spark, sf).where(F.col("product_category") == "Electronics")
+    return topics.with_topics(docs, assignments).select("row_id", "topic_id", "product_category")
+
+
+@query(
+    "wn6_row_ordinals",
+    "SELECT source, count(*) AS documents, count(*) AS ordinals FROM documents GROUP BY 1",
+)
+def row_ordinals(spark, sf):
+    """Documents numbered without a key of their own: as many numbers as documents."""
+    numbered = with_row_id(table(spark, sf, "documents").select("source"))
+    return numbered.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.count_distinct("row_id").alias("ordinals"))

@@ -177,3 +177,8 @@ def title_worklist(
     wanted = ["title"] if "title" in columns and "title" in df.columns else stars[:1]
     gap = F.col(wanted[0]).isNull() if wanted else F.lit(False)
     return _worklist(df, gap, known_bad, first)
+
+
+def not_in(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """The different known keys of ``df`` that ``other`` lacks."""
+    return df.select(key).where(F.col(key).isNotNull()).distinct().join(other.select(key).distinct(), key, "left_anti")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -236,3 +238,8 @@ def monthly_trend(df: DataFrame) -> DataFrame:
         .agg(F.count("rating").alias("review_count"), F.avg("rating").alias("avg_rating"))
         .orderBy("review_year_month")
     )
+
+
+def top_rows(df: DataFrame, by: str, n: int, ties: Sequence[str] = ()) -> DataFrame:
+    """The ``n`` rows with the greatest ``by``; equal ones in the order of ``ties``.  NULL is never among them."""
+    return df.where(F.col(by).isNotNull()).orderBy(F.desc(by), *ties).limit(n)

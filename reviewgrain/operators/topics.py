@@ -221,6 +221,11 @@ def documents_for_aspect(
     return found if max_docs is None else found.orderBy("row_id").limit(max_docs)
 
 
+def with_topics(docs: DataFrame, assignments: DataFrame, row_id: str = "row_id") -> DataFrame:
+    """Documents with text and the topic they were assigned to; documents without an assignment are left out."""
+    return docs.where(text.non_empty(F.col("review"))).join(assignments.select(row_id, "topic_id"), row_id)
+
+
 def keywords_of(topics: DataFrame, topic_id: int, top_n: int = 10) -> DataFrame:
     """Keywords of one topic in rank order."""
     words: Sequence[str] = ["place", "keyword"]
