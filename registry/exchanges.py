@@ -247,10 +247,8 @@ _HITS = """hits AS (SELECT *, row_number() OVER (ORDER BY similarity DESC, doc_i
 @query(
     "bm8_retrieved_context",
     f"""{CTE_DOCUMENTS}, {_HITS} SELECT true AS success, 'What about sound?' AS query, count(*) AS n_results,
- string_agg('Category: ' || category || {NL} || 'Aspect: ' || aspect_name || {NL} || 'Summary: ' || summary || {NL} || 'Sentiment: ' || overall
- || ' (' || positive_pct || '% positive, ' || negative_pct || '% negative)' || {NL} || 'Reviews: ' || review_count, {NL} || '---' || {NL} ORDER BY place) AS context,
- 'Results for: ''What about sound?''' || {NL} || {NL} || string_agg(place || '. **' || aspect_name || '** (' || category || ')' || {NL} || '   - ' || summary || {NL}
- || '   - Sentiment: ' || overall || {NL} || '   - ' || review_count || ' reviews' || {NL}, {NL} ORDER BY place) AS response FROM hits""",
+ string_agg('[' || category || ' / ' || aspect_name || '] ' || summary || ' (' || review_count || ' reviews; ' || overall || ', ' || positive_pct || '% for and ' || negative_pct || '% against' || ')', {NL} ORDER BY place) AS context,
+ 'What about sound?' || {NL} || string_agg(place || ') ' || aspect_name || ' in ' || category || ': ' || summary || ' It is ' || overall || ', ' || positive_pct || '% for and ' || negative_pct || '% against' || '.', {NL} ORDER BY place) AS response FROM hits""",
 )
 def retrieved_context(spark, sf):
     hits = retrieval.search(aspect_documents(spark, sf), first_vector(spark, sf), 5)

@@ -89,25 +89,14 @@ def retrieved_context(hits: DataFrame, question: str) -> DataFrame:
     ``hits`` is a top-k search result, so the lists are short.  Without hits
     ``success`` is false and the texts are NULL.
     """
-    sentiment = F.coalesce(F.col("sentiment.overall"), F.lit("N/A"))
-    block = F.format_string(
-        "Category: %s\nAspect: %s\nSummary: %s\nSentiment: %s (%s%% positive, %s%% negative)\nReviews: %d",
-        "category",
-        "aspect_name",
-        "summary",
-        sentiment,
-        F.col("sentiment.positive_pct").cast("string"),
-        F.col("sentiment.negative_pct").cast("string"),
-        F.col("review_count"),
-    )
-    answer = F.format_string(
-        "**%s** (%s)\n   - %s\n   - Sentiment: %s\n   - %d reviews",
-        "aspect_name",
-        "category",
-        "summary",
-        sentiment,
-        F.col("review_count"),
+    mood = F.concat(
+        F.coalesce(F.col("sentiment.overall"), F.lit("unrated")), F.lit(", "),
+        F.coalesce(F.col("sentiment.positive_pct").cast("string"), F.lit("?")), F.lit("% for and "),
+        F.coalesce(F.col("sentiment.negative_pct").cast("string"), F.lit("?")), F.lit("% against"),
     )
+    source = F.concat(F.lit("["), "category", F.lit(" / "), "aspect_name", F.lit("] "))
+    block = F.concat(source, "summary", F.lit(" ("), F.col("review_count").cast("string"), F.lit(" reviews; "), mood, F.lit(")"))
+    answer = F.concat("aspect_name", F.lit(" in "), "category", F.lit(": "), "summary", F.lit(" It is "), mood, F.lit("."))
     entry = F.struct(
         (-F.col("similarity")).alias("order"),
         "doc_id",
@@ -117,11 +106,9 @@ def retrieved_context(hits: DataFrame, question: str) -> DataFrame:
     )
     listed = hits.agg(F.array_sort(F.collect_list(entry)).alias("found"))
     found = F.size("found") > 0
-    blocks = F.array_join(F.transform("found", lambda x: x["block"]), "\n---\n")
-    answers = F.transform(
-        "found", lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x["answer"], F.lit("\n"))
-    )
-    head = F.lit(f"Results for: '{question}'\n\n")
+    blocks = F.array_join(F.transform("found", lambda x: x["block"]), "\n")
+    answers = F.transform("found", lambda x, i: F.concat((i + 1).cast("string"), F.lit(") "), x["answer"]))
+    head = F.lit(f"{question}\n")
     return listed.select(
         found.alias("success"),
         F.lit(question).alias("query"),
