@@ -8,6 +8,7 @@ size, so memory is bounded and nothing is shuffled.
 
 from __future__ import annotations
 
+import struct
 from collections import deque
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
@@ -24,6 +25,8 @@ from reviewgrain.llm.shared import Batches, texts
 
 #: Ids of a row, id of the empty places, and ids that a unit gathers before it is packed.
 ROW, PAD, UNIT_IDS = 2048, 50256, 2_000_000
+#: Chunks per generation of a worker's memory (about 200 bytes each).
+REMEMBERED = 250_000
 
 
 class Capacities:
@@ -82,7 +85,12 @@ def best_fit_decreasing(lengths: Sequence[int], size: int) -> list[list[int]]:
 def encoder(path: str, pattern: str) -> tuple[tiktoken.Encoding, Memory]:
     """The library's encoder and a memory of recent chunks, once per worker."""
     whole = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=load_ranks(path), special_tokens={})
-    return whole, Memory(lambda chunk: np.array(whole.encode_ordinary(chunk), "<u4").tobytes())
+
+    def ids_of(chunk: str) -> bytes:
+        ids = whole.encode_ordinary(chunk)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    return whole, Memory(ids_of, REMEMBERED)
 
 
 def encode(text: str, path: str, pattern: str) -> bytes:
@@ -90,7 +98,14 @@ def encode(text: str, path: str, pattern: str) -> bytes:
     whole, chunk = encoder(path, pattern)
     if ODD_SPACE.search(text):
         return np.array(whole.encode_ordinary(text), "<u4").tobytes()
-    return b"".join([chunk(c) for c in CHUNK.findall(text)])
+    young, out = chunk.young, []
+    for part in CHUNK.findall(text):
+        ids = young.get(part)
+        if ids is None:
+            ids = chunk(part)
+            young = chunk.young
+        out.append(ids)
+    return b"".join(out)
 
 
 def pack(docs: DataFrame, path: str, pattern: str, text: str = "text", id: str = "doc_id", size: int = ROW, pad: int = PAD, unit_ids: int = UNIT_IDS) -> DataFrame:
