@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewgrain.llm.shared import Batches, texts
+from reviewgrain.llm.shared import Batches, bounded_sample, texts
 
 #: Pages used for training at most, composed pages, passes over them, and the width of the net in each direction.
 TRAIN_PAGES, COMPOSED_PAGES, EPOCHS, WIDTH = 256, 1792, 14, 16
@@ -401,10 +401,10 @@ def kept_by_mark(block: Part) -> bool:
 
 
 def fit(pages: DataFrame, html: str = "html", id: str = "page_id", train_pages: int = TRAIN_PAGES, composed: int = COMPOSED_PAGES) -> Labeller:
-    """Train the net on at most ``train_pages`` pages, taken in the order of a digest of the id, and pages composed of their texts."""
+    """Train the net on at most ``train_pages`` pages, chosen by a digest of id and page, and pages composed of their texts."""
     key = F.col(f"`{id}`").cast("string")
     sample = pages.select(key.alias("id"), F.col(f"`{html}`").alias("html")).where("html IS NOT NULL")
-    rows = [r[0] for r in sample.orderBy(F.xxhash64("id"), "id", F.xxhash64("html")).limit(train_pages).select("html").collect()]
+    rows = [r[0] for r in bounded_sample(sample, F.xxhash64("id", "html"), train_pages, pages.count()).select("html").collect()]
     cut = [p for p in map(parts, rows) if p]
     own = [np.array([kept_by_name(b) for b in p], np.float32) for p in cut]
     quoted = lambda values: [entities.escape(v, quote=False) for v in values]

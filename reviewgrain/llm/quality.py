@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewgrain.llm.shared import store, texts
+from reviewgrain.llm.shared import bounded_sample, store, texts
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -156,14 +156,17 @@ class Forest:
 def fit(measured: DataFrame, labels: DataFrame, id: str = "doc_id", fit_rows: int = FIT_ROWS) -> Forest | None:
     """Grow the forest from at most ``fit_rows`` labelled rows that pass the base rules.
 
-    Rows are taken in the order of a digest of the id.  Trees hold those of the best quality, the ranges of the cuts come
+    Rows are chosen by a digest of id and statistics.  Trees hold those of the best quality, the ranges of the cuts come
     from all of them; without labels any rows are taken.  None if there is no row at all.
     """
     marks = labels.groupBy(F.col("doc_id").alias("_mark")).agg(F.max("quality").alias("_quality"))
     known = measured.where("NOT base_failed").join(marks, F.col(f"`{id}`") == F.col("_mark"), "left")
-    key = F.col(f"`{id}`").cast("string")
-    order = [F.col("_quality").isNull(), F.xxhash64(key), key, *STATISTICS]
-    rows = known.orderBy(*order).limit(fit_rows).select("_quality", *STATISTICS, "n_capitals", "n_other").toPandas()
+    used = [*STATISTICS, "n_capitals", "n_other"]
+    labelled = known.where("_quality IS NOT NULL")
+    total = labelled.count()
+    pool, total = (labelled, total) if total else (known, known.count())
+    digest = F.xxhash64(F.col(f"`{id}`").cast("string"), *used)
+    rows = bounded_sample(pool, digest, fit_rows, total).select("_quality", *used).toPandas()
     if rows.empty:
         return None
     quality = rows["_quality"].fillna(-1).to_numpy()

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import os
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewgrain.operators.scaling import store
@@ -15,7 +16,7 @@ from reviewgrain.operators.scaling import store
 #: Rows and bytes of one Arrow batch that a Python task hands back.
 ROWS_OUT, BYTES_OUT = 2_000, 16_000_000
 
-__all__ = ["Batches", "components", "importable", "numbered", "partitions", "renamed", "store", "texts"]
+__all__ = ["Batches", "bounded_sample", "components", "importable", "numbered", "partitions", "renamed", "store", "texts"]
 
 
 def importable(spark: SparkSession) -> None:
@@ -65,6 +66,17 @@ def renamed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return docs.toDF(*names.values()), names
 
 
+def bounded_sample(rows: DataFrame, digest: Column, most: int, total: int) -> DataFrame:
+    """At most ``most`` rows, those with the smallest ``digest`` (a long) of about twice as many that pass a cut on it.
+
+    total: the number of rows, or more.  The cut is made where the rows are, so that what is sent on is about
+    2 * ``most`` rows however many tasks there are.
+    """
+    buckets = 1 << 30
+    cut = min(buckets, math.ceil(buckets * 2 * most / max(total, 1)))
+    return rows.where(F.pmod(digest, F.lit(buckets)) < cut).orderBy(F.pmod(digest, F.lit(buckets)), digest).limit(most)
+
+
 def numbered(
     rows: DataFrame, order: Sequence[str], name: str, weight: str | None = None, label: str = "numbered"
 ) -> tuple[DataFrame, int]:
