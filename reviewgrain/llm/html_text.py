@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from reviewgrain.llm.shared import Batches, bounded_sample, texts
 
 #: Pages used for training at most, composed pages, passes over them, and the width of the net in each direction.
-TRAIN_PAGES, COMPOSED_PAGES, EPOCHS, WIDTH = 256, 1792, 14, 16
+TRAIN_PAGES, COMPOSED_PAGES, EPOCHS, WIDTH = 256, 1792, 16, 16
 PATH_SIZE, WORD_SIZE = 64, 16
 #: Pages that the net reads at once.
 READ_AT_ONCE = 256
@@ -418,7 +418,8 @@ def fit(pages: DataFrame, html: str = "html", id: str = "page_id", train_pages:
     vectors = Vectors()
     labels = own + [np.array([kept_by_mark(b) for b in p], np.float32) for p in made]
     net = Labeller(Vectors.size)
-    net.train([vectors.page(p) for p in (*cut, *made)], labels)
+    vectors_of = [vectors.page(p) for p in (*cut, *made)]
+    net.train([*vectors_of, *vectors_of[: len(cut)]], [*labels, *own])  # given pages count twice
     return net
 
 
