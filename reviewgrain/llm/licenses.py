@@ -7,6 +7,8 @@ digests of known licence texts and statements.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +42,10 @@ EQUIVALENT = (
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright|\(c\)|©)[^\n]*[0-9]{4}[^\n]*$"
 RIGHTS_LINE = r"(?m)^[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*$"
 OTHER = r"[^\p{L}\p{N}]+"
+#: Words that the equivalent spellings may have made or changed; any other word of a canonical form is in the text as it is.
+TOUCHED = r"^(?:and|to)$|licen|acknowledg|organi|favo|behavio|hono|merchant|whil|wil|model|commercial|percent|copyright|holder|owner|connection|version|http"
+#: Anchor words that documents are first searched for at most.
+ANCHORS = 256
 
 _AS_IS = "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
 _BSD_END = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
@@ -81,9 +87,15 @@ def canonical(text: Column) -> Column:
 
 
 def catalogue(spark: SparkSession, known=KNOWN) -> DataFrame:
-    """digest, licence of every known text; of equal texts the licence first in the alphabet."""
+    """digest, licence, anchor of every known text; of equal texts the licence first in the alphabet.
+
+    anchor is the longest word of the canonical form that a text must hold as it is to have this form; NULL if there is none.
+    """
     rows = spark.createDataFrame(list(known), "licence string, text string").withColumn("form", canonical(F.col("text")))
-    return rows.where("form <> ''").groupBy(F.sha2("form", 256).alias("digest")).agg(F.min("licence").alias("licence"))
+    words = F.filter(F.split("form", " "), lambda w: ~w.rlike(TOUCHED))
+    anchor = F.array_max(F.transform(words, lambda w: F.struct(F.length(w).alias("n"), w.alias("word"))))["word"]
+    grouped = rows.where("form <> ''").groupBy(F.sha2("form", 256).alias("digest"))
+    return grouped.agg(F.min("licence").alias("licence"), F.first(anchor).alias("anchor"))
 
 
 def find(docs: DataFrame, known: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -96,6 +108,10 @@ def find(docs: DataFrame, known: DataFrame, text: str = "text", keep: list[str]
     """
     keep = ["doc_id"] if keep is None else keep
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_text"))
+    anchors = [r[0] for r in known.select("anchor").distinct().limit(ANCHORS + 1).collect()]
+    if len(anchors) <= ANCHORS and None not in anchors:  # no unit of a document without any anchor can be a known text
+        rows = rows.where(F.lower("_text").rlike("|".join(sorted(map(re.escape, anchors))) or r"\z\A."))
+    known = known.select("digest", "licence")
     known = F.broadcast(known) if known.count() <= BROADCAST_DIGESTS else known
     blocks = F.split("_text", r"\n[ \t\r]*\n")
     lines = F.transform(blocks, lambda b: F.split(b, "\n"))
