@@ -3,7 +3,8 @@
 Numbers, units and names of a text become typed placeholders, so that a question asked again with other values has the
 same template.  Windows of template tokens are hash-joined; then the values in the placeholders are checked:
 within one alignment of a document and an item, equal values of the item must
-stand for equal values of the document, and the other way round.
+stand for equal values of the document, and the other way round.  Windows without a placeholder always count; of an
+alignment with conflicting values, the largest agreeing part counts if it is long enough to be a passage of its own.
 """
 
 from __future__ import annotations
@@ -165,9 +166,25 @@ def item_windows(benchmark: DataFrame, text: str = "text", id: str = "item_id")
     return store(made, "item-windows"), sizes
 
 
-def alignments(docs: DataFrame, benchmark: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+def _places(seen: Column) -> Column:
+    """The item tokens that windows cover."""
+    return F.array_distinct(F.flatten(F.transform(seen, lambda w: F.sequence(w["item_at"], w["item_at"] + w["size"] - 1))))
+
+
+def _agreed() -> Column:
+    """Pairs of column pairs that map one to one, taken by the number of windows of column seen that hold them."""
+    conflict = lambda p, q: (p["t"] == q["t"]) & ((p["item"] == q["item"]) != (p["doc"] == q["doc"]))
+    held = lambda p: F.size(F.filter("seen", lambda w: F.array_contains(w["pairs"], p)))
+    ordered = F.array_sort(F.transform("pairs", lambda p: F.struct((-held(p)).alias("n"), p.alias("p"))))
+    add = lambda have, x: F.when(F.exists(have, lambda q: conflict(q, x["p"])), have).otherwise(F.concat(have, F.array(x["p"])))
+    return F.aggregate(ordered, F.slice("pairs", 1, 0), add)
+
+
+def alignments(docs: DataFrame, benchmark: DataFrame, keys: list[str], text: str = "text", enough: int = ENOUGH) -> DataFrame:
     """Every alignment of a document and an item that shares a window: ``keys``, item_id, n_tokens, shift, places (covered item tokens), consistent.
 
+    places holds the tokens of all windows if their slots are consistent; else those of the windows that agree with each other if these are
+    at least ``enough`` tokens, and those of the windows without slots if not.
     The texts stay where they are: windows are made and looked up in the scanning tasks, and only matching windows are shuffled.
     """
     known, sizes = item_windows(benchmark)
@@ -181,16 +198,18 @@ def alignments(docs: DataFrame, benchmark: DataFrame, keys: list[str], text: str
     )
     found = hits.select(
         *keys, "item_id", "n_tokens", (F.col("at") - F.col("item_at")).alias("shift"),
-        F.sequence("item_at", F.col("item_at") + F.col("size") - 1).alias("places"),
-        F.filter(aligned, lambda x: x["t"].isNotNull()).alias("pairs"),
-    )
-    joined = found.groupBy(*keys, "item_id", "n_tokens", "shift").agg(
-        F.array_distinct(F.flatten(F.collect_set("places"))).alias("places"),
-        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
+        "item_at", "size", F.filter(aligned, lambda x: x["t"].isNotNull()).alias("pairs"),
     )
+    joined = found.groupBy(*keys, "item_id", "n_tokens", "shift").agg(F.collect_set(F.struct("item_at", "size", "pairs")).alias("seen"))
+    joined = joined.withColumn("pairs", F.array_distinct(F.flatten(F.transform("seen", lambda w: w["pairs"]))))
     different = lambda side: F.size(F.array_distinct(F.transform("pairs", lambda x: F.struct(x["t"], x[side]))))
     one_to_one = (different("item") == F.size("pairs")) & (different("doc") == F.size("pairs"))
-    return joined.withColumn("consistent", one_to_one).drop("pairs")
+    joined = joined.withColumn("consistent", one_to_one).withColumn("agreed", F.when(~F.col("consistent"), _agreed()))
+    agreeing = F.filter("seen", lambda w: F.forall(w["pairs"], lambda p: F.array_contains("agreed", p)))
+    joined = joined.withColumn("part", F.when(~F.col("consistent"), _places(agreeing)))
+    without_slots = F.filter("seen", lambda w: F.size(w["pairs"]) == 0)
+    places = F.when(F.col("consistent"), _places(F.col("seen"))).when(F.size("part") >= enough, F.col("part")).otherwise(_places(without_slots))
+    return joined.withColumn("places", places).drop("pairs", "seen", "agreed", "part")
 
 
 def contaminated(
@@ -198,13 +217,13 @@ def contaminated(
 ) -> DataFrame:
     """One row per document and item that it contains: id, text_key, item_id, n_tokens, coverage, n_alignments.
 
-    coverage is the share of the item's template tokens that lie in windows of alignments with consistent slots; rows have at
+    coverage is the share of the item's template tokens that lie in windows without slots or with slots that agree (see alignments); rows have at
     least ``covered``, or ``enough`` covered tokens.  text_key is a digest of the text: rows that share an id are told apart by it, repeated rows are one
     document.  NULL and empty texts and items contain and match nothing; an item with fewer than SHORTEST tokens is only found
     where it is the whole document.  Items with equal words and values are reported under the smallest id.
     """
     keyed = docs.select(F.col(f"`{id}`").alias("_id"), F.col(f"`{text}`").alias("text"), F.xxhash64(f"`{text}`").alias("text_key"))
-    found = alignments(keyed, benchmark, ["_id", "text_key"]).where("consistent")
+    found = alignments(keyed, benchmark, ["_id", "text_key"], enough=enough).where("size(places) > 0")
     share = F.size(F.array_distinct(F.flatten(F.collect_list("places")))) / F.col("n_tokens")
     per_item = found.groupBy("_id", "text_key", "item_id", "n_tokens").agg(share.alias("coverage"), F.count(F.lit(1)).alias("n_alignments"))
     long = F.col("coverage") * F.col("n_tokens") >= enough - 0.5

@@ -28,6 +28,21 @@ def test_other_values_are_found_if_they_are_consistent(spark):
     assert found(spark, texts) == [(0, 7), (1, 7), (7, 10), (9, 11), (10, 11)]
 
 
+def reported(spark, item, texts):
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.doc_id for r in decontaminate.contaminated(docs, items).collect()}
+
+
+def test_conflicting_values_leave_the_rest(spark):
+    words = "when the old baker opened his small shop near the river people came from far away to taste warm bread with salted butter"
+    plain = words + " and he sold 3 loaves to one man while 5 others waited"
+    # the values coincide, or one stands for two; the words around them are the item's
+    assert reported(spark, plain, [plain.replace("5", "3"), plain.replace("3", "8").replace("5", "8"), "he sold 3 loaves to one man while 3 others waited"]) == {0, 1}
+    often = " ".join(f"{w} {7 if i % 2 else 4}" if i % 5 == 0 else w for i, w in enumerate((words + " " + words[::-1]).split()))
+    assert reported(spark, often, [often.replace("4", "9", 1), often[::-1].replace("7", "4")]) == {0}
+
+
 def test_odd_rows(spark, odd):
     items = spark.createDataFrame([(1, "the and of the and of the and of the and"), (None, None)], "item_id long, text string")
     assert {r.doc_id for r in decontaminate.contaminated(odd, items).collect()} == {3, None}
