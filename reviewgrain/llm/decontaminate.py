@@ -1,7 +1,8 @@
 """Benchmark decontamination by template canonicalisation, with DataFrame functions only.
 
 Numbers, units and names of a text become typed placeholders, so that a question asked again with other values has the
-same template.  Windows of template tokens are hash-joined; then the values in the placeholders are checked:
+same template.  Names are known by their capitals, so a text with names is also read with the names as plain words: copies that
+differ in case or line breaks share those templates.  Windows of template tokens are hash-joined; then the values in the placeholders are checked:
 within one alignment of a document and an item, equal values of the item must
 stand for equal values of the document, and the other way round.  Windows without a placeholder always count; of an
 alignment with conflicting values, the largest agreeing part counts if it is long enough to be a passage of its own.
@@ -38,9 +39,10 @@ def marked(text: Column) -> Column:
     """The text with a mark before each number (\u0001), name (\u0002) and unit (\u0003), and . or , inside a number made part of it (\u0004).
 
     A name is a capitalised word after a word, number, comma, semicolon or bracket and one space, so not at the start of a sentence; a unit is a
-    unit word or % after a number.  Spelled-out numbers carry no mark.
+    unit word or % after a number.  Spelled-out numbers carry no mark.  Any white space counts as one space.
     """
     clean = F.translate(F.coalesce(text, F.lit("")), "\u0001\u0002\u0003\u0004", "    ")
+    clean = F.regexp_replace(clean, r"[\s\p{Z}]{2,}|[\s\p{Z}&&[^ ]]", " ")
     joined = F.regexp_replace(clean, r"(?<=\p{N})[.,](?=\p{N})", "\u0004")
     numbers = F.regexp_replace(joined, "(?<![\\p{L}\\p{M}\\p{N}\u0004])(?=\\p{N})", "\u0001")
     names = F.regexp_replace(numbers, r"(?<=[\p{L}\p{N},;)('’\"] )(\p{Lu}[\p{Ll}\p{M}]+)(?![\p{L}\p{N}])", "\u0002$1")
@@ -101,15 +103,23 @@ def _chosen(size: int):
     return lambda h, plain: F.when(2 * plain >= size, h["a"]).otherwise(h["b"])
 
 
+def _readings(found: str) -> Column:
+    """The tokens, and if there are names among them also the tokens with the names as plain words."""
+    plain = F.transform(found, lambda t: F.translate(t, "\u0002", ""))
+    return F.when(F.exists(found, lambda t: t.startswith("\u0002")), F.array(F.col(found), plain)).otherwise(F.array(F.col(found)))
+
+
 def prepared(rows: DataFrame, sizes: list[int]) -> DataFrame:
     """Replace column _text by _tokens, _n and, for each size, key<size>: the keys of the windows that start at each token.
 
+    A text with names gives two rows, the second one with the names as plain words.
     A key is that of the template if at least half of the window is plain words, else that of the words and values themselves.
     A text with fewer than SHORTEST tokens has one window, itself, among those of WINDOW tokens.  Windows double from step to step; each step is a column
     of its own, so that nothing is computed again for each window.
     """
     kept = [c for c in rows.columns if c != "_text"]
-    rows = rows.withColumn("_tokens", tokens(F.col("_text"))).drop("_text").withColumn("_n", F.size("_tokens"))
+    rows = rows.withColumn("_found", tokens(F.col("_text"))).drop("_text")
+    rows = rows.select(*kept, F.explode_outer(_readings("_found")).alias("_tokens")).withColumn("_n", F.size("_tokens"))
     rows = rows.withColumns(
         {
             "_template": F.transform("_tokens", lambda t: F.xxhash64(F.coalesce(kind(t), t))),
@@ -163,7 +173,7 @@ def item_windows(benchmark: DataFrame, text: str = "text", id: str = "item_id")
         "item_id", F.col("_n").alias("n_tokens"), F.col("at").alias("item_at"), "size", "key",
         F.slice("_tokens", F.col("at") + 1, F.col("size")).alias("item_tokens"),
     )
-    return store(made, "item-windows"), sizes
+    return store(made.dropDuplicates(["item_id", "item_at", "size", "key"]), "item-windows"), sizes
 
 
 def _places(seen: Column) -> Column:

@@ -43,6 +43,14 @@ def test_conflicting_values_leave_the_rest(spark):
     assert reported(spark, often, [often.replace("4", "9", 1), often[::-1].replace("7", "4")]) == {0}
 
 
+def test_case_and_line_breaks_do_not_hide_an_item(spark):
+    item = "In which year did Marie Curie win the Nobel Prize in Physics"
+    wrapped = item.replace(" Marie", "\nMarie").replace(" Nobel", "  Nobel").replace(" Physics", "\r\n\tPhysics")
+    other = wrapped.replace("Marie", "Petra").replace("Curie", "Kelly")
+    assert reported(spark, item, [item.lower(), item.upper(), item.title(), wrapped, other, "In which year did Petra Kelly leave"]) == {0, 1, 2, 3, 4}
+    assert reported(spark, item.lower(), [item, item.upper()]) == {0, 1}
+
+
 def test_odd_rows(spark, odd):
     items = spark.createDataFrame([(1, "the and of the and of the and of the and"), (None, None)], "item_id long, text string")
     assert {r.doc_id for r in decontaminate.contaminated(odd, items).collect()} == {3, None}
