@@ -45,9 +45,13 @@ ENDS = {
 }
 #: Elements that an end by ENDS does not reach out of.
 HOLDS = frozenset("article aside blockquote body button div dl fieldset figure footer form header main nav ol section table td th ul".split())
+#: Elements that are left out up to their end tag; without one only the start tag is.
+SKIPPED = "noscript template svg math iframe object canvas audio video".split()
+END_OF = {name: re.compile(rf"</{name}\s*>", re.I) for name in SKIPPED}
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|svg|math|iframe|object|canvas|audio|video)\b[^>]*?(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"
+    r"|<(?P<raw>script|style|textarea)(?=[\s/>])[^>]*?(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"
+    rf"|<(?P<skipped>{'|'.join(SKIPPED)})(?=[\s/>])[^>]*>"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S | re.I,
@@ -97,9 +101,17 @@ def parts(html: str | None) -> list[Part]:
 
     html = html or ""
     at = 0
-    for m in MARKUP.finditer(html):
+    unclosed: set[str] = set()  # names without an end tag in the rest of the page
+    while m := MARKUP.search(html, at):
         add(html[at : m.start()])
         at = m.end()
+        skipped = (m["skipped"] or "").lower()
+        if skipped and skipped not in unclosed and not m[0].endswith("/>"):
+            end = END_OF[skipped].search(html, at)
+            if end:
+                at = end.end()
+            else:
+                unclosed.add(skipped)
         tag = m["tag"]
         if tag is None:
             continue

@@ -19,6 +19,17 @@ def test_blocks():
     assert html_text.parts(None) == html_text.parts("") == html_text.parts("<div></div>") == []
 
 
+def test_custom_and_unclosed_elements_keep_the_rest_of_the_page():
+    texts = lambda page: [p.text for p in html_text.parts(page)]
+    assert texts('<p>one</p><svg-icon name="x"></svg-icon><p>two</p><article>three</article>') == ["one", "two", "three"]
+    for name in ("video-player", "audio-player", "template-x", "math-field", "script-x"):
+        assert texts(f"<p>one</p><{name}>in</{name}><p>two") == ["one", "in", "two"]
+    for name in html_text.SKIPPED:
+        assert texts(f"<p>one<{name} a='b'><p>two<{name.upper()}>no</{name} ><p>three<{name}/><p>four<{name}><{name}><p>five") == ["one", "three", "four", "five"]
+        assert texts(f"<p>one<{name}><p>two") == ["one", "two"]
+    assert texts("<p>one<script>x<p>two") == texts("<p>one<style>x<p>two") == texts("<p>one<textarea>x<p>two") == ["one"]
+
+
 def test_gradients():
     rng = np.random.default_rng(0)
     one = html_text.Direction(3, 2, rng)
