@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewgrain.llm import byte_bpe, decontaminate, html_text, language_id, licenses, line_dedup, packing, quality, simhash, url_filter
+from reviewgrain.llm import byte_bpe, decontaminate, html_text, language_id, licenses, line_dedup, multiset_hash, packing, quality, simhash, url_filter
 from reviewgrain.llm.shared import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,3 +176,9 @@ def packed_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
     digests = {"ids_sha256": F.sha2("ids", 256), "positions_sha256": F.sha2("positions", 256)}
     return rows.withColumns(digests).drop("ids", "positions")
+
+
+@query("op11_document_fingerprints")
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, and that of its text with the second half taken from the next document."""
+    return multiset_hash.edited(table(spark, sf_dir, "documents"))
