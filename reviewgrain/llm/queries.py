@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewgrain.llm import byte_bpe, decontaminate, html_text, language_id, licenses, line_dedup, multiset_hash, packing, quality, simhash, url_filter
+from reviewgrain.llm import byte_bpe, decontaminate, html_text, language_id, licenses, line_dedup, multiset_hash, packing, quality, simhash, url_filter, whitening
 from reviewgrain.llm.shared import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,3 +182,10 @@ def packed_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint, and that of its text with the second half taken from the next document."""
     return multiset_hash.edited(table(spark, sf_dir, "documents"))
+
+
+@query("op12_embedding_whitening")
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's whitened coordinates on the eight leading components; deviation is NULL where it doesn't fit a long."""
+    rows, _ = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
