@@ -26,7 +26,7 @@ from reviewgrain.llm.shared import Batches, store
 
 COMPONENTS = 8
 #: Trial vectors beside the wanted ones, recurrence steps of a cycle, and cycles at most.
-EXTRA, DEGREE, CYCLES = 16, 8, 60
+EXTRA, DEGREE, CYCLES = 24, 8, 60
 #: Largest residual of a certified pair, as a share of the largest eigenvalue; a residual that no cycle halves any more is at the limit of the arithmetic if it is below STALLED.
 CERTIFIED, STALLED = 1e-14, 1e-12
 #: Eigenvalues below this share of the trace belong to no component: the vectors don't extend in their direction.
