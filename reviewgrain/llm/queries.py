@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewgrain.llm import byte_bpe, decontaminate, html_text, language_id, licenses, line_dedup, multiset_hash, packing, quality, simhash, url_filter, whitening
+from reviewgrain.llm import byte_bpe, decontaminate, hard_negatives, html_text, language_id, licenses, line_dedup, multiset_hash, packing, quality, simhash, url_filter, whitening
 from reviewgrain.llm.shared import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,3 +189,12 @@ def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector's whitened coordinates on the eight leading components; deviation is NULL where it doesn't fit a long."""
     rows, _ = whitening.whitened(table(spark, sf_dir, "embeddings"))
     return rows.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+@query("op13_hard_negatives")
+def hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every positive of the vectors whose id is divisible by 100; ids divisible by 7 have the next label."""
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+    return found.withColumns({c: F.col(c).cast("long") for c in ("anchor_id", "positive_id", "negative_id")})
