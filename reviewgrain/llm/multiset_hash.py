@@ -219,7 +219,7 @@ def edited(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame
         rows.withColumn("range", place.cast("int"))
         .withColumn("to", F.explode(F.when(begins, F.array(F.struct(F.col("range").alias("range"), F.lit(False).alias("guard")), F.struct(before.alias("range"), F.lit(True).alias("guard")))).otherwise(F.array(F.struct(F.col("range").alias("range"), F.lit(False).alias("guard"))))))
         .select("to.range", "to.guard", "id", "text")
-        .repartition(number, "range")
+        .repartitionById(max(number, n), F.col("range"))  # a range a task, so that tasks are even
         .sortWithinPartitions("range", "guard", "id", "text")
     )
     schema = pa.schema(
