@@ -18,9 +18,9 @@ from registry.base import (
 from registry.exchanges import CTE_DOCUMENTS, aspect_documents
 from registry.plans import CTE_PREPROCESSED
 from reviewgrain.operators import cleaning, topics
-from reviewgrain.operators.scaling import scratch_path
+from reviewgrain.operators.scaling import scratch_path, store
 from reviewgrain.plans import preparation
-from reviewgrain.sources import aspect_store, encodings, files, stages
+from reviewgrain.sources import aspect_store, csv_records, encodings, files, stages
 
 _PLAIN = ["uniq_id", "pageurl", "title", "rating", "review", "reviewer_name", "review_upvotes", "website"]
 
@@ -35,6 +35,23 @@ def read_csv(spark, sf):
     return cleaning.coerce_types(back).select("row_id", *_PLAIN[:3], "rating", F.md5("review").alias("review"))
 
 
+@query("io1_one_large_file", f"{CTE_REVIEWS} SELECT row_id::VARCHAR AS row_id, {', '.join(_PLAIN[:3])}, rating, md5(review) AS review, true AS from_many_tasks FROM reviews")
+def one_large_file(spark, sf):
+    """A single review file with line breaks inside reviews, cut into as many ranges as fit its size."""
+    path = scratch_path(spark, "one_csv")
+    files.save(reviews(spark, sf).select("row_id", *_PLAIN).coalesce(1), path, "csv")
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, 256_000)
+    try:
+        rows = csv_records.records(spark, path, store)  # the plan keeps the ranges it was made with
+        tasks = F.lit(rows.rdd.getNumPartitions() > 1)
+        back = cleaning.coerce_types(files.read_csv(spark, path))
+        return store(back.select("row_id", *_PLAIN[:3], "rating", F.md5("review").alias("review"), tasks.alias("from_many_tasks")))
+    finally:
+        spark.conf.set(size, before)
+
+
 @query("io2_review_source", f"{CTE_REVIEWS} SELECT count(*) AS rows, count(DISTINCT pageurl) AS urls FROM reviews")
 def review_source(spark, sf):
     path = scratch_path(spark, "landed")
@@ -51,7 +68,7 @@ def save_parquet(spark, sf):
     return spark.read.parquet(path).select("row_id", "uniq_id", "rating", stamp("review_date"))
 
 
-def _store(spark):
+def _stages(spark):
     return stages.StageStore(spark, scratch_path(spark, "stages"))
 
 
@@ -61,25 +78,25 @@ def _store(spark):
 )
 def stage_hand_off(spark, sf):
     """Load and preprocess as stored stages, then resume from the last one."""
-    store = _store(spark)
+    stored = _stages(spark)
     steps = {
         "load": lambda _: raw_reviews(spark, sf),
         "preprocess": preparation.preprocess,
         "categorise": preparation.categorise,
         "report": lambda rows: rows.groupBy("rating_sentiment").agg(F.count(F.lit(1)).alias("reviews")),
     }
-    store.run(steps, only="load")
-    store.run(steps, only="preprocess")
-    return store.run(steps, start_from="impute")
+    stored.run(steps, only="load")
+    stored.run(steps, only="preprocess")
+    return stored.run(steps, start_from="impute")
 
 
 @query("io5_best_available", f"{CTE_SCORED} SELECT row_id, sentiment FROM scored")
 def best_available(spark, sf):
     """The analysed table wins over the preprocessed one."""
-    store = _store(spark)
-    files.save(raw_reviews(spark, sf), store.path("preprocess"))
-    files.save(scored(spark, sf), store.path("analyse"))
-    return store.best_available().select("row_id", "sentiment")
+    stored = _stages(spark)
+    files.save(raw_reviews(spark, sf), stored.path("preprocess"))
+    files.save(scored(spark, sf), stored.path("analyse"))
+    return stored.best_available().select("row_id", "sentiment")
 
 
 @query(

@@ -11,22 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 from reviewgrain import lexicons as lx
 from reviewgrain.functions.naming import normalise_name
 from reviewgrain.operators.scaling import store
+from reviewgrain.sources import csv_records
 
 
 def normalise_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[normalise_name(c) for c in df.columns])
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True, position: str | None = None) -> DataFrame:
     """A review file with a header, all columns as text and with normalised names.
 
-    A missing path raises.  Quoted reviews may span lines; files written with
-    one review per line can be split further with ``multi_line=False``.
+    A missing path raises.  Quoted reviews may span lines, and large files are still read by many tasks (see csv_records).
+    ``multi_line=False`` is for files with one review per line.  position: name of an added column that orders rows as in the files (multi_line only).
     """
-    raw = spark.read.csv(
-        path, header=True, multiLine=multi_line, quote='"', escape='"', mode="PERMISSIVE", inferSchema=False
-    )
-    return normalise_columns(raw)
+    if multi_line:
+        return normalise_columns(csv_records.read(spark, path, lambda rows: store(rows, "csv-ranges"), position))
+    return normalise_columns(spark.read.csv(path, header=True, quote='"', escape='"', mode="PERMISSIVE", inferSchema=False))
 
 
 def missing_columns(df: DataFrame, required: Sequence[str] = lx.REQUIRED_COLUMNS) -> list[str]:
