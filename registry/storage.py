@@ -206,3 +206,25 @@ def update_store(spark, sf):
     again = documents.withColumn("doc_id", F.concat("doc_id", F.lit("_again")))
     store.save(aspect_store.add_documents(store.load(), again))
     return store.load().select("doc_id", "category", "review_count")
+
+
+@query(
+    "so3_upsert",
+    f"""{CTE_DOCUMENTS} SELECT 1 AS version, doc_id, review_count FROM aspect_documents
+UNION ALL SELECT 4, doc_id, CASE WHEN review_count % 2 = 0 THEN review_count * 10 ELSE review_count END FROM aspect_documents WHERE review_count % 3 <> 0
+UNION ALL SELECT 4, doc_id || '_new', review_count FROM aspect_documents WHERE review_count % 2 = 0""",
+)
+def upsert_documents(spark, sf):
+    """Changed and new documents are upserted, others deleted; both the first version and the last are read."""
+    store = aspect_store.AspectStore(spark, scratch_path(spark, "aspect_store"))
+    documents = aspect_documents(spark, sf)
+    first = store.save(documents)
+    even = documents.where("review_count % 2 = 0")
+    changed = even.withColumn("review_count", F.col("review_count") * 10)
+    new = even.withColumn("doc_id", F.concat("doc_id", F.lit("_new")))
+    for _ in range(2):  # the second time nothing is done
+        store.upsert(changed.unionByName(new), token="nightly")
+    store.table.delete(documents.where("review_count % 3 = 0").select("doc_id"))
+    last = store.table.compact()
+    read = lambda v: store.load(v).select(F.lit(v).alias("version"), "doc_id", "review_count")
+    return read(first).unionByName(read(last))

@@ -1,15 +1,14 @@
-"""Stored aspect documents: one Parquet row per document, vector included."""
+"""Stored aspect documents: one row per document, vector included."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewgrain.operators.retrieval import in_category
-from reviewgrain.sources import files
+from reviewgrain.sources import versioned
 
 DOCUMENT_SCHEMA = (
     "doc_id string, category string, aspect_name string, summary string, "
@@ -24,27 +23,29 @@ def document_text() -> Column:
 
 
 class AspectStore:
+    """A versioned table of aspect documents: saves, additions and updates are whole or not there, and old versions can be read."""
+
     def __init__(self, spark: SparkSession, path: str):
-        self._spark, self._path = spark, path
+        self.table = versioned.VersionedTable(spark, path, ["doc_id"], DOCUMENT_SCHEMA)
 
-    def save(self, documents: DataFrame) -> None:
+    def save(self, documents: DataFrame) -> int:
         """Replace the stored documents; ``documents`` may come from this store."""
-        files.save(documents, self._path)
+        return self.table.save(documents)
+
+    def append(self, documents: DataFrame, token: str | None = None) -> int:
+        """Add documents; a write tried again with the same token is only done once."""
+        return self.table.append(documents, token)
 
-    def append(self, documents: DataFrame) -> None:
-        documents.write.mode("append").parquet(self._path)
+    def upsert(self, documents: DataFrame, token: str | None = None) -> int:
+        """Replace the documents with these ids, and add the new ones."""
+        return self.table.upsert(documents, token)
 
-    def clear(self) -> None:
-        self.save(self._spark.createDataFrame([], DOCUMENT_SCHEMA))
+    def clear(self) -> int:
+        return self.table.save(self.table._spark.createDataFrame([], DOCUMENT_SCHEMA))
 
-    def load(self) -> DataFrame:
+    def load(self, version: int | None = None) -> DataFrame:
         """The stored documents, none if nothing was saved yet."""
-        try:
-            return self._spark.read.schema(DOCUMENT_SCHEMA).parquet(self._path)
-        except AnalysisException as problem:
-            if problem.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self._spark.createDataFrame([], DOCUMENT_SCHEMA)
+        return self.table.read(version)
 
 
 def with_missing_vectors(documents: DataFrame, encode: Callable[[DataFrame], DataFrame]) -> DataFrame:
