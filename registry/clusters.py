@@ -19,7 +19,7 @@ from registry.joins import SQL_FIRST_VECTOR, first_vector
 from registry.textual import sql_simple_sentiment
 from reviewgrain.functions import numeric, vectors
 from reviewgrain.functions.numeric import round_to
-from reviewgrain.operators import clusters, retrieval, sentiment
+from reviewgrain.operators import clusters, retrieval, search_index, sentiment, silhouettes
 from reviewgrain.plans import discovery
 from reviewgrain.sources import encodings
 
@@ -157,11 +157,19 @@ def search_in_category(spark, sf):
     return hits.select("row_id", F.col("category").alias("product_category"), round_to(F.col("similarity"), 6).alias("similarity"))
 
 
-@query("ml6_approximate_search")
-def approximate_search(spark, sf):
-    probe = spark.read.parquet(f"{sf}/embeddings.parquet").orderBy("vec_id").first()["embedding"]
-    hits = retrieval.approximate_search(labelled(spark, sf), list(probe), 5)
-    return hits.select("row_id", F.round("similarity", 4).alias("similarity"))
+@query(
+    "ml6_indexed_search",
+    f"""{CTE_VECTORS}, scored_pairs AS (SELECT q.row_id AS query, d.row_id, list_cosine_similarity(d.v, q.v) AS s FROM points q JOIN points d ON q.row_id % 100 = 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY s DESC, row_id) AS place FROM scored_pairs)
+SELECT query, row_id, place, {rounded('s', 6)} AS similarity, true AS all_rows_known FROM placed WHERE place <= 5""",
+)
+def indexed_search(spark, sf):
+    """Every row whose id is divisible by 100 against all rows, through the index; no query was compared with more rows than there are."""
+    rows = labelled(spark, sf)
+    index = search_index.build(rows, "row_id")
+    hits = search_index.search_many(index, rows.where("row_id % 100 = 0"))
+    total = sum(n for _, n, _ in index.cells)
+    return hits.select("query", "row_id", "place", round_to(F.col("similarity"), 6).alias("similarity"), (F.col("compared") <= total).alias("all_rows_known"))
 
 
 CTE_NEAR = f"""{CTE_EMBEDDED}, near_rows AS MATERIALIZED (SELECT *, list_cosine_similarity(v, {SQL_FIRST_VECTOR}) AS similarity
@@ -233,18 +241,26 @@ def squared_silhouette_by_category(spark, sf):
     return found.withColumn("squared_silhouette", round_to(F.col("squared_silhouette"), 6))
 
 
+_EUCLIDEAN = "list_distance(a.v, b.v)"
+
+
 @query(
-    "ml8_sampled_silhouette",
-    f"""{CTE_EMBEDDED}, {_sql_silhouette('embedded', _SQUARE, 'product_category')}
-SELECT s.product_category, (SELECT count(*) FROM embedded e WHERE e.product_category = s.product_category) AS sample_size,
- {rounded('s.score', 5)} AS silhouette FROM scores s""",
+    "ml8_silhouette",
+    f"{CTE_VECTORS}, {_sql_silhouette('points', _EUCLIDEAN, '')} SELECT n_clusters, {rounded('score', 6)} AS silhouette FROM scores",
+)
+def euclidean_silhouette(spark, sf):
+    found = silhouettes.silhouette(labelled(spark, sf))
+    return found.withColumn("silhouette", round_to(F.col("silhouette"), 6))
+
+
+@query(
+    "ml8_silhouette_by_category",
+    f"""{CTE_EMBEDDED}, {_sql_silhouette('embedded', _EUCLIDEAN, 'product_category')}
+SELECT product_category, n_clusters, {rounded('score', 6)} AS silhouette FROM scores""",
 )
-def full_silhouette(spark, sf):
-    """The silhouette with the number of rows it was taken from: all of them."""
-    rows = embedded(spark, sf)
-    sizes = rows.groupBy("product_category").agg(F.count(F.lit(1)).alias("sample_size"))
-    found = clusters.squared_silhouette(rows, ["product_category"]).join(sizes, "product_category")
-    return found.select("product_category", "sample_size", round_to(F.col("squared_silhouette"), 5).alias("silhouette"))
+def euclidean_silhouette_by_category(spark, sf):
+    found = silhouettes.silhouette(embedded(spark, sf), ["product_category"])
+    return found.withColumn("silhouette", round_to(F.col("silhouette"), 6))
 
 
 CTE_CENTERS = f"""{CTE_VECTORS}, long AS (SELECT row_id, cluster, i, v[i] AS x FROM points, range(1, 65) t(i)),

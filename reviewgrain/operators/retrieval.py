@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,26 +36,6 @@ def search(
     return with_similarity(rows, query, vector).orderBy(F.desc("similarity"), key).limit(top_k)
 
 
-def approximate_search(
-    documents: DataFrame,
-    query: list[float],
-    top_k: int = 5,
-    vector: str = "embedding",
-    bucket_length: float = 0.5,
-    tables: int = 8,
-) -> DataFrame:
-    """Hashed nearest neighbours on unit vectors; may miss documents that ``search`` finds."""
-    prepared = documents.withColumn("_raw", array_to_vector(vectors.doubles(F.col(vector))))
-    unit = Normalizer(inputCol="_raw", outputCol="_unit").transform(prepared)
-    model = BucketedRandomProjectionLSH(
-        inputCol="_unit", outputCol="_hash", bucketLength=bucket_length, numHashTables=tables, seed=42
-    ).fit(unit)
-    length = sum(x * x for x in query) ** 0.5 or 1.0
-    near = model.approxNearestNeighbors(unit, Vectors.dense([x / length for x in query]), top_k)
-    similarity = 1 - F.col("distCol") * F.col("distCol") / 2
-    return near.withColumn("similarity", similarity).drop("_raw", "_unit", "_hash", "distCol")
-
-
 def relevant_rows(
     scored: DataFrame, threshold: float = 0.3, fallback: int = 20, key: str = "row_id"
 ) -> DataFrame:

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from reviewgrain.operators.scaling import importable
+
 #: Characters of one record at most, against a quote that is never closed, and ranges whose states are sent to all tasks.
 LONGEST, RANGES = 256_000_000, 2_000_000
 _TO_QUOTE = re.compile('[^"]*(?:""[^"]*)*')
@@ -195,6 +197,7 @@ def records(spark: SparkSession, path: str, store: Callable[[DataFrame], DataFra
     store: writes a table and gives it back; the reports, two rows per range, are read twice.  Empty lines between records are
     skipped.  Carriage returns before line feeds belong to the line break where the record ends with one, else to the text.  An unclosed quote takes in the rest of its file, as one record, up to LONGEST characters.
     """
+    importable(spark)
     lines = _lines(spark, path)
     reports = store(reported(lines))
     states = store(composed(reports))
