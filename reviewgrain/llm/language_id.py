@@ -10,10 +10,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from array import array
-from collections import Counter
 from collections.abc import Iterator
-from operator import add
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +24,13 @@ GRAM = 3
 #: N-grams of a profile and of a document's list.
 PROFILE = 400
 UNDETERMINED = "und"
-#: Distinct words whose n-grams a worker remembers, and rows it counts before it hands counts on.
-REMEMBERED, COUNTED = 250_000, 500_000
+#: Code points of a text that are counted at once, and different n-grams of a language that a task keeps before it hands counts on.
+AT_ONCE, COUNTED = 1 << 18, 1 << 19
 WORD = re.compile(r"[^\W\d_]+")
+#: An n-gram as a number: its code points, BITS bits each.
+BITS, SPACE = 21, 32
+#: N-grams whose digests a worker remembers.
+REMEMBERED = 100_000
 
 
 def held_out(id_column: str) -> Column:
@@ -39,39 +41,116 @@ def held_out(id_column: str) -> Column:
 def grams_of(word: str) -> list[str]:
     """The n-grams of one word: its characters, and the pairs and triples of the word with a space on both sides."""
     padded = f" {word} "
-    pairs = list(map(add, padded, padded[1:]))
-    return [*word, *pairs, *map(add, pairs, padded[2:])]
+    return [*word, *(padded[i : i + 2] for i in range(len(word) + 1)), *(padded[i : i + 3] for i in range(len(word)))]
 
 
 def has_letter(text: str | None) -> bool:
     return any(map(str.isalpha, text)) if text else False
 
 
+@cache
+def _letters() -> np.ndarray:
+    """For every code point whether words consist of it."""
+    out = np.zeros(0x110000, bool)
+    for found in WORD.finditer("".join(map(chr, range(0x110000)))):
+        out[found.start() : found.end()] = True
+    return out
+
+
+def _counted(codes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different codes, ascending, and how often they occur, given counts of some of them."""
+    order = np.argsort(codes, kind="stable")
+    codes, times = codes[order], times[order]
+    first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1]))) if len(codes) else np.zeros(0, np.int64)
+    return codes[first], np.add.reduceat(times, first) if len(first) else times
+
+
+def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of a whole text, as ascending numbers, and their counts.
+
+    They are those of all its words (see grams_of).  A long text is counted in pieces that end between words, so that memory follows its different n-grams.
+    """
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
+    found = []
+    at = 0
+    while at < len(points):
+        piece = points[at : at + AT_ONCE]
+        inside = _letters()[piece]
+        if at + AT_ONCE < len(points) and inside[-1]:
+            ends = np.flatnonzero(~inside)
+            if len(ends):
+                piece, inside = piece[: ends[-1] + 1], inside[: ends[-1] + 1]
+            else:  # a word longer than a piece is taken whole
+                rest = np.flatnonzero(~_letters()[points[at:]])
+                piece = points[at : at + (int(rest[0]) if len(rest) else len(points) - at)]
+                inside = np.ones(len(piece), bool)
+        at += len(piece)
+        found.append(_piece_grams(piece, inside))
+    if len(found) == 1:
+        return found[0]
+    return _counted(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
+def _piece_grams(points: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    # words with one space before, between and behind
+    letter = np.concatenate(([False], inside, [False]))
+    kept = letter.copy()
+    kept[1:] |= letter[:-1]
+    kept[0] = True
+    s = np.where(letter, np.concatenate(([SPACE], points, [SPACE])), SPACE)[kept].astype(np.uint64)
+    shift = np.uint64(BITS)
+    pairs = s[:-1] << shift | s[1:]
+    triples = (pairs[:-1] << shift | s[2:])[s[1:-1] != SPACE]
+    codes = np.concatenate((s[s != SPACE], pairs, triples))
+    codes.sort()
+    first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1]))) if len(codes) else np.zeros(0, np.int64)
+    return codes[first], np.diff(np.append(first, len(codes)))
+
+
+def gram_text(code: int) -> str:
+    """The n-gram that a number stands for."""
+    points = []
+    while code:
+        points.append(chr(code & (1 << BITS) - 1))
+        code >>= BITS
+    return "".join(reversed(points))
+
+
+def gram_code(gram: str) -> int:
+    out = 0
+    for c in gram:
+        out = out << BITS | ord(c)
+    return out
+
+
 def count_grams(rows: DataFrame) -> DataFrame:
     """(lang, gram, n) over all training rows (lang, text): counted per task, then summed."""
     schema = pa.schema([("lang", pa.string()), ("gram", pa.string()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: dict[str, Counter] = {}
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for lang, seen in words.items():
-                known = WordGrams([])
-                found = list(map(known.__getitem__, seen))
-                sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-                times = np.repeat(np.fromiter(seen.values(), np.int64, len(seen)), sizes)
-                sums = np.zeros(len(known.numbers), np.int64)
-                np.add.at(sums, np.frombuffer(b"".join(found), np.int32), times)
-                columns = [lang] * len(sums), list(known.numbers), sums
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-            words.clear()
+        waiting: dict[str, list] = {}
+        sizes: dict[str, int] = {}
+
+        def flush(lang: str) -> Iterator[pa.RecordBatch]:
+            codes, sums = _counted(*map(np.concatenate, zip(*waiting.pop(lang), strict=True)))
+            sizes.pop(lang)
+            columns = [lang] * len(codes), list(map(gram_text, codes.tolist())), sums
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), texts(batch, "text"), strict=True):
-                words.setdefault(lang, Counter()).update(WORD.findall((text or "").lower()))
-            if sum(map(len, words.values())) > COUNTED:
-                yield from flush()
-        yield from flush()
+                if not text:
+                    continue
+                codes, times = grams(text)
+                waiting.setdefault(lang, []).append((codes, times))
+                sizes[lang] = sizes.get(lang, 0) + len(codes)
+                if sizes[lang] > COUNTED:  # put together, and hand on if they are many even so
+                    waiting[lang] = [_counted(*map(np.concatenate, zip(*waiting[lang], strict=True)))]
+                    sizes[lang] = len(waiting[lang][0][0])
+                    if sizes[lang] > COUNTED // 2:
+                        yield from flush(lang)
+        for lang in list(waiting):
+            yield from flush(lang)
 
     return rows.select("lang", "text").mapInArrow(run, "lang string, gram string, n long").groupBy("lang", "gram").agg(
         F.sum("n").alias("n")
@@ -90,69 +169,43 @@ def learn(rows: DataFrame, size: int = PROFILE) -> DataFrame:
     return store(ranked.select("lang", "gram", "place"), "profiles")
 
 
-class WordGrams(dict):
-    """The n-gram numbers of recent words, as 32-bit integers; n-grams are numbered as they come, those of the profiles first."""
-
-    def __init__(self, grams: list[str]):
-        super().__init__()
-        self.first = grams
-        self.clear()
-
-    def clear(self) -> None:
-        """Forget words and the n-grams that only they had, so that memory stays bounded."""
-        super().clear()
-        self.numbers = {gram: i for i, gram in enumerate(self.first)}
-        self.ties = np.zeros(max(1024, 2 * len(self.first)), np.uint32)
-        self.ties[: len(self.first)] = [zlib.crc32(gram.encode("utf-8", "surrogatepass")) for gram in self.first]
-
-    def __missing__(self, word: str) -> bytes:
-        grams, numbers = grams_of(word), self.numbers
-        found = list(map(numbers.get, grams))
-        if None in found:
-            for gram in grams:
-                if gram not in numbers:
-                    at = numbers[gram] = len(numbers)
-                    if at >= len(self.ties):
-                        self.ties = np.concatenate((self.ties, np.zeros_like(self.ties)))
-                    self.ties[at] = zlib.crc32(gram.encode("utf-8", "surrogatepass"))
-            found = list(map(numbers.get, grams))
-        self[word] = made = array("i", found).tobytes()
-        return made
+class Digests(dict):
+    """The digests of recent n-grams, by which equally frequent ones are ordered."""
+
+    def __missing__(self, code: int) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[code] = out = zlib.crc32(gram_text(code).encode("utf-8", "surrogatepass"))
+        return out
 
 
 class Profiles:
-    """The profiles as arrays over the n-grams that any of them has."""
+    """The profiles as one table over the n-grams that any of them has."""
 
     def __init__(self, rows: list[tuple[str, str, int]], size: int):
-        self.size = size
+        self.size, self.digests = size, Digests()
         self.langs = sorted({r[0] for r in rows})
-        self.words = WordGrams(sorted({r[1] for r in rows}))
-        number = self.words.numbers
+        coded = {gram: gram_code(gram) for gram in {r[1] for r in rows}}
+        self.codes = np.array(sorted(coded.values()), np.uint64)
         # place of each n-gram in each profile; -1 says that it has none; the last column is for n-grams no profile has
-        self.places = np.full((len(self.langs), len(number) + 1), -1, np.int32)
+        self.places = np.full((len(self.langs), len(self.codes) + 1), -1, np.int32)
         for lang, gram, place in rows:
-            self.places[self.langs.index(lang), number[gram]] = place
+            self.places[self.langs.index(lang), np.searchsorted(self.codes, np.uint64(coded[gram]))] = place
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The nearest profile's language and how near it is: 1 less the distance's share of the largest possible."""
         if not self.langs or not has_letter(text):
             return UNDETERMINED, 0.0
-        words = Counter(WORD.findall(text.lower()))
-        if not words:
+        seen, amount = grams(text)
+        if not len(seen):
             return UNDETERMINED, 0.0
-        if len(self.words) + len(words) >= REMEMBERED:
-            self.words.clear()
-        lists = list(map(self.words.__getitem__, words))
-        times = np.fromiter(words.values(), np.int64, len(words))
-        sizes = np.fromiter(map(len, lists), np.int64, len(words)) // 4
-        counts = np.bincount(np.frombuffer(b"".join(lists), np.int32), np.repeat(times, sizes))
-        seen = np.flatnonzero(counts)
-        amount = counts[seen]
         if len(seen) > self.size:  # the n-grams that can be among the first, ties at the border included
             border = np.partition(amount, len(seen) - self.size)[len(seen) - self.size]
             seen, amount = seen[amount >= border], amount[amount >= border]
-        seen = seen[np.lexsort((seen, self.words.ties[seen], -amount))][: self.size]
-        places = self.places[:, np.minimum(seen, self.places.shape[1] - 1)]
+        digests = np.fromiter(map(self.digests.__getitem__, seen.tolist()), np.uint32, len(seen))
+        seen = seen[np.lexsort((seen, digests, -amount))][: self.size]
+        at = np.minimum(np.searchsorted(self.codes, seen), len(self.codes) - 1)
+        places = self.places[:, np.where(self.codes[at] == seen, at, len(self.codes))]
         distance = np.where(places < 0, self.size, np.abs(places - np.arange(len(seen)))).sum(axis=1)
         best = int(np.argmin(distance))
         return self.langs[best], float(1 - distance[best] / (self.size * len(seen)))
@@ -166,14 +219,15 @@ def predict(docs: DataFrame, profiles: DataFrame, text: str = "text", keep: list
     Repeated rows get equal results; other columns are not read.
     """
     keep = ["doc_id"] if keep is None else keep
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_text"))
+    body = text if text in keep else "_text"  # sent once
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], *([] if text in keep else [F.col(f"`{text}`").alias(body)]))
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
     known = [tuple(r) for r in profiles.select("lang", "gram", "place").collect()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Profiles(known, size)
         for batch in batches:
-            found = [model.predict(t) for t in texts(batch, "_text")]
+            found = [model.predict(t) for t in texts(batch, body)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in keep), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                 [*keep, "lang_pred", "score"],

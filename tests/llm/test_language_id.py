@@ -1,4 +1,6 @@
+import random
 import zlib
+from collections import Counter
 
 from reviewgrain.llm import language_id
 from reviewgrain.llm.queries import QUERIES
@@ -41,3 +43,15 @@ def test_query_on_documents_kept_out(spark, documents):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows) and len(rows) == len(truth)
     kept_out = [r for r in rows if r.held_out]
     assert sum(r.lang_pred == truth[r.doc_id] for r in kept_out) >= 0.95 * len(kept_out)
+
+
+def test_grams_of_whole_texts(monkeypatch):
+    rng = random.Random(4)
+    for size in (1 << 18, 7):
+        monkeypatch.setattr(language_id, "AT_ONCE", size)
+        for _ in range(200):
+            text = "".join(rng.choices("aBé1_ \n.ßÄ漢𝒳İ", k=rng.randrange(40)))
+            want = Counter(g for word in language_id.WORD.findall(text.lower()) for g in language_id.grams_of(word))
+            codes, times = language_id.grams(text)
+            assert {language_id.gram_text(c): n for c, n in zip(codes.tolist(), times.tolist())} == want
+            assert all(language_id.gram_code(language_id.gram_text(c)) == c for c in codes.tolist()) and (codes[1:] > codes[:-1]).all()
