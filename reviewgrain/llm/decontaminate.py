@@ -10,18 +10,28 @@ alignment with conflicting values, the largest agreeing part counts if it is lon
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
+import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewgrain.llm.shared import renamed, store
 
-#: Template tokens of a window; shorter items of at least SHORTEST tokens are one window; items below that must be the whole document.
+#: Template tokens of a window; shorter items of at least SHORTEST tokens are one window; shorter ones must be the whole document or stand in it as they are.
 WINDOW, SHORTEST = 8, 5
+#: Items of so many tokens, below SHORTEST, are also found inside documents, word by word.
+BRIEF = (3, 4)
+#: Different pairs of neighbouring tokens of the benchmark that documents are pruned by; with more of them nothing is pruned, which only costs time.
+PAIRS = 200_000
 #: Share of an item's tokens that aligned windows must cover, or number of tokens that is enough for a longer item.
 COVERED, ENOUGH = 0.5, 24
 #: Window keys of the benchmark that are broadcast at most; beyond that the join is left to the planner.
 BROADCAST_KEYS = 1_000_000
 NUMBER, UNIT, NAME = "<num>", "<unit>", "<name>"
+WINDOWS = "array<struct<at: int, size: int, key: bigint, weak: boolean>>"
 #: Spelled-out numbers, and units that count as such after a number.
 NUMBER_WORDS = (
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
@@ -43,12 +53,13 @@ def marked(text: Column) -> Column:
     """
     clean = F.translate(F.coalesce(text, F.lit("")), "\u0001\u0002\u0003\u0004", "    ")
     clean = F.regexp_replace(clean, r"[\s\p{Z}]{2,}|[\s\p{Z}&&[^ ]]", " ")
-    joined = F.regexp_replace(clean, r"(?<=\p{N})[.,](?=\p{N})", "\u0004")
-    numbers = F.regexp_replace(joined, "(?<![\\p{L}\\p{M}\\p{N}\u0004])(?=\\p{N})", "\u0001")
-    names = F.regexp_replace(numbers, r"(?<=[\p{L}\p{N},;)('’\"] )(\p{Lu}[\p{Ll}\p{M}]+)(?![\p{L}\p{N}])", "\u0002$1")
+    # patterns begin with the character itself and look back only then, as most places hold another one
+    joined = F.regexp_replace(clean, r"[.,](?<=\p{N}[.,])(?=\p{N})", "\u0004")
+    numbers = F.regexp_replace(joined, "\\p{N}(?<![\\p{L}\\p{M}\\p{N}\u0004]\\p{N})", "\u0001$0")
+    names = F.regexp_replace(numbers, r"\p{Lu}(?<=[\p{L}\p{N},;)('’\"] \p{Lu})[\p{Ll}\p{M}]+(?![\p{L}\p{N}])", "\u0002$0")
     units = "|".join(sorted(UNITS, key=lambda u: (-len(u), u)))
-    after_number = rf"(?<=\p{{N}}|\p{{N}} )(?i:{units})(?![\p{{L}}\p{{N}}])"
-    return F.regexp_replace(F.regexp_replace(names, after_number, "\u0003$0"), r"(?<=\p{N})( ?)%", "$1 \u0003percent ")
+    after_number = rf"(\p{{N}} ?)((?i:{units})(?![\p{{L}}\p{{N}}]))"
+    return F.regexp_replace(F.regexp_replace(names, after_number, "$1\u0003$2"), r"(\p{N} ?)%", "$1 \u0003percent ")
 
 
 def tokens(text: Column) -> Column:
@@ -58,8 +69,8 @@ def tokens(text: Column) -> Column:
 
 def kind(token: Column) -> Column:
     """The typed placeholder of a token; NULL for a plain word."""
-    number = token.startswith("\u0001") | token.isin(NUMBER_WORDS)
-    return F.when(token.startswith("\u0002"), NAME).when(token.startswith("\u0003"), UNIT).when(number, NUMBER)
+    by_mark = F.when(token.startswith("\u0002"), NAME).when(token.startswith("\u0003"), UNIT).when(token.startswith("\u0001"), NUMBER)
+    return F.when(token < "\u0004", by_mark).when(token.isin(NUMBER_WORDS), NUMBER)
 
 
 def _mixed(a: Column, b: Column) -> Column:
@@ -103,62 +114,122 @@ def _chosen(size: int):
     return lambda h, plain: F.when(2 * plain >= size, h["a"]).otherwise(h["b"])
 
 
+def _weak(size: int):
+    """Templates of windows that are mostly placeholders but not only: keys of their own."""
+    return lambda h, plain: F.when((2 * plain < size) & (plain > 0), F.xxhash64(h, F.lit("weak")))
+
+
 def _readings(found: str) -> Column:
     """The tokens, and if there are names among them also the tokens with the names as plain words."""
     plain = F.transform(found, lambda t: F.translate(t, "\u0002", ""))
     return F.when(F.exists(found, lambda t: t.startswith("\u0002")), F.array(F.col(found), plain)).otherwise(F.array(F.col(found)))
 
 
-def prepared(rows: DataFrame, sizes: list[int]) -> DataFrame:
-    """Replace column _text by _tokens, _n and, for each size, key<size>: the keys of the windows that start at each token.
+class Known:
+    """What a document's tokens must be to match a window of the benchmark: every two that follow each other must do so, as template tokens, in some item."""
+
+    def __init__(self, pairs: list[tuple[str, str]] | None, shortest: int):
+        self.pairs, self.shortest = pairs, shortest
+
+    def islands(self, rows: DataFrame, tokens: str) -> DataFrame:
+        """One row per run of known pairs that can hold a window: _tokens, _first (its place in the text), _short (it is all of a short text)."""
+        size = F.size(tokens)
+        if self.pairs is None:
+            return rows.withColumn("_first", F.lit(0)).withColumn("_short", size < SHORTEST).where(size > 0)
+        short = rows.withColumn("_short", size < SHORTEST)
+        known = _member([f"{a} {b}" for a, b in self.pairs])
+        flags = short.withColumn("_symbols", F.transform(tokens, lambda t: F.coalesce(kind(t), t))).withColumn("_pairs", _pairs("_symbols"))
+        flags = flags.withColumn("_known", F.transform("_pairs", lambda p: known(p)))
+        # runs lie between the pairs that aren't known
+        unknown = F.filter(F.transform("_known", lambda k, i: F.when(~k, i)), lambda i: i.isNotNull())
+        flags = flags.withColumn("_borders", F.array_append(unknown, F.size("_known")))
+        runs = F.zip_with(F.array_prepend("_borders", F.lit(-1)), "_borders", lambda a, b: F.struct((a + 1).alias("a"), (b - a).alias("n")))
+        wanted = F.filter(runs, lambda r: r["n"] >= self.shortest)
+        whole = F.array(F.struct(F.lit(0).alias("a"), size.alias("n")))
+        out = flags.withColumn("_run", F.explode_outer(F.when(F.col("_short"), whole).otherwise(wanted))).where("_run.n > 0")
+        cut = out.withColumn("_first", F.col("_run.a")).withColumn(tokens, F.slice(tokens, F.col("_run.a") + 1, F.col("_run.n")))
+        return cut.drop("_symbols", "_pairs", "_known", "_borders", "_run")
+
+
+def _member(values: list[str]) -> Callable[[Column], Column]:
+    """A test for ``values`` by one bit each, so one that may also let others pass but never stops one of them."""
+    size = 1 << max(10, (64 * len(values)).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[[xxhash.xxh64_intdigest(v.encode("utf-8"), 42) & size - 1 for v in values]] = 1  # as Spark's xxhash64
+    words = F.from_json(F.lit(json.dumps(np.packbits(bits, bitorder="little").view("<i8").tolist())), "array<bigint>")
+
+    def test(value: Column) -> Column:
+        at = F.pmod(F.xxhash64(value), F.lit(size)).cast("int")
+        return F.getbit(F.get(words, F.call_function("shiftright", at, F.lit(6))), at.bitwiseAND(63)) == 1
 
-    A text with names gives two rows, the second one with the names as plain words.
-    A key is that of the template if at least half of the window is plain words, else that of the words and values themselves.
+    return test
+
+
+def _pairs(symbols: str) -> Column:
+    """Every two symbols of a column that follow each other, joined by a space."""
+    pair = F.zip_with(symbols, F.slice(symbols, 2, F.greatest(F.size(symbols), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.slice(pair, 1, F.greatest(F.size(symbols) - 1, F.lit(0)))
+
+
+def prepared(rows: DataFrame, sizes: list[int], known: Known | None = None) -> DataFrame:
+    """Replace column _text by _tokens, _n, _first, _short and, for each size, key<size> and weak<size>: the keys of the windows that start at each token.
+
+    A text with names gives two readings, the second one with the names as plain words.  With ``known`` there is a row per run of known tokens, at place _first of the text.
+    A key is that of the template if at least half of the window is plain words, else that of the words and values themselves, as it is for windows below
+    SHORTEST tokens; a weak key is the template of a window with fewer plain words, but some.
     A text with fewer than SHORTEST tokens has one window, itself, among those of WINDOW tokens.  Windows double from step to step; each step is a column
     of its own, so that nothing is computed again for each window.
     """
     kept = [c for c in rows.columns if c != "_text"]
     rows = rows.withColumn("_found", tokens(F.col("_text"))).drop("_text")
-    rows = rows.select(*kept, F.explode_outer(_readings("_found")).alias("_tokens")).withColumn("_n", F.size("_tokens"))
+    rows = rows.select(*kept, F.explode_outer(_readings("_found")).alias("_tokens"))
+    if known is not None:
+        rows = known.islands(rows, "_tokens")
+    else:
+        rows = rows.withColumn("_first", F.lit(0)).withColumn("_short", F.size("_tokens") < SHORTEST)
+    rows = rows.withColumn("_n", F.size("_tokens"))
     rows = rows.withColumns(
         {
             "_template": F.transform("_tokens", lambda t: F.xxhash64(F.coalesce(kind(t), t))),
+            "_exact": F.transform("_tokens", lambda t: F.xxhash64(t)),
             "_plain": F.transform("_tokens", lambda t: kind(t).isNull().cast("int")),
         }
     )
-    rows = _doubled(_doubled(rows, "_template", max(sizes)), "_plain", max(sizes))
-    # values themselves only count where placeholders are many: windows of few plain words, and short texts
-    fewest = F.least(*[F.coalesce(F.array_min(_of_size("_plain", size)) - size / 2, F.lit(0.0)) for size in sizes], F.lit(0.0))
-    exact = F.when((fewest < 0) | (F.col("_n") < SHORTEST), F.transform("_tokens", lambda t: F.xxhash64(t)))
-    rows = _doubled(rows.withColumn("_exact", exact), "_exact", max(sizes))
+    for name in ("_template", "_plain", "_exact"):
+        rows = _doubled(rows, name, max(sizes))
     found = {}
     for size in sizes:
+        if size < SHORTEST:
+            found[f"key{size}"] = F.when(~F.col("_short"), _of_size("_exact", size))
+            continue
         template = _of_size("_template", size)
         either = F.zip_with(template, _of_size("_exact", size), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-        chosen = F.zip_with(either, _of_size("_plain", size), _chosen(size))
-        found[f"key{size}"] = F.when(F.col("_exact").isNull(), template).otherwise(chosen)
+        found[f"key{size}"] = F.when(~F.col("_short"), F.zip_with(either, _of_size("_plain", size), _chosen(size)))
+        found[f"weak{size}"] = F.when(~F.col("_short"), F.zip_with(template, _of_size("_plain", size), _weak(size)))
     mix = lambda name: F.aggregate(name, F.lit(0).cast("long"), lambda a, b: F.xxhash64(a, b))
     plain = F.aggregate("_plain", F.lit(0), lambda a, b: a + b)
     whole = F.array(F.when(2 * plain >= F.col("_n"), mix("_template")).otherwise(mix("_exact")))
-    found[f"key{WINDOW}"] = F.when(F.col("_n").between(1, SHORTEST - 1), whole).otherwise(found[f"key{WINDOW}"])
-    return rows.select(*kept, "_tokens", "_n", *[column.alias(name) for name, column in found.items()])
+    found[f"key{WINDOW}"] = F.when(F.col("_short") & (F.col("_n") > 0), whole).otherwise(found[f"key{WINDOW}"])
+    return rows.select(*kept, "_tokens", "_n", "_first", "_short", *[column.alias(name) for name, column in found.items()])
 
 
 def windows(rows: DataFrame, keys: list[str], sizes: list[int]) -> DataFrame:
-    """One row per window of prepared rows: keys, _tokens, _n, at, size, key.
+    """One row per window of prepared rows: keys, _tokens, _n, _first, at (in _tokens), size, key, weak.
 
     The outer form is meant: for the inner one Spark would filter the scan by the whole expression first.
     """
-    out = None
+    every = []
     for size in sizes:
-        each = rows.select(*keys, "_tokens", "_n", F.posexplode_outer(f"key{size}").alias("at", "key")).where("key IS NOT NULL")
-        each = each.withColumn("size", F.when(F.col("_n") < SHORTEST, F.col("_n")).otherwise(size))
-        out = each if out is None else out.unionByName(each)
-    return out
+        for name in (f"key{size}", f"weak{size}"):
+            if name in rows.columns:
+                of_size = F.when(F.col("_short") & (size >= SHORTEST), F.col("_n")).otherwise(size)
+                made = F.transform(name, lambda k, i: F.struct(i.alias("at"), of_size.alias("size"), k.alias("key"), F.lit(name.startswith("weak")).alias("weak")))  # noqa: B023
+                every.append(F.filter(F.coalesce(made, F.array().cast(WINDOWS)), lambda w: w["key"].isNotNull()))
+    return rows.select(*keys, "_tokens", "_n", "_first", "_short", F.inline_outer(F.concat(*every))).where("key IS NOT NULL")
 
 
-def item_windows(benchmark: DataFrame, text: str = "text", id: str = "item_id") -> tuple[DataFrame, list[int]]:
-    """(item_id, n_tokens, item_at, size, key, item_tokens) of every different item, stored, and the sizes of windows.
+def item_windows(benchmark: DataFrame, text: str = "text", id: str = "item_id") -> tuple[DataFrame, list[int], Known]:
+    """(item_id, n_tokens, item_at, size, key, weak, item_tokens) of every different item, stored; the sizes of windows; and the pairs that documents need.
 
     Items are cut into windows of WINDOW tokens, shorter ones are one window; items of the same words and values count as the one
     with the smallest id.
@@ -166,14 +237,24 @@ def item_windows(benchmark: DataFrame, text: str = "text", id: str = "item_id")
     items = benchmark.select(F.col(f"`{id}`").alias("item_id"), F.col(f"`{text}`").alias("_text")).withColumn("found", tokens(F.col("_text")))
     one = items.where("size(found) > 0").groupBy("found").agg(F.min(F.struct("item_id", "_text")).alias("x")).select("x.*")
     one = store(one, "items")
-    lengths = one.select(F.size(tokens(F.col("_text"))).alias("n")).where(F.col("n").between(SHORTEST, WINDOW - 1)).distinct()
-    sizes = sorted({r[0] for r in lengths.collect()} | {WINDOW})  # at most WINDOW - SHORTEST + 1 sizes
+    lengths = one.select(F.size(tokens(F.col("_text"))).alias("n")).where(F.col("n").between(min(BRIEF), WINDOW - 1)).distinct()
+    sizes = sorted({r[0] for r in lengths.collect()} | {WINDOW})  # at most WINDOW - min(BRIEF) + 1 sizes
+    # a brief item is looked for as a whole document and, word by word, inside documents
+    inside = prepared(one.select("item_id", "_text"), sizes).where("_short").select("item_id", "_tokens", "_n")
     cut = windows(prepared(one, sizes), ["item_id"], sizes).where(F.col("size") == F.least(F.col("_n"), F.lit(WINDOW)))
-    made = cut.select(
-        "item_id", F.col("_n").alias("n_tokens"), F.col("at").alias("item_at"), "size", "key",
-        F.slice("_tokens", F.col("at") + 1, F.col("size")).alias("item_tokens"),
-    )
-    return store(made.dropDuplicates(["item_id", "item_at", "size", "key"]), "item-windows"), sizes
+    columns = [
+        "item_id", F.col("_n").alias("n_tokens"), F.col("at").alias("item_at"), "size", "key", "weak", F.slice("_tokens", F.col("at") + 1, F.col("size")).alias("item_tokens"),
+    ]
+    made = cut.select(*columns)
+    for size in [n for n in sizes if n in BRIEF]:
+        own = inside.where(F.col("_n") == size).withColumn("_exact", F.transform("_tokens", lambda t: F.xxhash64(t)))
+        own = _doubled(own, "_exact", size).select("*", F.get(_of_size("_exact", size), F.lit(0)).alias("key"))
+        made = made.unionByName(own.select("item_id", F.col("_n").alias("n_tokens"), F.lit(0).alias("item_at"), F.lit(size).alias("size"), "key", F.lit(False).alias("weak"), F.col("_tokens").alias("item_tokens")))
+    stored = store(made.dropDuplicates(["item_id", "item_at", "size", "key"]), "item-windows")
+    symbols = stored.select(F.transform("item_tokens", lambda t: F.coalesce(kind(t), t)).alias("s"))
+    found = symbols.select(F.explode(_pairs("s")).alias("p")).distinct().limit(PAIRS + 1).collect()
+    shortest = min([n for n in sizes if n in BRIEF], default=SHORTEST)
+    return stored, sizes, Known([tuple(r["p"].split(" ")) for r in found] if len(found) <= PAIRS else None, shortest)
 
 
 def _places(seen: Column) -> Column:
@@ -195,31 +276,36 @@ def alignments(docs: DataFrame, benchmark: DataFrame, keys: list[str], text: str
 
     places holds the tokens of all windows if their slots are consistent; else those of the windows that agree with each other if these are
     at least ``enough`` tokens, and those of the windows without slots if not.
-    The texts stay where they are: windows are made and looked up in the scanning tasks, and only matching windows are shuffled.
+    The texts stay where they are: windows are made and looked up in the scanning tasks, and only matching windows are shuffled.  Only runs of tokens whose pairs the
+    benchmark has are cut into windows, as no other window can match.
     """
-    known, sizes = item_windows(benchmark)
-    if known.count() <= BROADCAST_KEYS:
-        known = F.broadcast(known)
-    rows = prepared(docs.select(*[F.col(k) for k in keys], F.col(f"`{text}`").alias("_text")), sizes)
-    hits = windows(rows, keys, sizes).join(known, ["key", "size"])
+    items, sizes, known = item_windows(benchmark)
+    if items.count() <= BROADCAST_KEYS:
+        items = F.broadcast(items)
+    rows = prepared(docs.select(*[F.col(k) for k in keys], F.col(f"`{text}`").alias("_text")), sizes, known)
+    hits = windows(rows, keys, sizes).join(items, ["key", "size", "weak"])
     aligned = F.zip_with(
         "item_tokens", F.slice("_tokens", F.col("at") + 1, F.col("size")),
         lambda a, b: F.struct(kind(a).alias("t"), a.alias("item"), b.alias("doc")),
     )
     found = hits.select(
-        *keys, "item_id", "n_tokens", (F.col("at") - F.col("item_at")).alias("shift"),
-        "item_at", "size", F.filter(aligned, lambda x: x["t"].isNotNull()).alias("pairs"),
+        *keys, "item_id", "n_tokens", (F.col("_first") + F.col("at") - F.col("item_at")).alias("shift"),
+        "item_at", "size", "weak", F.filter(aligned, lambda x: x["t"].isNotNull()).alias("pairs"),
     )
-    joined = found.groupBy(*keys, "item_id", "n_tokens", "shift").agg(F.collect_set(F.struct("item_at", "size", "pairs")).alias("seen"))
-    joined = joined.withColumn("pairs", F.array_distinct(F.flatten(F.transform("seen", lambda w: w["pairs"]))))
+    joined = found.groupBy(*keys, "item_id", "n_tokens", "shift").agg(F.collect_set(F.struct("item_at", "size", "pairs", "weak")).alias("every"))
+    pairs_of = lambda seen: F.array_distinct(F.flatten(F.transform(seen, lambda w: w["pairs"])))
+    joined = joined.withColumn("seen", F.filter("every", lambda w: ~w["weak"])).withColumn("pairs", pairs_of("every"))
     different = lambda side: F.size(F.array_distinct(F.transform("pairs", lambda x: F.struct(x["t"], x[side]))))
     one_to_one = (different("item") == F.size("pairs")) & (different("doc") == F.size("pairs"))
+    # windows that are mostly placeholders count only where all windows cover the whole item without a conflict
+    joined = joined.withColumn("whole", F.when(one_to_one & (F.size(_places(F.col("every"))) == F.col("n_tokens")), _places(F.col("every"))))
+    joined = joined.where("whole IS NOT NULL OR size(seen) > 0").withColumn("pairs", pairs_of("seen"))
     joined = joined.withColumn("consistent", one_to_one).withColumn("agreed", F.when(~F.col("consistent"), _agreed()))
     agreeing = F.filter("seen", lambda w: F.forall(w["pairs"], lambda p: F.array_contains("agreed", p)))
     joined = joined.withColumn("part", F.when(~F.col("consistent"), _places(agreeing)))
     without_slots = F.filter("seen", lambda w: F.size(w["pairs"]) == 0)
     places = F.when(F.col("consistent"), _places(F.col("seen"))).when(F.size("part") >= enough, F.col("part")).otherwise(_places(without_slots))
-    return joined.withColumn("places", places).drop("pairs", "seen", "agreed", "part")
+    return joined.withColumn("places", F.coalesce("whole", places)).drop("pairs", "seen", "every", "whole", "agreed", "part")
 
 
 def contaminated(
@@ -229,8 +315,9 @@ def contaminated(
 
     coverage is the share of the item's template tokens that lie in windows without slots or with slots that agree (see alignments); rows have at
     least ``covered``, or ``enough`` covered tokens.  text_key is a digest of the text: rows that share an id are told apart by it, repeated rows are one
-    document.  NULL and empty texts and items contain and match nothing; an item with fewer than SHORTEST tokens is only found
-    where it is the whole document.  Items with equal words and values are reported under the smallest id.
+    document.  NULL and empty texts and items contain and match nothing; an item with fewer than SHORTEST tokens is found where it is
+    the whole document, with 3 or 4 tokens also where its words and values stand in a text as they are.  Items that are mostly placeholders are found with other values if all of it is there and the slots are consistent;
+    items without any plain word only with their own values.  Items with equal words and values are reported under the smallest id.
     """
     keyed = docs.select(F.col(f"`{id}`").alias("_id"), F.col(f"`{text}`").alias("text"), F.xxhash64(f"`{text}`").alias("text_key"))
     found = alignments(keyed, benchmark, ["_id", "text_key"], enough=enough).where("size(places) > 0")

@@ -79,3 +79,22 @@ def test_query_finds_whole_items(spark, documents):
     whole = {(d, i) for d, doc in docs.items() for i, item in items.items() if item and holds(doc, item)}
     shared = {(d, i) for d, doc in docs.items() for i, item in items.items() if set(zip(*(doc[k:] for k in range(8)))) & set(zip(*(item[k:] for k in range(8))))}
     assert whole <= pairs <= shared and pairs
+
+
+def test_number_heavy_and_brief_items_inside_texts(spark):
+    around = "He looked at the board and read it. {} Then he went home with 7 apples and 3 pears."
+    cases = {
+        "What is 17 + 25 * 3 - 4?": ("What is 12 + 31 * 9 - 8?", "What is 12 and what are 5 and 6?"),
+        "Convert 5 km, 7 km, 9 km and 11 km to miles.": ("Convert 2 km, 4 km, 6 km and 8 km to miles.", "Convert 2 km, 2 km, 6 km and 8 km to miles."),
+        "Who wrote Hamlet?": ("who wrote hamlet", "Who wrote Macbeth?"),
+    }
+    for item, (same, other) in cases.items():
+        assert reported(spark, item, [around.format(item), around.format(same), around.format(other), same]) == {0, 1, 3}, item
+
+
+def test_pruning_changes_nothing(spark, documents, monkeypatch):
+    benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    found = lambda: sorted((r.doc_id, r.item_id, r.coverage) for r in decontaminate.contaminated(documents, benchmark).collect())
+    pruned = found()
+    monkeypatch.setattr(decontaminate, "PAIRS", 0)
+    assert found() == pruned and pruned
