@@ -17,6 +17,9 @@ whose own encoding is stable against the tokens to its left and right.
 from __future__ import annotations
 
 import base64
+import contextlib
+import ctypes
+import gc
 import heapq
 import re
 import struct
@@ -215,15 +218,23 @@ def encoder(path: str, pattern: str, leaf: int = LEAF) -> TreeBpe:
     return TreeBpe(load_ranks(path), pattern, leaf)
 
 
+def forget() -> None:
+    """Drop a worker's encoders and give their memory back, since workers live on after a stage."""
+    encoder.cache_clear()
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def encode(
-    docs: DataFrame, path: str, pattern: str, text: str = "text", keep: list[str] | None = None, leaf: int = LEAF
+    docs: DataFrame, path: str, pattern: str, text: str = "text", keep: list[str] | None = None, leaf: int = LEAF, release: bool = False
 ) -> DataFrame:
     """Encode every whole text: the columns ``keep`` plus n_tokens and ids.
 
     docs: any table with a text column.  keep: columns to carry along (default:
     doc_id).  n_tokens is a long, ids a binary column with little-endian unsigned
     32-bit integers.  NULL and empty texts have 0 tokens and empty ids; repeated rows
-    are encoded each; further columns are not read.
+    are encoded each; further columns are not read.  release: tasks drop their memories when they end, for jobs that go on with other stages.
     """
     keep = ["doc_id"] if keep is None else keep
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_text"))
@@ -241,11 +252,14 @@ def encode(
                 yield from out.add((*(c[i].as_py() for c in kept), len(ids) // 4, ids), len(ids) + 64)
         if out is not None:
             yield from out.flush()
+        if release:
+            del bpe
+            forget()
 
     return rows.mapInArrow(run, f"{schema}, n_tokens long, ids binary")
 
 
-def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
+def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", keep: list[str] | None = None, release: bool = False) -> DataFrame:
     """Decode a binary column of ids: the columns ``keep`` plus decoded (binary).
 
     NULL and empty ids give empty bytes; an id without a token is an error.
@@ -265,5 +279,8 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", keep:
                 yield from out.add((*(c[i].as_py() for c in kept), data), len(data) + 64)
         if out is not None:
             yield from out.flush()
+        if release:
+            del bpe
+            forget()
 
     return rows.mapInArrow(run, f"{schema}, decoded binary")
