@@ -59,8 +59,8 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     importable(spark)
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
     wanted = docs.select("doc_id", "text", F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("_wanted"))
-    encoded = byte_bpe.encode(wanted, path, pattern, keep=["doc_id", "_wanted"])
-    decoded = byte_bpe.decode(encoded, path, pattern, keep=["doc_id", "_wanted", "n_tokens", "ids"])
+    encoded = byte_bpe.encode(wanted, path, pattern, keep=["doc_id", "_wanted"], release=True)
+    decoded = byte_bpe.decode(encoded, path, pattern, keep=["doc_id", "_wanted", "n_tokens", "ids"], release=True)
     return decoded.select("doc_id", "n_tokens", "ids", (F.sha2("decoded", 256) == F.col("_wanted")).alias("round_trip"))
 
 
