@@ -36,17 +36,19 @@ from reviewgrain.llm.shared import Batches, texts
 
 #: Pieces of at most this many bytes are merged directly: the leaves of the tree.
 LEAF = 8
-#: Entries per generation of a worker's memory (about 220 bytes each), and the longest text remembered.
+#: Entries per generation of a worker's memory of chunks, half as many in those below it (about 220 bytes each), and the longest text remembered.
 REMEMBERED, LONGEST = 120_000, 48
 #: Stands for the rank of a pair that is no token.
 NO_RANK = 1 << 62
 #: Tokens that are joined at once at the lowest level of a decoding tree.
-DECODED_TOGETHER = 4096
+DECODED_TOGETHER = 256
 #: Runs without white space, each with the white space before it.  No match of the split
 #: pattern crosses the border between a character that is not white space and one that is.
 CHUNK = re.compile(r"\s*\S+|\s+")
 #: Python counts these as white space, the split pattern does not; texts with one are split in one go.
 ODD_SPACE = re.compile(r"[\x1c-\x1f]")
+#: Characters of a text that are taken apart at once, up to the next end of a chunk.
+SLICE, CHUNK_END = 1 << 16, re.compile(r"\S(?=\s)")
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -79,15 +81,15 @@ class Memory:
 class TreeBpe:
     """Encoder and decoder for one vocabulary and one split pattern."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, leaf: int = LEAF):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, leaf: int = LEAF, remembered: int = REMEMBERED):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.split = regex.compile(pattern)
         self.leaf = max(1, leaf)
-        self.chunk = Memory(self._chunk)
-        self.piece = Memory(self._piece)
-        self.leaves = Memory(self.merge)
-        self.pairs = Memory(self._pair)
+        self.chunk = Memory(self._chunk, remembered)
+        self.piece = Memory(self._piece, remembered // 2)
+        self.leaves = Memory(self.merge, remembered // 2)
+        self.pairs = Memory(self._pair, remembered // 2)
 
     # pieces
 
@@ -186,6 +188,15 @@ class TreeBpe:
         """The ids of a text as little-endian unsigned 32-bit integers."""
         if ODD_SPACE.search(text):
             return self._chunk(text)
+        out, start = [], 0
+        while start < len(text):
+            end = CHUNK_END.search(text, start + SLICE)
+            stop = end.end() if end else len(text)
+            out.append(self._chunks(text[start:stop]))
+            start = stop
+        return b"".join(out)
+
+    def _chunks(self, text: str) -> bytes:
         chunk, young = self.chunk, self.chunk.young
         out = []
         for part in CHUNK.findall(text):
@@ -197,14 +208,15 @@ class TreeBpe:
         return b"".join(out)
 
     def _chunk(self, chunk: str) -> bytes:
-        return b"".join([self.piece(m) for m in self.split.findall(chunk)])
+        matches = self.split.findall(chunk)
+        return self._piece(matches[0]) if len(matches) == 1 else b"".join([self.piece(m) for m in matches])
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes of the ids, concatenated pair by pair up a tree."""
-        numbers = np.frombuffer(ids, "<u4").tolist()
+        numbers = np.frombuffer(ids, "<u4")
         tokens = self.tokens
         level = [
-            b"".join([tokens[t] for t in numbers[i : i + DECODED_TOGETHER]])
+            b"".join([tokens[t] for t in numbers[i : i + DECODED_TOGETHER].tolist()])
             for i in range(0, len(numbers), DECODED_TOGETHER)
         ]
         while len(level) > 1:
@@ -213,9 +225,9 @@ class TreeBpe:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, pattern: str, leaf: int = LEAF) -> TreeBpe:
+def encoder(path: str, pattern: str, leaf: int = LEAF, remembered: int = REMEMBERED) -> TreeBpe:
     """One encoder per worker and vocabulary."""
-    return TreeBpe(load_ranks(path), pattern, leaf)
+    return TreeBpe(load_ranks(path), pattern, leaf, remembered)
 
 
 def forget() -> None:
@@ -236,27 +248,42 @@ def encode(
     32-bit integers.  NULL and empty texts have 0 tokens and empty ids; repeated rows
     are encoded each; further columns are not read.  release: tasks drop their memories when they end, for jobs that go on with other stages.
     """
+    return _encoded(docs, path, pattern, text, keep, leaf, release, False)
+
+
+def round_trip(
+    docs: DataFrame, path: str, pattern: str, text: str = "text", keep: list[str] | None = None, leaf: int = LEAF, release: bool = False, remembered: int = REMEMBERED
+) -> DataFrame:
+    """``encode`` and then ``decode`` of its ids in the same tasks, which need one vocabulary and one process for both: ``keep``, n_tokens, ids and decoded (binary).
+
+    remembered: entries of a worker's memory; fewer need more time.
+    """
+    return _encoded(docs, path, pattern, text, keep, leaf, release, True, remembered)
+
+
+def _encoded(docs: DataFrame, path: str, pattern: str, text: str, keep: list[str] | None, leaf: int, release: bool, back: bool, remembered: int = REMEMBERED) -> DataFrame:
     keep = ["doc_id"] if keep is None else keep
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_text"))
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
+    made = [pa.field("n_tokens", pa.int64()), pa.field("ids", pa.binary()), *([pa.field("decoded", pa.binary())] if back else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, out = encoder(path, pattern, leaf), None
+        bpe, out = encoder(path, pattern, leaf, remembered), None
         for batch in batches:
             if out is None:
-                fields = [batch.schema.field(c) for c in keep]
-                out = Batches(pa.schema([*fields, pa.field("n_tokens", pa.int64()), pa.field("ids", pa.binary())]))
+                out = Batches(pa.schema([*(batch.schema.field(c) for c in keep), *made]))
             kept = [batch.column(c) for c in keep]
             for i, value in enumerate(texts(batch, "_text")):
                 ids = bpe.encode(value) if value else b""
-                yield from out.add((*(c[i].as_py() for c in kept), len(ids) // 4, ids), len(ids) + 64)
+                again = (bpe.decode(ids),) if back else ()
+                yield from out.add((*(c[i].as_py() for c in kept), len(ids) // 4, ids, *again), len(ids) + sum(map(len, again)) + 64)
         if out is not None:
             yield from out.flush()
         if release:
             del bpe
             forget()
 
-    return rows.mapInArrow(run, f"{schema}, n_tokens long, ids binary")
+    return rows.mapInArrow(run, f"{schema}, n_tokens long, ids binary{', decoded binary' if back else ''}")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", keep: list[str] | None = None, release: bool = False) -> DataFrame:

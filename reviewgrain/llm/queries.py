@@ -49,10 +49,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids and their decoded bytes, as digests."""
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
-    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), path, pattern)
-    packed = encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "ids")
-    decoded = byte_bpe.decode(packed, path, pattern, keep=["doc_id", "n_tokens", "ids_sha256"])
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    both = byte_bpe.round_trip(table(spark, sf_dir, "documents"), path, pattern)
+    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 @query("op10_simhash_near_duplicates")

@@ -23,6 +23,7 @@ def test_trees_agree_with_the_library(library, leaf):
     bits = ["a", "b", "th", "e", " ", "  ", "\n", "\t", "é", "中", "文字", "😀", "1", "23", "!", "...", "'s", "'ll", "\xa0", "\x1c", "\r\n", "A", "ing", "\u3000"]
     texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 40))) for _ in range(1500)]
     texts += ["a" * 3001, "ab" * 1500 + "a", "中" * 999, "=" * 777, "".join(rng.choice("abcde") for _ in range(5000))]
+    texts += ["".join(rng.choice(["some", " words", "  ", "\n\n", "é", "!"]) for _ in range(60_000)), " " * 200_000, "x" * 70_000 + " \n y"]
     for text in texts:
         ids = bpe.encode(text)
         assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text), text[:80]
@@ -44,6 +45,10 @@ def test_odd_rows(spark, odd):
     back = byte_bpe.decode(spark.createDataFrame(rows), PATH, PATTERN).collect()
     assert sorted(bytes(r.decoded) for r in back) == sorted((r.text or "").encode() for r in odd.collect())
     assert byte_bpe.encode(odd.limit(0), PATH, PATTERN).count() == 0
+    both = byte_bpe.round_trip(odd, PATH, PATTERN, release=True).collect()
+    key = lambda r: (str(r.doc_id), bytes(r.ids))
+    assert sorted(map(key, both)) == sorted(map(key, rows)) and all(r.n_tokens * 4 == len(r.ids) for r in both)
+    assert sorted(bytes(r.decoded) for r in both) == sorted(bytes(r.decoded) for r in back)
 
 
 def test_query(spark, documents, library):
