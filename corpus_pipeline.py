@@ -16,6 +16,8 @@ from reviewgrain.llm.shared import importable, renamed, store
 #: A document this far from every profile (score: 1 less the distance's share of the largest) is in no known language.
 LEAST_SCORE = 0.25
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: The encoder's memory here, beside what executors hold from the stages before.
+REMEMBERED = 40_000
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,9 +61,8 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     importable(spark)
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
     wanted = docs.select("doc_id", "text", F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("_wanted"))
-    encoded = byte_bpe.encode(wanted, path, pattern, keep=["doc_id", "_wanted"], release=True)
-    decoded = byte_bpe.decode(encoded, path, pattern, keep=["doc_id", "_wanted", "n_tokens", "ids"], release=True)
-    return decoded.select("doc_id", "n_tokens", "ids", (F.sha2("decoded", 256) == F.col("_wanted")).alias("round_trip"))
+    both = byte_bpe.round_trip(wanted, path, pattern, keep=["doc_id", "_wanted"], release=True, remembered=REMEMBERED)
+    return both.select("doc_id", "n_tokens", "ids", (F.sha2("decoded", 256) == F.col("_wanted")).alias("round_trip"))
 
 
 STAGES = [
