@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registry.base import CTE_EMBEDDED, embedded, query, rounded, sql_tokens
+from registry.clusters import CTE_VECTORS, labelled
 from reviewgrain.functions.numeric import round_to
-from reviewgrain.operators import topics
+from reviewgrain.operators import density, topics
 
 
 def given(spark, sf):
@@ -50,6 +51,35 @@ def number_topics(spark, sf):
     return topics.number_topics(embedded(spark, sf).select("row_id", "product_category"), "product_category", 40)
 
 
+RADIUS, MIN_ROWS, MIN_SIZE = 1.12, 3, 5
+
+CTE_DENSITY = f"""{CTE_VECTORS.replace("WITH ", "WITH RECURSIVE ", 1)},
+near AS MATERIALIZED (SELECT a.row_id AS a, b.row_id AS b, list_distance(a.v, b.v) AS d FROM points a, points b WHERE list_distance(a.v, b.v) <= {RADIUS}),
+counts AS MATERIALIZED (SELECT a, count(*) AS n, count(*) >= {MIN_ROWS} AS core FROM near GROUP BY a),
+cores AS MATERIALIZED (SELECT a FROM counts WHERE core),
+edges AS MATERIALIZED (SELECT n.a, n.b FROM near n JOIN cores x ON x.a = n.a JOIN cores y ON y.a = n.b),
+reach(a, b) AS (SELECT a, a FROM cores UNION SELECT r.a, e.b FROM reach r JOIN edges e ON e.a = r.b),
+roots AS MATERIALIZED (SELECT a, min(b) AS root FROM reach GROUP BY a),
+border AS (SELECT n.a, arg_min(r.root, struct_pack(d := n.d, b := n.b)) AS root FROM near n JOIN roots r ON r.a = n.b WHERE n.a NOT IN (SELECT a FROM cores) GROUP BY n.a),
+density AS MATERIALIZED (SELECT p.row_id, c.n AS near, c.core, coalesce(r.root, b.root, -1) AS cluster FROM points p JOIN counts c ON c.a = p.row_id
+ LEFT JOIN roots r ON r.a = p.row_id LEFT JOIN border b ON b.a = p.row_id)"""
+
+
+@query("ml14_density_clusters", f"{CTE_DENSITY} SELECT row_id, near, core, cluster FROM density")
+def density_clusters(spark, sf):
+    return density.density_clusters(labelled(spark, sf).select("row_id", "embedding"), RADIUS, MIN_ROWS)
+
+
+@query(
+    "ml14_density_topics",
+    f"""{CTE_DENSITY}, sizes AS (SELECT cluster, count(*) AS n FROM density WHERE cluster <> -1 GROUP BY 1),
+numbers AS (SELECT cluster, CASE WHEN n < {MIN_SIZE} THEN -1 ELSE row_number() OVER (ORDER BY n DESC, cluster) - 1 END AS topic_id FROM sizes)
+SELECT row_id, coalesce(topic_id, -1) AS topic_id FROM density LEFT JOIN numbers USING (cluster)""",
+)
+def density_topics(spark, sf):
+    return topics.density_topics(labelled(spark, sf).select("row_id", "embedding"), RADIUS, MIN_ROWS, MIN_SIZE)
+
+
 @query("ml15_topic_terms", f"{CTE_TOPICS} SELECT topic_id, place, word, tf, {rounded('weight', 5)} AS weight FROM terms")
 def topic_terms(spark, sf):
     found = topics.top_terms(topics.term_weights(given(spark, sf)))

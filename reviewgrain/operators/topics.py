@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewgrain.functions import text, vectors
-from reviewgrain.operators.scaling import attach_derived, first_per_group
+from reviewgrain.operators import density
+from reviewgrain.operators.scaling import attach_derived, first_per_group, store
 from reviewgrain.operators.sentiment import word_rows
 
 OUTLIER = -1
@@ -60,6 +61,16 @@ def number_topics(
     return attach_derived(rows, numbers, [cluster], row_id, "inner").drop(cluster)
 
 
+def density_topics(
+    points: DataFrame, radius: float, min_rows: int = 5, min_size: int = 50, row_id: str = "row_id", vector: str = "embedding"
+) -> DataFrame:
+    """(row_id, topic_id): density clusters numbered by size; rows in none of them, or in one below ``min_size`` rows, are outliers."""
+    found = store(density.density_clusters(points, radius, min_rows, row_id, vector).select(row_id, "cluster"), "density-topics")
+    numbered = number_topics(found.where(F.col("cluster") != OUTLIER), "cluster", min_size, row_id)
+    outside = found.where(F.col("cluster") == OUTLIER).select(row_id, F.lit(OUTLIER).cast("long").alias("topic_id"))
+    return numbered.select(row_id, "topic_id").unionByName(outside)
+
+
 def save_model(model: KMeansModel, path: str) -> None:
     model.write().overwrite().save(path)
 
