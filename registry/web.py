@@ -38,8 +38,7 @@ def extract_pages(spark, sf):
 
 @query("wb1_extract_by_class", f"WITH {_sql_pages(AD, AD)} SELECT * FROM results")
 def extract_by_class(spark, sf):
-    pattern = pages.element_with_classes(["ad"])
-    return pages.extract_pages(table(spark, sf, "pages"), pattern, pattern)
+    return pages.extract_pages(table(spark, sf, "pages"), ["ad"], ["ad"])
 
 
 @query(
@@ -47,8 +46,7 @@ def extract_by_class(spark, sf):
     f"WITH {_sql_pages(AD, AD)} SELECT count(*) AS pages, count(*) FILTER (success) AS succeeded, count(*) FILTER (NOT success) AS failed FROM results",
 )
 def batch_results(spark, sf):
-    pattern = pages.element_with_classes(["ad"])
-    return pages.batch_counts(pages.extract_pages(table(spark, sf, "pages"), pattern, pattern))
+    return pages.batch_counts(pages.extract_pages(table(spark, sf, "pages"), ["ad"], ["ad"]))
 
 
 def _sql_classes(classes) -> str:
@@ -66,7 +64,18 @@ ARTICLE = r"(?s)<article>(.*?)</article>"
 def whole_element(spark, sf):
     """An element with headings, paragraphs and emphasis inside it, found by its class."""
     marked = table(spark, sf, "pages").withColumn("html", F.replace("html", F.lit("<article>"), F.lit('<article class="wide story">')))
-    return pages.extract_pages(marked, pages.element_with_classes(["story"]), RATING)
+    return pages.extract_pages(marked, ["story"], RATING)
+
+
+DEPTH = 50
+
+
+@query("wb1_deep_element", f"WITH {_sql_pages(ARTICLE, RATING)} SELECT * FROM results")
+def deep_element(spark, sf):
+    """The article in an element below which elements of the same name are nested many levels deep, with one more of the name after it."""
+    deep = '<div class="wide story">' + "<div>" * DEPTH
+    marked = F.replace(F.replace("html", F.lit("<article>"), F.lit(deep)), F.lit("</article>"), F.lit("</div>" * (DEPTH + 1) + "<div>after</div>"))
+    return pages.extract_pages(table(spark, sf, "pages").withColumn("html", marked), ["story"], RATING)
 
 
 @query(

@@ -66,12 +66,27 @@ def test_elements_end_at_their_own_end_tag(spark):
         "<p class='w-30 x'>" + "<i>a</i> " * 20000 + "7</p>",
     ]
     rows = spark.createDataFrame(list(enumerate(html)), "url int, html string")
-    pattern = pages.element_with_classes(["w-30"])
-    out = {r["url"]: r for r in pages.extract_pages(rows, pattern, pattern).collect()}
+    out = {r["url"]: r for r in pages.extract_pages(rows, ["w-30"], ["w-30"]).collect()}
     assert out[0]["title"] == "x y z 4" and out[0]["rating"] == 4
     assert out[1]["title"] in (None, "x y") and out[2]["rating"] is None and out[3]["rating"] == 7
 
 
+def test_elements_of_any_depth(spark):
+    html = [
+        "<div><div class='w-30'>" + "<div>a " * 50 + "</div>" * 50 + " 3</div> 8</div>",
+        "<DIV class='w-30'>" + "<div>b " * 50 + "</DIV >" * 49 + " 6",  # unclosed: all of the page
+        "<my-box class='w-30'><my>1</my><my-box-x>c</my-box-x></my-box>9",
+        "<div class='w-30'></div></div>2",
+        "<div class='w-3'>1</div>",
+        None,
+    ]
+    rows = spark.createDataFrame(list(enumerate(html)), "url int, html string")
+    inside = pages.inner_text(pages.element_with_classes(F.col("html"), ["w-30"]))
+    out = {r["url"]: r["t"] for r in rows.select("url", inside.alias("t")).collect()}
+    assert out[0] == "a " * 50 + " 3" and out[1] == "b " * 50 + " 6"
+    assert out[2] == "1c" and out[3] == "" and out[4] is None and out[5] is None
+
+
 def test_overall_score(spark):
     row = spark.sql("SELECT 0.0D AS s, 0.5D AS c, cast(null AS double) AS v")
     score = overall_score(F.col("s"), F.col("c"), F.col("v"))
