@@ -6,14 +6,16 @@ wherever a rule says "first".
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewgrain import lexicons as lx
 from reviewgrain.functions import dates, numeric, text
-from reviewgrain.operators.scaling import spread_join
+from reviewgrain.operators.scaling import importable, spread_join, store
 
 
 def present(df: DataFrame, columns: Sequence[str]) -> list[str]:
@@ -67,30 +69,62 @@ def merge_by_url(
     return filled.select(*df.columns)
 
 
-def exact_median(df: DataFrame, column: str, accuracy: int = 100_000) -> Column:
-    """Exact, interpolated median as a scalar sub-query, for columns with many values.
+#: Bits of a value that one round of the selection counts.
+RADIX = 16
 
-    A quantile sketch brackets the median; only the distinct values inside the
-    bracket, some 4 / accuracy of the rows, are put in order.
+
+def _ordered_keys(df: DataFrame, column: str) -> DataFrame:
+    """The known values as longs in the same order (``key``); -0 counts as 0, NaN as the greatest value."""
+    importable(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            value = batch.column("v").to_numpy(zero_copy_only=False).astype(np.float64) + 0.0
+            bits = np.where(np.isnan(value), np.nan, value).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(bits ^ ((bits >> 63) & np.iinfo(np.int64).max))], ["key"])
+
+    known = df.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL")
+    return known.mapInArrow(run, "key long")
+
+
+def _value_of(key: int) -> float:
+    bits = np.array([key], np.int64)
+    return float((bits ^ ((bits >> 63) & np.iinfo(np.int64).max)).view(np.float64)[0])
+
+
+def exact_median(df: DataFrame, column: str) -> Column:
+    """Exact, interpolated median as a literal (NULL without a known value), for columns with any number of values.
+
+    Radix selection on the bits of the values: every round counts the next RADIX bits of the values that share the bits found so far.  So there are
+    64 / RADIX rounds over the stored keys with at most 2 * 2**RADIX counters each, however the values lie, and no order of rows.
     """
-    value = F.col(column)
-    edge = 2.0 / accuracy
-    sketch = F.percentile_approx(column, [0.5 - edge, 0.5 + edge], accuracy)
-    known = df.select(column).where(value.isNotNull())
-    bounds = known.agg(F.count(F.lit(1)).alias("n"), sketch.alias("q"))
-    low = bounds.select(F.get("q", F.lit(0))).scalar()
-    high = bounds.select(F.get("q", F.lit(1))).scalar()
-    total = bounds.select("n").scalar()
-    below = known.where(value < low).agg(F.count(F.lit(1)).alias("n")).scalar()
-    inside = known.where(value.between(low, high)).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    upto = F.sum("_n").over(Window.orderBy(column))
-    ranked = inside.withColumn("_upto", upto + below).withColumn("_total", total)
-    rank = (F.col("_total") - 1) / 2
-    ends = ranked.agg(
-        F.min(F.when(F.col("_upto") > F.floor(rank), value)).alias("lower"),
-        F.min(F.when(F.col("_upto") > F.ceil(rank), value)).alias("upper"),
-    )
-    return ends.select(F.col("lower") + (F.col("upper") - F.col("lower")) * 0.5).scalar()
+    keys = store(_ordered_keys(df, column), "median-keys")
+    left: dict[int, int] = {}  # rank among all rows: rank among the values with its bits so far
+    prefix: dict[int, int] = {}
+    for shift in range(64 - RADIX, -1, -RADIX):
+        digit = F.shiftright("key", shift)
+        rows = keys
+        if prefix:
+            digit = digit.bitwiseAND(F.lit((1 << RADIX) - 1))
+            rows = keys.where(F.shiftright("key", shift + RADIX).isin(sorted(set(prefix.values()))))
+        above = F.shiftright("key", shift + RADIX) if prefix else F.lit(0).cast("long")
+        counts: dict[int, list] = {}
+        for r in rows.groupBy(above.alias("above"), digit.alias("digit")).agg(F.count(F.lit(1)).alias("n")).collect():
+            counts.setdefault(r["above"], []).append((r["digit"], r["n"]))
+        if not counts:
+            return F.lit(None).cast("double")
+        if not prefix:
+            total = sum(n for _, n in counts[0])
+            left = {rank: rank for rank in ((total - 1) // 2, total // 2)}
+        for rank in left:
+            for value, n in sorted(counts[prefix.get(rank, 0)]):
+                if left[rank] < n:
+                    prefix[rank] = (prefix[rank] << RADIX) | value if rank in prefix else value
+                    break
+                left[rank] -= n
+    ends = [_value_of(key) for key in prefix.values()]
+    lower, upper = min(ends), max(ends)
+    return F.lit(lower if lower == upper else lower + (upper - lower) * 0.5)
 
 
 def fill_rating_median(df: DataFrame, column: str = "rating", many_values: bool = False) -> DataFrame:

@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import statistics
 
 import pytest
@@ -80,12 +81,23 @@ def test_median_interpolates(spark):
     assert cleaning.fill_rating_median(rows).where("i = 3").first()["rating"] == 2.5
 
 
-@pytest.mark.parametrize("values", [[3.0], [1.0, 4.0], [5.0] * 7 + [1.0], [float(x * 7 % 1001) for x in range(1001)], [0.5, 0.5, 2.5, 9.0]])
-def test_sorted_median_is_exact(spark, values):
+@pytest.mark.parametrize(
+    "values",
+    [
+        [3.0], [1.0, 4.0], [5.0] * 7 + [1.0], [float(x * 7 % 1001) for x in range(1001)], [0.5, 0.5, 2.5, 9.0],
+        [-2.5, -1.0, 0.0, 3.0], [-0.0, 0.0, -0.0], [1.0, math.nextafter(1.0, 2.0), 1.0, math.nextafter(1.0, 0.0)], [7.25] * 999,
+        [-1e308, -5e-324, 5e-324, 1e308, 2e-308], [2.0**-i for i in range(60)], [float("inf"), 1.0, float("-inf")],
+    ],
+)
+def test_selected_median_is_exact(spark, values):
     rows = spark.createDataFrame([(v,) for v in values] + [(None,)], "rating double")
-    for accuracy in (10, 1000):
-        got = spark.range(1).select(cleaning.exact_median(rows, "rating", accuracy)).first()[0]
-        assert got == statistics.median(values)
+    got = spark.range(1).select(cleaning.exact_median(rows, "rating")).first()[0]
+    assert got == statistics.median(values)
+
+
+def test_median_of_nothing(spark):
+    rows = spark.createDataFrame([(None,)], "rating double")
+    assert cleaning.fill_rating_median(rows, many_values=True).first()["rating"] is None
 
 
 def test_product_ids(column_of):
