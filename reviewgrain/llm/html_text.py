@@ -4,9 +4,10 @@ A page is cut into leaf blocks: texts between tags of block elements.  Each bloc
 tag path (element names, classes, ids, roles), its hashed words and a few shares.  A bidirectional LSTM in numpy reads
 the blocks of a page in both directions and decides about each one with the whole page as context.
 
-The net is trained here, on at most TRAIN_PAGES pages: their own blocks, labelled by the names of their containers, and pages put
-together anew from their texts with other containers, so that it learns the usual names of content and
-of boilerplate besides those of the given pages.
+The net is trained here, on at most TRAIN_PAGES pages: their own blocks, labelled by the names of their containers where a name tells, and pages
+put together anew from their texts.  Half of these have other usual names of content and of boilerplate; the other half have
+containers without a telling name (body, div, td, names without a meaning), so that length, links, position, words and
+neighbours must decide.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 from reviewgrain.llm.shared import Batches, bounded_sample, texts
 
 #: Pages used for training at most, composed pages, passes over them, and the width of the net in each direction.
-TRAIN_PAGES, COMPOSED_PAGES, EPOCHS, WIDTH = 256, 1792, 16, 16
-PATH_SIZE, WORD_SIZE = 64, 16
+TRAIN_PAGES, COMPOSED_PAGES, EPOCHS, WIDTH = 256, 2048, 16, 16
+PATH_SIZE, WORD_SIZE = 64, 32
 #: Pages that the net reads at once.
 READ_AT_ONCE = 256
 SEED = 11
@@ -57,6 +58,12 @@ MARKUP = re.compile(
     re.S | re.I,
 )
 NAMED = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
+#: Words of notices, in the languages that pages often have them in.
+STOCK_WORDS = re.compile(
+    r"©|\(c\)|\b(?:copyright|rights reserved|cookies?|privacy|terms of|newsletter|subscribe|sign up|log ?in|register|advertisement|sponsored|"
+    r"powered by|impressum|datenschutz|mentions légales|confidentialité|privacidad|derechos reservados|alle rechte|tous droits)\b",
+    re.I,
+)
 PIECES = re.compile(r"[A-Za-z][a-z]+|[A-Z]+|[a-z]")
 
 
@@ -150,7 +157,7 @@ def names_of(element: tuple[str, str]) -> list[str]:
 class Vectors:
     """Turns blocks into vectors; remembers paths and words."""
 
-    size = PATH_SIZE + WORD_SIZE + 8
+    size = PATH_SIZE + 1 + WORD_SIZE + 9
 
     def __init__(self, remembered: int = 200_000):
         self.paths: dict[tuple, np.ndarray] = {}
@@ -162,7 +169,9 @@ class Vectors:
         if found is None:
             if len(self.paths) >= self.remembered // 20:
                 self.paths.clear()
-            found = np.zeros(PATH_SIZE, np.float32)
+            found = np.zeros(PATH_SIZE + 1, np.float32)
+            told = told_by_name(path)
+            found[PATH_SIZE] = 0 if np.isnan(told) else 2 * told - 1
             for up, element in enumerate(reversed(path)):
                 for name in names_of(element):
                     for salt in ("a", "b") if up else ("a", "b", "leaf"):
@@ -176,7 +185,7 @@ class Vectors:
         codes, counts = [], []
         words = self.words
         for i, block in enumerate(blocks):
-            out[i, :PATH_SIZE] = self.path(block.path)
+            out[i, : PATH_SIZE + 1] = self.path(block.path)
             found = block.text.split()
             counts.append(len(found))
             for word in found:
@@ -188,8 +197,9 @@ class Vectors:
                 codes.append(code)
             n = len(block.text)
             ends = block.text[-1] in ".!?:;\"'”»"
-            out[i, -8:] = (
-                np.log1p(len(found)) / 3, np.log1p(n) / 5, block.linked, block.text.count(",") / (len(found) + 1),
+            stock = len(STOCK_WORDS.findall(block.text))
+            out[i, -9:] = (
+                stock / (len(found) + 1) ** 0.5, np.log1p(len(found)) / 3, np.log1p(n) / 5, block.linked, block.text.count(",") / (len(found) + 1),
                 ends, len(block.path) / 8, i / max(1, len(blocks) - 1), 1.0,
             )
         if codes:
@@ -197,7 +207,7 @@ class Vectors:
             code = np.array(codes)
             signs = np.where(code & 1, 1.0, -1.0)
             sums = np.bincount(row * WORD_SIZE + (code >> 1), signs, len(blocks) * WORD_SIZE).reshape(-1, WORD_SIZE)
-            out[:, PATH_SIZE : PATH_SIZE + WORD_SIZE] = sums / np.sqrt(np.maximum(counts, 1))[:, None]
+            out[:, PATH_SIZE + 1 : PATH_SIZE + 1 + WORD_SIZE] = np.clip(sums / np.sqrt(np.maximum(counts, 1))[:, None], -3, 3)
         return out
 
 
@@ -281,7 +291,7 @@ class Labeller:
         return [found[: len(p), i] for i, p in enumerate(pages)]
 
     def train(self, pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = EPOCHS, seed: int = SEED, rate: float = 0.01) -> None:
-        """Adam on the cross entropy, pages of similar length together."""
+        """Adam on the cross entropy, pages of similar length together; blocks labelled NaN are read but teach nothing."""
         rng = np.random.default_rng(seed)
         weights = [self.ahead.w, self.ahead.b, self.back.w, self.back.b, self.out, self.bias]
         first, second, step = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights], 0
@@ -296,7 +306,8 @@ class Labeller:
                 a, memory_a = self.ahead.forward(ahead, True)
                 b, memory_b = self.back.forward(back, True)
                 both = np.concatenate((a, self._turned(b, lengths)), axis=2)
-                error = (_sigmoid(both @ self.out + self.bias) - wanted) * mask[:, :, 0] / mask.sum()
+                taught = mask[:, :, 0] * ~np.isnan(wanted)
+                error = (_sigmoid(both @ self.out + self.bias) - np.nan_to_num(wanted)) * taught / max(1.0, taught.sum())
                 states = error[:, :, None] * self.out
                 k = self.ahead.width
                 grads = [
@@ -354,15 +365,15 @@ def _marked(box: str, mark: str) -> str:
     return re.sub(r"<(\w+)", rf"<\1{mark}", box, count=1)
 
 
-def kept_by_name(block: Part) -> bool:
-    """The weak label of a given page's block: the innermost telling name among its containers."""
-    for element in reversed(block.path):
+def told_by_name(path: tuple) -> float:
+    """The weak label of a given page's block: the innermost telling name among its containers, NaN if none tells."""
+    for element in reversed(path):
         names = set(names_of(element))
         if names & OTHER_NAMES:
-            return False
+            return 0.0
         if names & CONTENT_NAMES:
-            return True
-    return False
+            return 1.0
+    return np.nan
 
 
 def compose(rng, content: list[str], other: list[str], short: list[str]) -> str:
@@ -405,6 +416,75 @@ def compose(rng, content: list[str], other: list[str], short: list[str]) -> str:
     return f"<html><head><title>{pick(short)}</title></head><body>{page}</body></html>"
 
 
+STOCK = (
+    "Copyright {year} {name}", "© {year} {name}. All rights reserved.", "(c) {year} {name}", "All rights reserved", "Terms of use", "Privacy policy", "{name} © {year}",
+    "We use cookies to improve this site. Accept or read our cookie policy.", "This website uses cookies.", "Subscribe to our newsletter", "Sign up for free updates by email",
+    "Log in or register", "Share this page", "Follow us", "Powered by {name}", "Contact us at info@example.org", "Advertisement", "Sponsored: buy now at {name}",
+    "You may also like", "Skip to content", "Back to top", "Leave a comment", "Filed under {name}", "Order today and save 20 %", "Designed by {name}",
+)
+PLAIN_BOXES = ("div", "div", "div", "div", "span><div", "section", "table><tr><td", "table><tr><td", "center", "td", "ul><li", "font><div")
+
+
+def compose_plain(rng, content: list[str], other: list[str], short: list[str]) -> str:
+    """A page from given texts whose containers have no telling names: bare elements, or names without a meaning."""
+    pick = lambda values: values[rng.integers(len(values))]
+
+    def name() -> str:
+        made = "".join(pick("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.integers(1, 7)))
+        return made + pick(("", "", "-", "_")) + (str(rng.integers(100)) if rng.random() < 0.5 else "")
+
+    def named() -> str:
+        form = rng.random()
+        return "" if form < 0.4 else f' id="{name()}"' if form < 0.5 else f' class="{" ".join(name() for _ in range(rng.integers(1, 4)))}"'
+
+    def boxed(inner: str, mark: str, tag: str | None = None) -> str:
+        box = f"<{tag or pick(PLAIN_BOXES)}>"
+        own = re.sub(r"<(\w+)>", lambda m: f"<{m[1]}{named()}>", box)
+        return _marked(own, mark) + inner + _end(box)
+
+    def stock() -> str:
+        return pick(STOCK).format(year=rng.integers(1995, 2030), name=pick(short)) if rng.random() < 0.85 else pick(other)
+
+    def boilerplate() -> str:
+        form = rng.random()
+        if form < 0.55:
+            joint = pick(("", " ", " | ", " · ", "</li><li>", "</p><p>", "</div><div>", "<br>"))
+            links = joint.join(f'<a href="/x">{pick(short)}</a>' for _ in range(rng.integers(1, 10)))
+            if joint.startswith("</"):
+                links = f"<{joint[2:].split('>')[0]}>{links}{joint.split('<')[1].join(('<', ''))}"
+                links = f"<ul>{links}</ul>" if "<li>" in links and rng.random() < 0.7 else links
+            return boxed(links, DROP)
+        if form < 0.9:
+            return boxed("".join(f"<p>{stock()}</p>" for _ in range(rng.integers(1, 3))) if rng.random() < 0.4 else stock(), DROP)
+        return boxed(f'<form><label>{pick(short)}</label><input><button>{pick(short)}</button></form>', DROP)
+
+    some = lambda low, high: "".join(boilerplate() for _ in range(rng.integers(low, high)))
+    body = f"<h1>{pick(short)} {pick(content)[:60]}</h1>" if rng.random() < 0.7 else ""
+    form, long = rng.random(), [c for c in content if len(c) >= 40] or content
+    for _ in range(rng.integers(1, 14)):
+        text = pick(long) if rng.random() < 0.85 else pick(content)
+        text = f'{text} <a href="/x">{pick(short)}</a> {pick(content)}' if rng.random() < 0.1 else text
+        if form < 0.55:
+            tag = pick(("p", "p", "p", "p", "p", "p", "h2", "h3", "blockquote", "pre"))
+            body += f"<{tag}>{text[:80] if tag[0] == 'h' else text}</{tag}>" if rng.random() < 0.93 else f"<ul><li>{text}</li><li>{pick(content)}</li></ul>"
+        elif form < 0.7:
+            body += f"{text}<br>{'<br>' if rng.random() < 0.5 else ''}"
+        elif form < 0.85:
+            body += f"<div>{text}</div>" if rng.random() < 0.8 else f"<p>{text}</p>"
+        else:
+            body += f"<div{named()}>{text}<br>{pick(content)}</div><p>{pick(long)}</p>"
+        if rng.random() < 0.05:
+            body += boilerplate()
+    place = rng.random()
+    lead, tail = some(0, 4), some(0, 4)
+    if place < 0.3:
+        return f"<html><head><title>{pick(short)}</title></head><body{KEEP}>{lead}{body}{tail}</body></html>"
+    page = lead + boxed(body, KEEP, pick(("div", "div", "div", "table><tr><td", "div><div", "section"))) + tail
+    if rng.random() < 0.4:
+        page = f"<div{named()}>{page}</div>"
+    return f"<html><head><title>{pick(short)}</title></head><body>{page}</body></html>"
+
+
 def kept_by_mark(block: Part) -> bool:
     for _, rest in reversed(block.path):
         if "data-keep" in rest:
@@ -418,20 +498,22 @@ def fit(pages: DataFrame, html: str = "html", id: str = "page_id", train_pages:
     sample = pages.select(key.alias("id"), F.col(f"`{html}`").alias("html")).where("html IS NOT NULL")
     rows = [r[0] for r in bounded_sample(sample, F.xxhash64("id", "html"), train_pages, pages.count()).select("html").collect()]
     cut = [p for p in map(parts, rows) if p]
-    own = [np.array([kept_by_name(b) for b in p], np.float32) for p in cut]
+    own = [np.array([told_by_name(b.path) for b in p], np.float32) for p in cut]
     quoted = lambda values: [entities.escape(v, quote=False) for v in values]
-    content = quoted(b.text for p, y in zip(cut, own, strict=True) for b, k in zip(p, y, strict=True) if k) or ["Some words about something."]
-    rest = quoted(b.text for p, y in zip(cut, own, strict=True) for b, k in zip(p, y, strict=True) if not k)
+    told = [(b, k) for p, y in zip(cut, own, strict=True) for b, k in zip(p, y, strict=True)]
+    content = quoted(b.text for b, k in told if k == 1) or quoted(b.text for b, k in told if not k == 0 and not b.linked and len(b.text) >= 80)
+    content = content or ["Some words about something that goes on for a line, and more of it."]
+    rest = quoted(b.text for b, k in told if k == 0)
     short = [t for t in rest if len(t) < 40] or ["More"]
     other = [t for t in rest if len(t) >= 15] or ["All rights reserved."]
     rng = np.random.default_rng(SEED)
-    made = [parts(compose(rng, content, other, short)) for _ in range(composed)]
+    made = [parts((compose_plain if i % 2 else compose)(rng, content, other, short)) for i in range(composed)]
     made = [p for p in made if p]
     vectors = Vectors()
     labels = own + [np.array([kept_by_mark(b) for b in p], np.float32) for p in made]
     net = Labeller(Vectors.size)
     vectors_of = [vectors.page(p) for p in (*cut, *made)]
-    net.train([*vectors_of, *vectors_of[: len(cut)]], [*labels, *own])  # given pages count twice
+    net.train([*vectors_of, *vectors_of[: len(cut)] * 4], [*labels, *own * 4])  # given pages count five times
     return net
 
 

@@ -70,6 +70,48 @@ def test_composed_pages(net):
     assert wrong <= 0.06 * total
 
 
+def kept(net, page):
+    cut = html_text.parts(page)
+    return [b.text for b, p in zip(cut, net.scores([html_text.Vectors().page(cut)])[0], strict=True) if p >= 0.5]
+
+
+def test_pages_without_telling_names(net):
+    river = lambda n: [f"The river {i} rises in the hills, runs past old mills and meets the sea near a small town." for i in range(n)]
+    block = lambda n: "".join(f"<p>{t}</p>" for t in river(n))
+    title, links, notice = "The river of the north", '<a href="/a">Home</a> <a href="/b">About</a> <a href="/c">News</a>', "Copyright 2021 The River Company"
+    for n in (3, 6, 12):
+        whole = [title, *river(n)]
+        assert kept(net, f"<body>{block(n)}</body>") == river(n)
+        assert kept(net, f"<body><h1>{title}</h1>{block(n)}</body>") == whole
+        assert kept(net, f'<body><div class="js-r7 col-8"><h1>{title}</h1>{block(n)}</div></body>') == whole
+        assert kept(net, f'<div class="x1">{links}</div><div class="x2"><h1>{title}</h1>{block(n)}</div><div class="x3">{notice}</div>') == whole
+    first = "The first words of the text, which goes on for a while here.<br>The second line of it, also long enough to read."
+    assert len(kept(net, f"<body><div>{first}</div><p>The third part of the text is a paragraph of its own.</p></body>")) == 2
+
+
+def test_structures_that_training_never_sees(net):
+    """Containers, texts and notices that no training page has: precision and recall of blocks."""
+    rng = np.random.default_rng(3)
+    pick = lambda values: values[rng.integers(len(values))]
+    nouns, verbs = "harbour winter engine violin orchard parliament glacier market kettle lantern".split(), "carries remembers follows opens leaves measures".split()
+    sentence = lambda: f"The {pick(nouns)} {pick(verbs)} the {pick(nouns)}, while a {pick(nouns)} {pick(verbs)} another {pick(nouns)}."
+    text = lambda: " ".join(sentence() for _ in range(rng.integers(1, 5)))
+    right = found = wanted = 0
+    for _ in range(200):
+        body = [text() for _ in range(rng.integers(3, 15))]
+        links = "".join(f'<dd><a href="/{pick(nouns)}">{pick(nouns)}</a></dd>' for _ in range(rng.integers(3, 8)))
+        notice = pick((f"© {rng.integers(1990, 2030)} {pick(nouns)} works", "All rights reserved.", "Read our privacy policy.", "Log in or register here"))
+        form = rng.integers(3)
+        inner = "".join(f"<p>{t}</p>" for t in body) if form else "".join(f'<div class="ln">{t}</div>' for t in body)
+        page = (
+            f'<table id="q0"><tr><td class="zz"><dl>{links}</dl></td><td class="yy">{inner}</td></tr></table><center>{notice}</center>' if form == 1
+            else f'<div id="root"><div class="css-1x9"><dl>{links}</dl></div><div class="css-8hh"><div>{inner}</div></div><div class="css-0a">{notice}</div></div>'
+        )
+        got = kept(net, page)
+        right, found, wanted = right + len(set(got) & set(body)), found + len(set(got)), wanted + len(set(body))
+    assert right >= 0.95 * found and right >= 0.95 * wanted, (right, found, wanted)
+
+
 def test_odd_rows(spark, net):
     rows = [(1, "u", None, "x"), (None, None, "", "x"), (2, "u", "<p", "x"), (3, "u", "a" * 100_000, "x"), (3, "u", "a" * 100_000, "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
