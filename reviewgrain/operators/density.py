@@ -3,9 +3,11 @@
 A row is a core row if at least ``min_rows`` rows, itself included, lie within ``radius`` of it.  Core rows within ``radius`` of each other are in one cluster; any
 other row within ``radius`` of a core row joins the nearest one's cluster (ties: the smaller id); the rest are outliers.
 
-Equal vectors become one weighted point.  Points lie in the cells of pivots, a bounded sample; a point visits every cell that can hold a neighbour by the triangle
-inequality.  Visitors and members of a cell meet as tiles, by matrix products, and only counts, nearest core points and the edges of a spanning forest leave a
-tile, never pairs.  Forests are contracted to components in rounds.
+Equal vectors become one weighted point.  A point lies in the cell of its nearest pivot, one of a bounded sample, and points that follow each other in a cell make a
+tile.  By the triangle inequality a tile knows the cells and distances from their pivots where its points can have neighbours; so tiles that can't hold neighbours
+never meet.  Tiles meet by blocks, each two once, by matrix products, and only counts, nearest core points and the edges of a spanning forest leave two blocks, never
+pairs.  Where nothing can be ruled out, as with vectors of many dimensions and a wide radius, that is all pairs, with the memory of two blocks in a task.
+Forests are contracted to components in rounds.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +29,14 @@ from reviewgrain.operators.silhouettes import distances
 
 #: Pivots at most; so many vectors are sent to the tasks.
 PIVOTS = 1024
-#: Rows and bytes of a tile, and member tiles of a cell that a visiting tile meets in one task.
-TILE_ROWS, TILE_BYTES, TOGETHER = 512, 1 << 20, 8
+#: Rows and bytes of a tile; tiles of a block, as a power of two; pairs of blocks that a task compares, and tasks at most.
+TILE_ROWS, TILE_BYTES, BLOCK, TOGETHER, TASKS = 512, 1 << 20, 3, 8, 2000
+#: Copies of a block, so that those it meets are in several tasks.
+SLICES = 4
 #: Bounds on cells give way by this share; the comparison with ``radius`` itself is exact.
 SLACK = 1e-9
 
-TILE = "cell int, low double, high double, d long, ids binary, weights binary, cores binary, x binary"
+TILE = "cell int, low double, high double, d long, ids binary, weights binary, cores binary, x binary, cells array<int>, lows array<double>, highs array<double>"
 
 
 def _points(rows: DataFrame) -> DataFrame:
@@ -46,33 +51,32 @@ def _pivots(points: DataFrame, most: int | None) -> np.ndarray:
     return np.array([r["v"] for r in chosen], np.float64)
 
 
-def _places(points: DataFrame, pivots: np.ndarray, radius: float) -> DataFrame:
-    """A row for every cell that a point visits: point, weight, v, cell, ring (the distance from its pivot), home (its own cell)."""
-    reach = 2 * radius
+def _places(points: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """Every point in its own cell: point, weight, v, cell, ring (the distance from its pivot)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = np.array(batch.column("v").to_pylist(), np.float64).reshape(batch.num_rows, -1)
-            if not len(x):
-                continue
-            away = distances(x, pivots)
-            home = away.argmin(axis=1)
-            nearest = away.min(axis=1)[:, None]
-            # a neighbour in another cell is nearer to that pivot than to this one, and no farther than radius
-            i, cell = np.nonzero(away <= nearest + reach + SLACK * (1 + away))
-            names = ["point", "weight", "v"]
-            taken = [batch.column(c).take(pa.array(i)) for c in names]
-            yield pa.RecordBatch.from_arrays([*taken, pa.array(cell.astype(np.int32)), pa.array(away[i, cell]), pa.array(home[i] == cell)], [*names, "cell", "ring", "home"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, TILE_ROWS):
+                batch = whole.slice(at, TILE_ROWS)
+                away = distances(np.array(batch.column("v").to_pylist(), np.float64).reshape(batch.num_rows, -1), pivots)
+                names = ["point", "weight", "v"]
+                home = pa.array(away.argmin(axis=1).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), home, pa.array(away.min(axis=1))], [*names, "cell", "ring"])
 
     kind = points.schema["point"].dataType.simpleString()
-    placed = points.select("point", "weight", "v").mapInArrow(run, f"point {kind}, weight long, v array<double>, cell int, ring double, home boolean")
+    placed = points.select("point", "weight", "v").mapInArrow(run, f"point {kind}, weight long, v array<double>, cell int, ring double")
     return store(placed, "density-places")
 
 
-def _tiles(placed: DataFrame) -> DataFrame:
-    """Tiles of rows (point, weight, core, v, cell, ring), by cell and ring; a range of both per task, so a large cell has many."""
+def _tiles(placed: DataFrame, pivots: np.ndarray, radius: float) -> DataFrame:
+    """Stored tiles of rows (point, weight, core, v, cell, ring), by cell and ring; a range of both per task, so a large cell has many.
+
+    cells, lows and highs: the cells that can hold a neighbour of any of the tile's points, and between which distances from their pivots these points are.
+    """
+    reach = 2 * radius
     schema = pa.schema(
-        [("cell", pa.int32()), ("low", pa.float64()), ("high", pa.float64()), ("d", pa.int64()), *((c, pa.binary()) for c in ("ids", "weights", "cores", "x"))]
+        [("cell", pa.int32()), ("low", pa.float64()), ("high", pa.float64()), ("d", pa.int64()), *((c, pa.binary()) for c in ("ids", "weights", "cores", "x")),
+         ("cells", pa.list_(pa.int32())), ("lows", pa.list_(pa.float64())), ("highs", pa.list_(pa.float64()))]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,8 +84,14 @@ def _tiles(placed: DataFrame) -> DataFrame:
 
         def tile() -> pa.RecordBatch:
             cells, rings, ids, weights, cores, x = zip(*rows, strict=True)
-            packed = [np.array(v, t).tobytes() for v, t in ((ids, "<i8"), (weights, "<i8"), (cores, "?"), (x, "<f8"))]
-            values = [cells[0], min(rings), max(rings), len(x[0]), *packed]
+            x = np.array(x, "<f8")
+            away = distances(x, pivots)
+            # a neighbour in another cell is nearer to that pivot than to this one, and no farther than radius
+            may = away <= away.min(axis=1)[:, None] + reach + SLACK * (1 + away)
+            visited = np.flatnonzero(may.any(axis=0))
+            lows, highs = np.where(may, away, np.inf).min(axis=0)[visited], np.where(may, away, -np.inf).max(axis=0)[visited]
+            packed = [np.array(v, t).tobytes() for v, t in ((ids, "<i8"), (weights, "<i8"), (cores, "?"))]
+            values = [cells[0], min(rings), max(rings), x.shape[1], *packed, x.tobytes(), visited.tolist(), lows.tolist(), highs.tolist()]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
 
         for batch in batches:
@@ -94,40 +104,73 @@ def _tiles(placed: DataFrame) -> DataFrame:
             yield tile()
 
     spread = placed.repartitionByRange("cell", "ring", "point").sortWithinPartitions("cell", "ring", "point")
-    return spread.select("cell", "ring", "point", "weight", "core", "v").mapInArrow(run, TILE)
-
-
-def _meetings(placed: DataFrame, radius: float) -> DataFrame:
-    """Visiting tiles beside the member tiles of their cell whose rings are near enough; columns of members end in 2."""
-    visitors = _tiles(placed)
-    members = store(_tiles(placed.where("home")).withColumn("number", F.monotonically_increasing_id()), "density-members")
-    parcels = members.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / TOGETHER).cast("int").alias("parcels"))  # a row per pivot
-    right = members.join(parcels, "cell").withColumn("parcel", F.pmod(F.xxhash64("number"), F.col("parcels")).cast("int"))
-    right = right.select("cell", "parcel", *[F.col(c).alias(f"{c}2") for c in ("low", "high", "ids", "weights", "cores", "x")])
-    left = visitors.join(parcels, "cell").withColumn("parcel", F.explode(F.sequence(F.lit(0), F.col("parcels") - 1)))
-    width = F.lit(radius) + SLACK * (1 + F.col("high") + F.col("high2"))
-    near = (F.col("low") <= F.col("high2") + width) & (F.col("low2") <= F.col("high") + width)
-    return left.join(right, ["cell", "parcel"]).where(near)
-
-
-def _pairs(batch: pa.RecordBatch) -> Iterator[tuple]:
-    """Per meeting: ids, weights and core flags of both sides and their distances."""
+    made = spread.select("cell", "ring", "point", "weight", "core", "v").mapInArrow(run, TILE)
+    return store(made.withColumn("tile", F.monotonically_increasing_id()), "density-tiles")
+
+
+def _meetings(placed: DataFrame, pivots: np.ndarray, radius: float) -> DataFrame:
+    """Pairs of blocks, each once: tiles, tiles2 (arrays of tiles) and pairs (a, b) of places in them whose rings are near enough."""
+    tiles = _tiles(placed, pivots, radius).withColumn("block", F.shiftright("tile", BLOCK)).withColumn("place", F.col("tile").bitwiseAND((1 << BLOCK) - 1).cast("int"))
+    visits = tiles.select("tile", "block", "place", F.explode(F.arrays_zip("cells", "lows", "highs")).alias("v")).select("tile", "block", "place", F.col("v.cells").alias("cell"), "v.lows", "v.highs")
+    members = tiles.select("cell", *[F.col(c).alias(f"{c}2") for c in ("tile", "block", "place", "low", "high")])
+    width = F.lit(radius) + SLACK * (1 + F.col("highs") + F.col("high2"))
+    near = (F.col("lows") <= F.col("high2") + width) & (F.col("low2") <= F.col("highs") + width)
+    # neighbours visit each other, so one of the two directions is enough; which one is by chance, so that every block has as many
+    forth = F.pmod(F.xxhash64(F.least("block", "block2"), F.greatest("block", "block2")), F.lit(2)) == 0
+    once = F.when(F.col("block") == F.col("block2"), F.col("tile") <= F.col("tile2")).otherwise((F.col("block") < F.col("block2")) == forth)
+    found = visits.join(members, "cell").where(near & once).groupBy("block", "block2").agg(F.collect_list(F.struct(F.col("place").alias("a"), F.col("place2").alias("b"))).alias("pairs"))
+    found = store(found.withColumn("slice", F.pmod(F.xxhash64("block"), F.lit(SLICES)).cast("int")), "density-meetings")
+    blocks = tiles.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("place", "d", "ids", "weights", "cores", "x"))).alias("tiles"))
+    blocks = store(blocks, "density-blocks")  # of 2^BLOCK tiles at most
+    cores = placed.sparkSession.sparkContext.defaultParallelism
+    tasks = max(3 * cores, min(TASKS, found.count() // TOGETHER))
+    left = found.join(blocks, "block").repartition(tasks, "block2", "slice")
+    right = blocks.select(F.col("block").alias("block2"), F.col("tiles").alias("tiles2"), F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))).alias("slice")).repartition(tasks, "block2", "slice")
+    return left.join(right.hint("merge"), ["block2", "slice"]).select((F.col("block") == F.col("block2")).alias("own"), "tiles", "tiles2", "pairs")
+
+
+class _Block(NamedTuple):
+    """A block's tiles behind each other: where each place begins and ends, and the values of all rows."""
+
+    ranges: dict[int, slice]
+    ids: np.ndarray
+    weights: np.ndarray
+    cores: np.ndarray
+    x: np.ndarray
+
+
+def _block(tiles: list[dict]) -> _Block:
+    all_of = lambda name, kind: np.concatenate([np.frombuffer(t[name], kind) for t in tiles])
+    ids = all_of("ids", "<i8")
+    ends = np.cumsum([len(t["ids"]) // 8 for t in tiles]).tolist()
+    ranges = {t["place"]: slice(a, b) for t, a, b in zip(tiles, [0, *ends], ends, strict=False)}
+    return _Block(ranges, ids, all_of("weights", "<i8"), all_of("cores", "?"), all_of("x", "<f8").reshape(len(ids), -1))
+
+
+def _met(batch: pa.RecordBatch) -> Iterator[tuple[bool, _Block, _Block, list[tuple[slice, slice]]]]:
+    """Per meeting: whether a block meets itself, both blocks and the rows of the tiles that meet."""
     for i in range(batch.num_rows):
-        read = lambda name, kind: np.frombuffer(batch.column(name)[i].as_buffer(), kind)  # noqa: B023, E731
-        d = batch.column("d")[i].as_py()
-        away = distances(read("x", "<f8").reshape(-1, d), read("x2", "<f8").reshape(-1, d))
-        yield read("ids", "<i8"), read("ids2", "<i8"), read("weights2", "<i8"), read("cores", "?"), read("cores2", "?"), away
+        one, two = _block(batch.column("tiles")[i].as_py()), _block(batch.column("tiles2")[i].as_py())
+        yield batch.column("own")[i].as_py(), one, two, [(one.ranges[p["a"]], two.ranges[p["b"]]) for p in batch.column("pairs")[i].as_py()]
 
 
-def _near_counts(placed: DataFrame, radius: float) -> DataFrame:
+def _near_counts(meetings: DataFrame, radius: float) -> DataFrame:
     """point, near: the rows within ``radius``, itself and its copies included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, _, weights, _, _, away in _pairs(batch):
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(((away <= radius) * weights).sum(axis=1))], ["point", "near"])
+            for own, one, two, pairs in _met(batch):
+                near, near2 = np.zeros(len(one.ids), np.int64), np.zeros(len(two.ids), np.int64)
+                for a, b in pairs:
+                    close = distances(one.x[a], two.x[b]) <= radius
+                    near[a] += (close * two.weights[b]).sum(axis=1)
+                    if not own or a != b:
+                        near2[b] += (close * one.weights[a][:, None]).sum(axis=0)
+                ids, counts = np.concatenate([one.ids, two.ids]), np.concatenate([near, near2])
+                some = counts > 0
+                yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(counts[some])], ["point", "near"])
 
-    return _meetings(placed, radius).mapInArrow(run, "point long, near long").groupBy("point").agg(F.sum("near").alias("near"))
+    return meetings.mapInArrow(run, "point long, near long").groupBy("point").agg(F.sum("near").alias("near"))
 
 
 def _forest(close: np.ndarray) -> tuple[list[int], list[int]]:
@@ -155,24 +198,67 @@ def _forest(close: np.ndarray) -> tuple[list[int], list[int]]:
     return rows, columns
 
 
-def _links(placed: DataFrame, radius: float) -> DataFrame:
+class _Joined:
+    """Which of the rows 0 to n - 1 are connected so far."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The places of the edges that connect what wasn't connected before."""
+        fresh = []
+        for i in np.flatnonzero(self.root[a] != self.root[b]).tolist():
+            one, two = self._of(a[i]), self._of(b[i])
+            if one != two:
+                self.root[max(one, two)] = min(one, two)
+                fresh.append(i)
+        while fresh and not np.array_equal(up := self.root[self.root], self.root):
+            self.root = up
+        return np.array(fresh, np.int64)
+
+    def _of(self, at: int) -> int:
+        while self.root[at] != at:
+            at = self.root[at]
+        return at
+
+
+def _nearest(away: np.ndarray, ids: np.ndarray, others: np.ndarray) -> list[np.ndarray]:
+    """Per row of ``away``, where it has a finite entry: its id, the id of the nearest one (ties: the smaller id) and the distance."""
+    least = away.min(axis=1, initial=np.inf)
+    some = np.isfinite(least)
+    largest = np.iinfo(np.int64).max
+    first = np.where(away[some] == least[some][:, None], others, largest).min(axis=1, initial=largest)
+    return [ids[some], first, least[some]]
+
+
+def _links(meetings: DataFrame, radius: float) -> DataFrame:
     """point, other, away: forest edges between core points (away is NULL), and for other points the nearest core point of a tile within ``radius``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, ids2, _, cores, cores2, away in _pairs(batch):
-                close = (away <= radius) & cores2
-                row, column = _forest(close & cores[:, None])
-                keep = ids[row] != ids2[column]
-                a, b = ids[row][keep], ids2[column][keep]
-                rest = np.flatnonzero(close.any(axis=1) & ~cores)
-                limit = np.where(close[rest], away[rest], np.inf)
-                least = limit.min(axis=1, initial=np.inf)
-                first = np.where(limit == least[:, None], ids2, np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max)
-                gap = pa.concat_arrays([pa.nulls(len(a), pa.float64()), pa.array(least)])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([a, ids[rest]])), pa.array(np.concatenate([b, first])), gap], ["point", "other", "away"])
-
-    return store(_meetings(placed, radius).mapInArrow(run, "point long, other long, away double"), "density-links")
+            for own, one, two, pairs in _met(batch):
+                joined, base = _Joined(len(one.ids) + len(two.ids)), 0 if own else len(one.ids)
+                edges, border = [], [[np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]]
+                for a, b in pairs:
+                    away = distances(one.x[a], two.x[b])
+                    close = away <= radius
+                    if not close.any():
+                        continue
+                    cores, cores2 = one.cores[a], two.cores[b]
+                    row, column = (np.array(e, np.int64) for e in _forest(close & cores[:, None] & cores2))
+                    row, column = row + a.start, column + b.start
+                    new = joined.add(row, column + base)
+                    edges += [(one.ids[row[new]], two.ids[column[new]])]
+                    border.append(_nearest(np.where(close[~cores][:, cores2], away[~cores][:, cores2], np.inf), one.ids[a][~cores], two.ids[b][cores2]))
+                    if not own or a != b:
+                        back, near = away[cores][:, ~cores2].T, close[cores][:, ~cores2].T
+                        border.append(_nearest(np.where(near, back, np.inf), two.ids[b][~cores2], one.ids[a][cores]))
+                rest = [np.concatenate(c) for c in zip(*border, strict=True)]
+                first, second = (np.concatenate([e[k] for e in edges] + [np.zeros(0, np.int64)]) for k in (0, 1))
+                gap = pa.concat_arrays([pa.nulls(len(first), pa.float64()), pa.array(rest[2])])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([first, rest[0]])), pa.array(np.concatenate([second, rest[1]])), gap], ["point", "other", "away"])
+
+    return store(meetings.mapInArrow(run, "point long, other long, away double"), "density-links")
 
 
 def connected(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -212,9 +298,10 @@ def density_clusters(points: DataFrame, radius: float, min_rows: int = 5, row_id
     every = store(every.withColumn("key", F.when(F.col("v").isNotNull(), F.md5(F.concat_ws(",", F.col("v").cast("array<string>"))))), "density-rows")
     distinct = _points(every.where("v IS NOT NULL"))
     centers = _pivots(distinct, pivots)
-    placed = _places(distinct, centers, radius)
-    counts = store(_near_counts(placed.withColumn("core", F.lit(False)), radius).withColumn("core", F.col("near") >= min_rows), "density-counts")
-    links = _links(placed.join(counts.select("point", "core"), "point"), radius)
+    placed = _places(distinct, centers)
+    counted = _near_counts(_meetings(placed.withColumn("core", F.lit(False)), centers, radius), radius)
+    counts = store(counted.withColumn("core", F.col("near") >= min_rows), "density-counts")
+    links = _links(_meetings(placed.join(counts.select("point", "core"), "point"), centers, radius), radius)
     cores = counts.where("core").select(F.col("point").alias("node"))
     roots = connected(cores, links.where("away IS NULL").select(F.col("point").alias("a"), F.col("other").alias("b")))
     nearest = links.where("away IS NOT NULL").groupBy("point").agg(F.min(F.struct("away", "other"))["other"].alias("node"))

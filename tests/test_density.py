@@ -67,3 +67,27 @@ def test_topics_are_numbered_by_size(spark):
     x = np.repeat([[0.0, 0.0], [9.0, 0.0], [0.0, 9.0]], [3, 8, 5], axis=0)
     found = topics.density_topics(frame(spark, np.vstack([x, [[50.0, 50.0]]])), 1.0, 3, min_size=4).collect()
     assert {r.row_id: r.topic_id for r in found} == {**dict.fromkeys(range(3), -1), **dict.fromkeys(range(3, 11), 0), **dict.fromkeys(range(11, 16), 1), 16: -1}
+
+
+def test_points_are_not_copied_to_the_cells_they_reach(spark, monkeypatch):
+    sizes = {}
+
+    def counted(df, name, kept=density.store):
+        out = kept(df, name)
+        sizes[name] = max(sizes.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(density, "store", counted)
+    x = np.random.default_rng(5).standard_normal((400, 12))
+    x /= np.linalg.norm(x, axis=1)[:, None]  # every point can have neighbours in every cell
+    near, core, cluster = brute(x, 1.1, 30)
+    found = {r.row_id: r for r in density.density_clusters(frame(spark, x), 1.1, 30).collect()}
+    assert [(found[i].near, found[i].core, found[i].cluster) for i in range(len(x))] == list(zip(near, core, cluster, strict=True))
+    assert sizes["density-places"] == len(x)
+
+
+def test_edges_that_connect_nothing_new():
+    joined = density._Joined(6)
+    assert joined.add(np.array([0, 2, 0, 1]), np.array([1, 3, 1, 0])).tolist() == [0, 1]
+    assert joined.add(np.array([3, 1, 4]), np.array([1, 2, 5])).tolist() == [0, 2]
+    assert joined.add(np.array([0]), np.array([3])).tolist() == []
