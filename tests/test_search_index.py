@@ -72,3 +72,33 @@ def test_silhouette_of_tiles(spark, monkeypatch, tile):
     got = {r.g: r.silhouette for r in silhouettes.silhouette(points, ["g"]).collect()}
     assert got.keys() == want.keys() and all(abs(got[g] - want[g]) < 1e-9 for g in want)
     assert silhouettes.silhouette(points.limit(0), ["g"]).count() == 0
+
+
+def test_no_row_per_query_and_row(spark, monkeypatch):
+    """Pairs stay inside the tasks, and similarities are those of vectors.cosine in every digit."""
+    from pyspark.sql import functions as F
+
+    from reviewgrain.functions import vectors
+
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((900, 32))
+    x[5], x[7] = x[3], 1e-160 * x[3]
+    rows = frame(spark, x)
+    plan = search_index.search_many(search_index.build(rows), rows.where("doc_id % 3 = 0"), 4)
+    assert "zip_with" not in plan._jdf.queryExecution().toString()
+    q = rows.where("doc_id % 3 = 0").select(F.col("doc_id").alias("query"), F.col("embedding").alias("q"))
+    every = q.crossJoin(rows).select("query", "doc_id", vectors.cosine(F.col("embedding"), F.col("q")).alias("s")).collect()
+    want = {}
+    for r in sorted(every, key=lambda r: (r["query"], -r.s, r.doc_id)):
+        want.setdefault(r["query"], []).append((r.doc_id, r.s))
+    got = {}
+    for r in sorted(plan.collect(), key=lambda r: (r["query"], r.place)):
+        got.setdefault(r["query"], []).append((r.doc_id, r.similarity))
+    assert got == {k: v[:4] for k, v in want.items()}
+
+
+def test_missing_and_endless_entries(spark):
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, [float("nan"), 1.0]), (3, [None, 1.0]), (4, [1.0, 1.0])], "doc_id long, embedding array<double>").coalesce(1)
+    index = search_index.build(rows, pivots=1)
+    found = search_index.search_many(index, rows.where("doc_id in (1, 3)"), 3).collect()
+    assert sorted((r["query"], r.place, r.doc_id) for r in found) == [(1, 1, 2), (1, 2, 1), (1, 3, 4), (3, 1, 1), (3, 2, 2), (3, 3, 3)]
