@@ -1,8 +1,9 @@
-"""Missing values, distinct counts and quality reports, one scan each."""
+"""Missing values, distinct counts and quality reports, one scan of the table each."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from reviewgrain import lexicons as lx
 from reviewgrain.functions.numeric import completeness_band, percent, round_to
 from reviewgrain.operators.cleaning import LOSSLESS, present
+from reviewgrain.operators.scaling import store
 
 
 def _null_counts(df: DataFrame) -> DataFrame:
@@ -39,20 +41,21 @@ def missing_required(df: DataFrame, required: Sequence[str] = lx.REQUIRED_COLUMN
 def column_info(df: DataFrame, exact: bool = True) -> DataFrame:
     """column, dtype, non_null_count, null_count, null_percent, unique_count.
 
-    One scan.  Exact distinct counts are combined map-side and shuffle long
-    values as digests; ``exact=False`` uses a sketch per column instead.
+    One scan.  For exact distinct counts the columns are stored, long values as digests, and each is counted by itself: combined map-side and shuffled
+    without the other columns.  ``exact=False`` uses a sketch per column instead.
     """
-
-    def distinct(name: str, kind: str) -> Column:
-        if not exact:
-            return F.approx_count_distinct(name)
-        return F.count_distinct(_compact(name, kind))
-
-    totals = df.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count(c).alias(f"_known{i}") for i, c in enumerate(df.columns)],
-        *[distinct(c, kind).alias(f"_unique{i}") for i, (c, kind) in enumerate(df.dtypes)],
-    )
+    kinds = [kind for _, kind in df.dtypes]
+    if exact:
+        df = store(df.select(*[_compact(c, kind).alias(f"{i}") for i, (c, kind) in enumerate(df.dtypes)]), "column-values").toDF(*df.columns)
+    one_row = [
+        df.agg(
+            F.count(F.lit(1)).alias("_rows"),
+            *[F.count(c).alias(f"_known{i}") for i, c in enumerate(df.columns)],
+            *([] if exact else [F.approx_count_distinct(c).alias(f"_unique{i}") for i, c in enumerate(df.columns)]),
+        ),
+        *[df.agg(F.count_distinct(c).alias(f"_unique{i}")) for i, c in enumerate(df.columns) if exact],
+    ]
+    totals = reduce(DataFrame.crossJoin, one_row)
     rows = F.col("_rows")
     entries = [
         F.struct(
@@ -63,7 +66,7 @@ def column_info(df: DataFrame, exact: bool = True) -> DataFrame:
             percent(rows - F.col(f"_known{i}"), rows, 2).alias("null_percent"),
             F.col(f"_unique{i}").alias("unique_count"),
         )
-        for i, (c, kind) in enumerate(df.dtypes)
+        for i, (c, kind) in enumerate(zip(df.columns, kinds, strict=True))
     ]
     return totals.select(F.inline(F.array(*entries)))
 
@@ -73,7 +76,9 @@ def _compact(name: str, kind: str) -> Column:
     c = F.col(name)
     if kind.startswith(("array", "map", "struct")):
         return F.sha2(F.to_json(c, LOSSLESS), 256)
-    return F.sha2(c, 256) if kind == "string" else c
+    if kind == "string":
+        return F.when(F.octet_length(c) >= 64, F.sha2(c, 256)).otherwise(c)  # a digest has 64 characters
+    return c.cast("string") if kind == "void" else c
 
 
 def missing_info(df: DataFrame) -> DataFrame:
