@@ -51,7 +51,7 @@ def marked(text: Column) -> Column:
     A name is a capitalised word after a word, number, comma, semicolon or bracket and one space, so not at the start of a sentence; a unit is a
     unit word or % after a number.  Spelled-out numbers carry no mark.  Any white space counts as one space.
     """
-    clean = F.translate(F.coalesce(text, F.lit("")), "\u0001\u0002\u0003\u0004", "    ")
+    clean = F.regexp_replace(F.coalesce(text, F.lit("")), "[\u0001-\u0004]", " ")
     clean = F.regexp_replace(clean, r"[\s\p{Z}]{2,}|[\s\p{Z}&&[^ ]]", " ")
     # patterns begin with the character itself and look back only then, as most places hold another one
     joined = F.regexp_replace(clean, r"[.,](?<=\p{N}[.,])(?=\p{N})", "\u0004")
@@ -121,7 +121,7 @@ def _weak(size: int):
 
 def _readings(found: str) -> Column:
     """The tokens, and if there are names among them also the tokens with the names as plain words."""
-    plain = F.transform(found, lambda t: F.translate(t, "\u0002", ""))
+    plain = F.transform(found, lambda t: F.replace(t, F.lit("\u0002"), F.lit("")))
     return F.when(F.exists(found, lambda t: t.startswith("\u0002")), F.array(F.col(found), plain)).otherwise(F.array(F.col(found)))
 
 
@@ -137,29 +137,31 @@ class Known:
         if self.pairs is None:
             return rows.withColumn("_first", F.lit(0)).withColumn("_short", size < SHORTEST).where(size > 0)
         short = rows.withColumn("_short", size < SHORTEST)
-        known = _member([f"{a} {b}" for a, b in self.pairs])
-        flags = short.withColumn("_symbols", F.transform(tokens, lambda t: F.coalesce(kind(t), t))).withColumn("_pairs", _pairs("_symbols"))
-        flags = flags.withColumn("_known", F.transform("_pairs", lambda p: known(p)))
+        known = _member(self.pairs)
+        flags = short.withColumn("_symbols", F.transform(tokens, lambda t: F.coalesce(kind(t), t))).withColumn("_last", F.greatest(size - 1, F.lit(0)))
         # runs lie between the pairs that aren't known
-        unknown = F.filter(F.transform("_known", lambda k, i: F.when(~k, i)), lambda i: i.isNotNull())
-        flags = flags.withColumn("_borders", F.array_append(unknown, F.size("_known")))
-        runs = F.zip_with(F.array_prepend("_borders", F.lit(-1)), "_borders", lambda a, b: F.struct((a + 1).alias("a"), (b - a).alias("n")))
-        wanted = F.filter(runs, lambda r: r["n"] >= self.shortest)
+        unknown = F.transform("_symbols", lambda t, i: F.when((i < F.col("_last")) & ~known(t, F.get("_symbols", i + 1)), i))
+        borders = F.array_append(F.filter(unknown, lambda i: i.isNotNull()), F.col("_last"))
+        flags = flags.withColumn("_borders", F.array_prepend(borders, F.lit(-1)))
+        # only long runs become structs, as there is a border at most tokens
+        runs = F.transform("_borders", lambda a, i: F.when(F.get("_borders", i + 1) - a >= self.shortest, F.struct((a + 1).alias("a"), (F.get("_borders", i + 1) - a).alias("n"))))
         whole = F.array(F.struct(F.lit(0).alias("a"), size.alias("n")))
-        out = flags.withColumn("_run", F.explode_outer(F.when(F.col("_short"), whole).otherwise(wanted))).where("_run.n > 0")
+        flags = flags.withColumn("_runs", F.when(F.col("_short"), whole).otherwise(F.filter(runs, lambda r: r.isNotNull())))
+        out = flags.withColumn("_run", F.explode_outer("_runs")).where("_run.n > 0")
         cut = out.withColumn("_first", F.col("_run.a")).withColumn(tokens, F.slice(tokens, F.col("_run.a") + 1, F.col("_run.n")))
-        return cut.drop("_symbols", "_pairs", "_known", "_borders", "_run")
+        return cut.drop("_symbols", "_last", "_borders", "_runs", "_run")
 
 
-def _member(values: list[str]) -> Callable[[Column], Column]:
-    """A test for ``values`` by one bit each, so one that may also let others pass but never stops one of them."""
+def _member(values: list[tuple[str, str]]) -> Callable[[Column, Column], Column]:
+    """A test for pairs ``values`` by one bit each, so one that may also let others pass but never stops one of them."""
     size = 1 << max(10, (64 * len(values)).bit_length())
     bits = np.zeros(size, np.uint8)
-    bits[[xxhash.xxh64_intdigest(v.encode("utf-8"), 42) & size - 1 for v in values]] = 1  # as Spark's xxhash64
+    digest = lambda a, b: xxhash.xxh64_intdigest(b.encode("utf-8"), xxhash.xxh64_intdigest(a.encode("utf-8"), 42))  # noqa: E731 - as Spark's xxhash64 of both
+    bits[[digest(a, b) & size - 1 for a, b in values]] = 1
     words = F.from_json(F.lit(json.dumps(np.packbits(bits, bitorder="little").view("<i8").tolist())), "array<bigint>")
 
-    def test(value: Column) -> Column:
-        at = F.pmod(F.xxhash64(value), F.lit(size)).cast("int")
+    def test(a: Column, b: Column) -> Column:
+        at = F.xxhash64(a, b).bitwiseAND(F.lit(size - 1)).cast("int")
         return F.getbit(F.get(words, F.call_function("shiftright", at, F.lit(6))), at.bitwiseAND(63)) == 1
 
     return test

@@ -98,3 +98,20 @@ def test_pruning_changes_nothing(spark, documents, monkeypatch):
     pruned = found()
     monkeypatch.setattr(decontaminate, "PAIRS", 0)
     assert found() == pruned and pruned
+
+
+def test_runs_of_known_pairs(spark):
+    from pyspark.sql import functions as F
+
+    from reviewgrain.llm import decontaminate
+
+    words = "a b c d e f".split()
+    known = decontaminate.Known(list(zip(words, words[1:], strict=False)), 5)
+    texts = ["x a b c d e y", "a b c d e f", "a b c d x a b c d e", "a b", "", "x y z x y z", "a b c d e z a b c d e f"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    cut = known.islands(rows.select("i", F.array_remove(F.split("t", " "), "").alias("w")), "w")
+    got = sorted((r.i, r["_first"], " ".join(r.w), r["_short"]) for r in cut.collect())
+    assert got == [
+        (0, 1, "a b c d e", False), (1, 0, "a b c d e f", False), (2, 5, "a b c d e", False), (3, 0, "a b", True), (6, 0, "a b c d e", False), (6, 6, "a b c d e f", False),
+    ]
+    assert "zip_with" not in cut._jdf.queryExecution().optimizedPlan().toString()  # no struct per border
