@@ -39,7 +39,7 @@ def read_csv(spark, sf):
 def one_large_file(spark, sf):
     """A single review file with line breaks inside reviews, cut into as many ranges as fit its size."""
     path = scratch_path(spark, "one_csv")
-    files.save(reviews(spark, sf).select("row_id", *_PLAIN).coalesce(1), path, "csv")
+    files.save_one_csv(reviews(spark, sf).select("row_id", *_PLAIN), path)
     size = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(size)
     spark.conf.set(size, 256_000)

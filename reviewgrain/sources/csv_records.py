@@ -145,13 +145,14 @@ def composed(reports: DataFrame) -> DataFrame:
 
 def crossing_records(reports: DataFrame, states: DataFrame) -> DataFrame:
     """Records over range borders, put together from pieces: file, start, number, record, first.  They come last in the range where they begin."""
-    real = reports.join(states, ["file", "start"]).where("state = inside").withColumn(
-        "begins", F.col("tail").isNotNull() & (~F.col("inside") | F.col("head").isNotNull())
-    )
-    order = Window.partitionBy("file").orderBy("start")
+    flags = reports.select("file", "start", "state", F.col("head").isNotNull().alias("ends"), F.col("tail").isNotNull().alias("opens"))
+    real = flags.join(states, ["file", "start"]).where("state = inside")
+    real = real.select("file", "start", "state", (F.col("opens") & (~F.col("inside") | F.col("ends"))).alias("begins"))
+    order = Window.partitionBy("file").orderBy("start")  # over flags, a row per range; the texts of a file join again by range
     opened = F.last(F.when(F.col("begins"), F.col("start")), ignorenulls=True)
     # the record that a head or a range without any end belongs to is the one opened last before
-    marked = real.withColumn("earlier", opened.over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    earlier = real.withColumn("earlier", opened.over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    marked = reports.join(earlier, ["file", "start", "state"])
     pieces = F.array(
         F.struct(F.col("earlier").alias("record"), F.col("head").alias("text"), F.lit(None).cast("long").alias("own")),
         F.struct(F.when(F.col("begins"), F.col("start")).otherwise(F.col("earlier")).alias("record"), F.col("tail").alias("text"), F.when(F.col("begins"), F.col("own")).alias("own")),

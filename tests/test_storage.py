@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,3 +66,38 @@ def test_a_failing_save_leaves_the_old_rows(spark, sample):
     assert spark.read.parquet(path).count() == sample.count()
     files.save(spark.read.parquet(path).limit(1), path)
     assert spark.read.parquet(path).count() == 1
+
+
+def test_one_csv_is_written_by_many_tasks(spark, monkeypatch):
+    texts = ["plain", None, "", ' "quoted", and\nbroken ', "é\r\nx", "\\", "5\" wide", ",", "\n", "#", "long line " * 40]
+    rows = spark.createDataFrame([(i, texts[i % 11], None if i % 7 == 0 else i / 4) for i in range(200)], "id long, `odd name` string, x double").repartition(7, "id")
+    plain, path = scratch_path(spark, "plain"), scratch_path(spark, "one")
+    files.save(rows.coalesce(1), plain, "csv")
+    monkeypatch.setattr(files, "COPIED", 300)
+    monkeypatch.setattr(files, "HELD", 77)
+    copied = []
+    monkeypatch.setattr(files, "_copy", lambda spark, pieces, target, copy=files._copy: (copied.append(pieces), copy(spark, pieces, target)))
+    for made, same in ((rows, plain), (rows.limit(0), None), (rows, plain)):  # in the place of what is there
+        files.save_one_csv(made, path)
+        one = spark.read.format("binaryFile").load(path).collect()
+        want = bytes(spark.read.format("binaryFile").load(same).first().content) if same else b"id,odd name,x\n"
+        assert len(one) == 1 and bytes(one[0].content) == want
+    # a file of rows for every partition, so no task read them all
+    assert len(copied[0]) == 1 + 7 and sum(size for _, size in copied[0]) == len(want) and len(copied[1]) <= 2
+    assert os.listdir(path.rsplit("/", 1)[0]) == ["one"]
+
+
+def test_one_csv_that_fails_leaves_the_old_file(spark):
+    path = scratch_path(spark, "one")
+    files.save_one_csv(spark.range(3), path)
+    folder = path.rsplit("/", 1)[0]
+    with pytest.raises(Exception):
+        files.save_one_csv(spark.range(9).select(F.raise_error(F.lit("no")).alias("id")), path)
+    assert spark.read.csv(path, header=True).count() == 3 and os.listdir(folder) == ["one"]
+
+
+def test_a_store_without_offsets_gets_one_file_from_one_task(spark, monkeypatch):
+    path = scratch_path(spark, "one")
+    monkeypatch.setattr(files, "_local", lambda *_: False)
+    files.save_one_csv(spark.range(30).repartition(5), path)
+    assert spark.read.format("binaryFile").load(path).count() == 1 and spark.read.csv(path, header=True).count() == 30
