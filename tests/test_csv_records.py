@@ -106,3 +106,20 @@ def test_normalised_names(spark, tmp_path):
     path = written(tmp_path, 'Review Text,uniq _id\n"a\nb",1\n')
     assert rows(files.read_csv(spark, path)) == [("a\nb", "1")] and "review_text" in files.read_csv(spark, path).columns
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_the_window_over_a_file_holds_no_texts(spark, tmp_path, ranges_of):
+    ranges_of(40)
+    path = written(tmp_path, "a,b\n" + "".join(f'{i},"{"x" * 30}\n{"y" * 30}"\n' for i in range(20)))
+    reports = store(csv_records.reported(csv_records._lines(spark, path)))
+    found = csv_records.crossing_records(reports, store(csv_records.composed(reports)))
+
+    def nodes(plan):
+        yield plan
+        for i in range(plan.children().size()):
+            yield from nodes(plan.children().apply(i))
+
+    windows = [n for n in nodes(found._jdf.queryExecution().optimizedPlan()) if n.nodeName() == "Window"]
+    columns = {n.output().apply(i).name() for n in windows for i in range(n.output().size())}
+    assert windows and not columns & {"head", "tail"}
+    assert own(spark, path).count() == 20
